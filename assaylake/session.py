@@ -35,3 +35,12 @@ def shuffle_width(spark: SparkSession, least: int = 4) -> int:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table whose files make fewer splits than there are cores.
+
+    Tables with enough splits, as all large ones have, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
