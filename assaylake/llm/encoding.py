@@ -71,6 +71,7 @@ CLEAN, WILDCARD = -1, -2
 LOST = "�"
 TOKEN = re.compile(r"[^ \t\r\n]+")
 _EAST = "⺀-鿿가-힯豈-﫿＀-￯"
+EAST = re.compile(f"[{_EAST}]")
 UNIT = re.compile(rf"[{_EAST}]|[^\W\d_{_EAST}]+|[^\x00-\x7f]")
 _FORBIDDEN = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f-�￰-￿]")
 _LATIN, _OTHER = re.compile("[A-Za-zÀ-ɏ]"), re.compile("[Ͱ-ϿЀ-ӿ]")
@@ -97,6 +98,17 @@ def reread(text: str, read_as: str, written_in: str) -> str | None:
     return back if back != text else None
 
 
+def unchanged(text: str, channel: int) -> bool:
+    """Whether the text comes through the channel as it is."""
+    if not 0 <= channel < len(CHANNELS):
+        return False
+    known = table(CHANNELS[channel][0])
+    try:
+        return bytes([known[c] for c in text]).decode(CHANNELS[channel][1]) == text
+    except (KeyError, UnicodeDecodeError):
+        return False
+
+
 def plausible(text: str) -> bool:
     """No control characters, and no word of two scripts."""
     if _FORBIDDEN.search(text):
@@ -125,8 +137,11 @@ def candidates(token: str) -> dict[str, list[int]]:
 
 
 def units(text: str) -> list[str]:
-    """Words, East Asian characters and other signs of a token."""
-    return UNIT.findall(text)
+    """Words (w), East Asian characters (e), words of two scripts (m) and the token itself (t)."""
+    kinds = []
+    for u in UNIT.findall(text):
+        kinds.append(("e" if EAST.match(u) else "m" if _LATIN.search(u) and _OTHER.search(u) else "w") + u)
+    return [*kinds, "t" + text]
 
 
 def skeleton(token: str) -> str:
@@ -209,6 +224,7 @@ def decode_path(tokens: list[str], known: dict[str, list[tuple[list[int], str, f
         else:
             for channels, text, gain in known.get(t, ()):
                 here.update({c: (gain, text) for c in channels if c not in here or here[c][0] < gain})
+            here.update({c: (0.0, t) for c in score if c not in here and unchanged(t, c)})
         best, best_score = max(score.items(), key=lambda x: (x[1], x[0] == CLEAN))
         nxt, step = {}, {}
         for c, (gain, text) in here.items():
@@ -253,10 +269,11 @@ def _restore(enter: float):
     return run
 
 
-def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0) -> DataFrame:
+def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east_weight: float = 0.6) -> DataFrame:
     """(key, restored, restored_md5, channels, guess) of every row with garbled text.
 
-    ``enter`` is the cost, in nats, of passing into another channel.
+    ``enter`` is the cost, in nats, of passing into another channel; ``east_weight`` the share
+    of an East Asian character's surprise that its neighbours leave.
     """
     kind = df.schema[key].dataType.simpleString()
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]"))
@@ -266,14 +283,23 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0) -> D
     total = float(freq.agg(F.sum("n")).first()[0] or 1)
     # score of each candidate: its units' frequencies over the corpus, unknown ones by length
     cands = tokens.select("token").mapInArrow(_candidates_of, "token string, text string, channels array<int>, units array<string>")
-    each = cands.select("token", "text", "channels", F.explode("units").alias("unit"))
-    unseen = F.lit(math.log(0.5 / total)) - 2.5 * (F.length("unit") - 1)
-    scored = each.join(freq, "unit", "left").groupBy("token", "text", "channels").agg(F.sum(F.coalesce(F.greatest(F.log(F.col("n") / total), unseen), unseen)).alias("score"))
-    clean = F.first(F.when(F.col("text") == F.col("token"), F.col("score")), True)
-    alts = F.collect_list(F.when(F.col("text") != F.col("token"), F.struct("channels", "text", "score")))
-    suspects = scored.groupBy("token").agg(clean.alias("clean"), alts.alias("alts"))
+    each = cands.select("token", "text", "channels", F.explode("units").alias("unit")).join(freq, "unit", "left")
+    kind_of, seen = F.substring("unit", 1, 1), F.log(F.col("n") / total)
+    unseen = F.lit(math.log(0.5 / total)) - 2.5 * (F.length("unit") - 2)
+    # neighbours predict much of an East Asian character; a word of two scripts is no word
+    part = F.when(kind_of == "m", unseen).when((kind_of == "e") & F.col("n").isNotNull(), east_weight * seen).otherwise(F.coalesce(F.greatest(seen, unseen), unseen))
+    scored = each.groupBy("token", "text", "channels").agg(F.sum(F.when(kind_of != "t", part)).alias("parts"), F.max(F.when(kind_of == "t", seen)).alias("whole"))
+    pick = lambda c: F.first(F.when(F.col("text") == F.col("token"), F.col(c)), True)
+    alts = F.collect_list(F.when(F.col("text") != F.col("token"), F.struct("channels", "text", "parts", "whole")))
+    suspects = scored.groupBy("token").agg(pick("parts").alias("parts"), pick("whole").alias("whole"), alts.alias("alts"))
+    # if the corpus knows both as whole tokens, that decides, unless their parts say so more clearly
+
+    def gain(a):
+        by_parts, by_whole = a["parts"] - F.col("parts"), a["whole"] - F.col("whole")
+        return F.when(by_whole > 0, F.greatest(by_parts, by_whole)).otherwise(F.coalesce(by_whole, by_parts))
+
     # a candidate that loses more than a change of channel costs can't be on a best path
-    gained = F.filter(F.transform("alts", lambda a: F.struct(a["channels"].alias("channels"), a["text"].alias("text"), (a["score"] - F.col("clean")).alias("gain"))), lambda a: a["gain"] > -enter)
+    gained = F.filter(F.transform("alts", lambda a: F.struct(a["channels"].alias("channels"), a["text"].alias("text"), gain(a).alias("gain"))), lambda a: a["gain"] > -enter)
     suspects = suspects.select("token", gained.alias("cands")).where(F.size("cands") > 0)
     # lost bytes: the commonest clean token that has as many bytes in the same places
     marked = tokens.mapInArrow(_skeletons, "token string, n bigint, skeleton string, lost boolean")
