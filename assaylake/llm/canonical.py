@@ -106,7 +106,9 @@ def _edits(a: pd.Series, b: pd.Series) -> pd.Series:
 def repair_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(token, ref, dist) of each distinct token and the reference tokens it may be a slip of."""
     near = F.pandas_udf(_edits, "int")
-    left = tokens.select("token", F.explode(deletions(F.col("token"))).alias("key"))
+    # nothing longer than the longest reference token and its edits can be a slip of one
+    longest = vocabulary.agg(F.max(F.length("ref"))).first()[0] or 0
+    left = tokens.where(F.length("token") <= longest + allowed(longest)).select("token", F.explode(deletions(F.col("token"))).alias("key"))
     right = vocabulary.select("ref", F.explode(deletions(F.col("ref"))).alias("key"))
     pairs = left.join(right, "key").select("token", "ref").distinct()
     most = F.when(F.length("ref") <= 3, 0).when(F.length("ref") < LONG, 1).otherwise(2)
@@ -204,7 +206,7 @@ def map_values(values: DataFrame, reference: DataFrame, joined: int = 4, at_most
 
 def map_typed(df: DataFrame, key: str, fields: list[str], reference: DataFrame) -> DataFrame:
     """(key, field_name, typed, entry_id, score) of every value that is not an entry as it stands."""
-    long = df.select(F.col(key), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x")).select(key, "x.*")
+    long = df.select(F.col(key).alias("__key"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x")).select("__key", "x.*")
     exact = reference.select(F.col("entry_field").alias("field"), F.col("entry_name").alias("value")).distinct()
     cases = long.where(~is_missing_qc(F.col("value"))).join(exact, ["field", "value"], "left_anti")
-    return cases.join(map_values(cases, reference), ["field", "value"]).select(key, F.col("field").alias("field_name"), F.col("value").alias("typed"), "entry_id", "score")
+    return cases.join(map_values(cases, reference), ["field", "value"]).select(F.col("__key").alias(key), F.col("field").alias("field_name"), F.col("value").alias("typed"), "entry_id", "score")

@@ -13,8 +13,8 @@ frequencies, candidate scores. Only candidates that could be on a best path reac
 Defined results: null and empty texts are never garbled; a text with characters lost to
 U+FFFD inside words has an empty ``restored_md5`` (a guess fills ``guess`` where the corpus
 knows a fitting word); tokens that are right stay untouched, whatever stands beside them; a
-U+FFFD that stands alone is text like any other; rows with a null key are kept; an empty table
-gives no rows.
+U+FFFD that stands alone is text like any other; a row without a key gives no row, as its
+text could not be named; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -75,6 +75,9 @@ EAST = re.compile(f"[{_EAST}]")
 UNIT = re.compile(rf"[{_EAST}]|[^\W\d_{_EAST}]+|[^\x00-\x7f]")
 _FORBIDDEN = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f-�￰-￿]")
 _LATIN, _OTHER = re.compile("[A-Za-zÀ-ɏ]"), re.compile("[Ͱ-ϿЀ-ӿ]")
+# a unit that tells something: two letters or more with one beyond ASCII, an East Asian
+# character, or a whole token of three characters with a letter
+_TELLING = r"(?s)^w(?=\p{L}{2})(?=.*[^\x00-\x7F])|^e|^t(?=.{3})(?=.*\p{L})"
 _TABLES: dict[str, dict[str, int]] = {}
 
 
@@ -288,15 +291,20 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     unseen = F.lit(math.log(0.5 / total)) - 2.5 * (F.length("unit") - 2)
     # neighbours predict much of an East Asian character; a word of two scripts is no word
     part = F.when(kind_of == "m", unseen).when((kind_of == "e") & F.col("n").isNotNull(), east_weight * seen).otherwise(F.coalesce(F.greatest(seen, unseen), unseen))
-    scored = each.groupBy("token", "text", "channels").agg(F.sum(F.when(kind_of != "t", part)).alias("parts"), F.max(F.when(kind_of == "t", seen)).alias("whole"))
+    scored = each.groupBy("token", "text", "channels").agg(F.sum(F.when(kind_of != "t", part)).alias("parts"), F.max(F.when(kind_of == "t", seen)).alias("whole"), F.max(F.col("n").isNotNull() & F.col("unit").rlike(_TELLING)).alias("met"))
+    # single bytes can be read as anything: only a word that the corpus knows is evidence for
+    # such a reading, while bytes that are well-formed UTF-8 speak for themselves
+    multibyte = [i for i, (_, w) in enumerate(CHANNELS) if w == "utf-8"]
+    scored = scored.withColumn("met", F.col("met") | F.exists("channels", lambda c: c.isin(*multibyte) | (c >= len(CHANNELS))))
     pick = lambda c: F.first(F.when(F.col("text") == F.col("token"), F.col(c)), True)
-    alts = F.collect_list(F.when(F.col("text") != F.col("token"), F.struct("channels", "text", "parts", "whole")))
+    alts = F.collect_list(F.when(F.col("text") != F.col("token"), F.struct("channels", "text", "parts", "whole", "met")))
     suspects = scored.groupBy("token").agg(pick("parts").alias("parts"), pick("whole").alias("whole"), alts.alias("alts"))
     # if the corpus knows both as whole tokens, that decides, unless their parts say so more clearly
 
     def gain(a):
         by_parts, by_whole = a["parts"] - F.col("parts"), a["whole"] - F.col("whole")
-        return F.when(by_whole > 0, F.greatest(by_parts, by_whole)).otherwise(F.coalesce(by_whole, by_parts))
+        both = F.when(by_whole > 0, F.greatest(by_parts, by_whole)).otherwise(F.coalesce(by_whole, by_parts))
+        return F.when(a["met"], both).otherwise(F.least(both, F.lit(0.0)))
 
     # a candidate that loses more than a change of channel costs can't be on a best path
     gained = F.filter(F.transform("alts", lambda a: F.struct(a["channels"].alias("channels"), a["text"].alias("text"), gain(a).alias("gain"))), lambda a: a["gain"] > -enter)

@@ -194,7 +194,8 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str) -> DataFr
     """
     ranks = df.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     kind = df.schema[key].dataType.simpleString()
-    return spread(df.select(key, F.col(text).cast("string").alias("text"))).mapInArrow(_encode(ranks), f"{key} {kind}, ids array<int>")
+    rows = df.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
+    return spread(rows).mapInArrow(_encode(ranks), f"__key {kind}, ids array<int>").withColumnRenamed("__key", key)
 
 
 class TextDecoder:
@@ -228,4 +229,5 @@ def decode_corpus(df: DataFrame, key: str, ids: str, vocabulary: str) -> DataFra
     """(key, text) of every row of ids."""
     ranks = df.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, ids).mapInArrow(_decode(ranks), f"{key} {kind}, text string")
+    rows = df.select(F.col(key).alias("__key"), F.col(ids).alias("__ids"))
+    return rows.mapInArrow(_decode(ranks), f"__key {kind}, text string").withColumnRenamed("__key", key)
