@@ -72,16 +72,6 @@ def _lookup(c: Column, table: dict[str, float]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), c)
 
 
-def split_value(c: Column) -> dict[str, Column]:
-    """Number and unit written in a value; both null if it is no single value."""
-    t = F.regexp_replace(F.regexp_replace(strip(c), _BEFORE, ""), _AFTER, "")
-    whole = rf"^({_NUMBER}){_POWER}\s*(\p{{L}}[^0-9]*(?:\s*l-1|/m3)?|)$"
-    ok = t.rlike(whole)
-    power = F.concat(F.regexp_extract(t, whole, 2), F.regexp_extract(t, whole, 3))
-    n = F.when(ok, number(F.regexp_extract(t, whole, 1), power))
-    return {"text": t, "number": n, "unit": F.when(ok, unit_text(F.regexp_extract(t, whole, 4)))}
-
-
 def note_unit(note: Column, subject: str) -> Column:
     """The unit that a note names as default for its subject (a pattern)."""
     said = F.filter(F.split(note, r"(?<=\.)\s+"), lambda s: s.rlike(rf"(?i)\b(?:{subject})\b"))
@@ -106,40 +96,47 @@ def _compound_seconds(t: Column) -> Column:
     return F.when(t.rlike(form), F.aggregate(each, F.lit(0.0), lambda a, x: a + x))
 
 
-def dose_columns(value: Column, unit: Column, note: Column, molar_mass: Column) -> dict[str, Column]:
-    """number, unit, unit_source and common (picomolar) of a dose."""
-    got = split_value(value)
-    inside, beside = got["unit"], unit_text(unit)
-    default = note_unit(note, "doses?|concentrations?")
-    named = F.coalesce(inside, beside, default)
-    factor = F.coalesce(_lookup(named, MOLAR), _lookup(named, MASS) * 1e12 / F.nullif(molar_mass, F.lit(0.0)))
-    n = got["number"]
-    # a plain m could be metre or milli; only the capital letter is molar
-    bare = F.when(inside.isNotNull(), ~F.coalesce(strip(value).rlike(r"m$"), F.lit(False)) | (inside != "m")).when(beside.isNotNull(), (beside != "m") | (strip(unit) == "M")).otherwise(True)
-    linear = F.when((n >= 0) & bare, n * factor)
-    logged = F.when(named.isin(LOG_MOLAR), F.pow(F.lit(10.0), n + 12))
-    source = F.when(inside.isNotNull(), "value").when(beside.isNotNull(), "column").when(default.isNotNull(), "note")
-    return {"number": n, "unit": named, "unit_source": source, "common": F.coalesce(linear, logged)}
-
-
-def time_columns(value: Column, unit: Column, note: Column) -> dict[str, Column]:
-    """number, unit, unit_source and common (seconds) of a time."""
-    got = split_value(value)
+_CLOCK = r"^([0-9]{1,3}):([0-5][0-9])(?::([0-5][0-9]))?$"
+_DAY = r"(?i)^d(?:ay)?\s*([0-9]+(?:[.,][0-9]+)?)$"
+
+
+def read_values(rows: DataFrame) -> DataFrame:
+    """Adds number, inside (the unit in the value) and text to quantity and written.
+
+    Later steps use each of these several times, so they are columns of their own.
+    """
+    bare = F.regexp_replace(F.regexp_replace(strip(F.col("written")), _BEFORE, ""), _AFTER, "")
     # day 3 and T36h name the unit or the quantity before the number
-    t = F.regexp_replace(got["text"], r"^[Tt](?=[0-9])", "")
-    day = r"(?i)^d(?:ay)?\s*([0-9]+(?:[.,][0-9]+)?)$"
-    t = F.when(t.rlike(day), F.concat(F.regexp_extract(t, day, 1), F.lit(" d"))).otherwise(t)
-    again = split_value(t)
-    n, inside, beside = again["number"], again["unit"], unit_text(unit)
-    default = note_unit(note, "times?|time points?|harvest times?")
-    clock_text = r"^([0-9]{1,3}):([0-5][0-9])(?::([0-5][0-9]))?$"
-    part = lambda i: F.coalesce(F.regexp_extract(t, clock_text, i).try_cast("double"), F.lit(0.0))
-    clock = F.when(t.rlike(clock_text) & beside.isin(CLOCK), part(1) * 3600 + part(2) * 60 + part(3))
-    told = F.coalesce(_iso_seconds(t), _compound_seconds(t))
-    named = F.coalesce(inside, beside, default)
-    linear = F.when(n >= 0, n * _lookup(named, SECONDS))
-    source = F.when(told.isNotNull() | inside.isNotNull(), "value").when(beside.isNotNull(), "column").when(default.isNotNull(), "note")
-    return {"number": n, "unit": named, "unit_source": source, "common": F.coalesce(told, clock, linear)}
+    timed = F.regexp_replace(bare, r"^[Tt](?=[0-9])", "")
+    timed = F.when(timed.rlike(_DAY), F.concat(F.regexp_extract(timed, _DAY, 1), F.lit(" d"))).otherwise(timed)
+    whole = rf"^({_NUMBER}){_POWER}\s*(\p{{L}}[^0-9]*(?:\s*l-1|/m3)?|)$"
+    out = rows.withColumn("text", F.when(F.col("quantity") == "time", timed).otherwise(bare))
+    part = lambda i: F.regexp_extract("text", whole, i)
+    out = out.withColumn("__p", F.when(F.col("text").rlike(whole), F.struct(part(1).alias("n"), F.concat(part(2), part(3)).alias("p"), part(4).alias("u"))))
+    out = out.withColumns({"number": number(F.col("__p.n"), F.col("__p.p")), "inside_raw": strip(F.col("__p.u"))})
+    return out.withColumn("inside", unit_text(F.col("inside_raw"))).drop("__p")
+
+
+def to_common(rows: DataFrame) -> DataFrame:
+    """Adds unit, unit_source and common: picomolar of a dose, seconds of a time.
+
+    rows: quantity, text, number, inside, inside_raw, unit_written, default_unit, molar_mass.
+    """
+    dose = F.col("quantity") == "dose"
+    n, text = F.col("number"), F.col("text")
+    out = rows.withColumn("beside", unit_text(F.col("unit_written"))).withColumn("unit", F.coalesce("inside", "beside", "default_unit"))
+    out = out.withColumn("told", F.when(~dose, F.coalesce(_iso_seconds(text), _compound_seconds(text))))
+    part = lambda i: F.coalesce(F.regexp_extract(text, _CLOCK, i).try_cast("double"), F.lit(0.0))
+    clock = F.when(text.rlike(_CLOCK) & F.col("beside").isin(CLOCK), part(1) * 3600 + part(2) * 60 + part(3))
+    # a single m could be metre or milli; only the capital letter is molar
+    written = F.when(F.col("inside").isNotNull(), F.col("inside_raw")).when(F.col("beside").isNotNull(), strip(F.col("unit_written"))).otherwise("M")
+    molar = (F.col("unit") != "m") | (written == "M")
+    factor = F.coalesce(F.when(molar, _lookup(F.col("unit"), MOLAR)), _lookup(F.col("unit"), MASS) * 1e12 / F.nullif(F.col("molar_mass"), F.lit(0.0)))
+    logged = F.when(F.col("unit").isin(LOG_MOLAR), F.pow(F.lit(10.0), n + 12))
+    as_dose = F.coalesce(F.when(n >= 0, n * factor), logged)
+    as_time = F.coalesce(F.col("told"), clock, F.when(n >= 0, n * _lookup(F.col("unit"), SECONDS)))
+    source = F.when(F.col("told").isNotNull() | F.col("inside").isNotNull(), "value").when(F.col("beside").isNotNull(), "column").when(F.col("default_unit").isNotNull(), "note")
+    return out.withColumns({"unit_source": source, "common": F.when(dose, as_dose).otherwise(as_time)}).drop("beside", "told")
 
 
 def fit_mixture(known: DataFrame, silent: DataFrame, factors: list[float], bin_width: float = 0.05, rounds: int = 60) -> tuple[np.ndarray, float, float]:
@@ -188,16 +185,21 @@ def convert_conditions(conditions: DataFrame, sources: DataFrame, compounds: Dat
     ``sources`` has a note for each data set, ``compounds`` a molar mass for each name; both
     are joined by key.
     """
-    notes = sources.groupBy("dataset_id").agg(F.first("protocol_note", True).alias("note"))
+    said = sources.groupBy("dataset_id").agg(F.first("protocol_note", True).alias("note"))
+    notes = said.select("dataset_id", note_unit(F.col("note"), "doses?|concentrations?").alias("dose_default"), note_unit(F.col("note"), "times?|time points?|harvest times?").alias("time_default"))
     masses = compounds.where("molar_mass is not null").groupBy(F.col("entry_name").alias("perturbation_id")).agg(F.first("molar_mass").alias("molar_mass"))
     rows = conditions.select("condition_id", "dataset_id", "perturbation_id", "dose", "dose_unit", "time", "time_unit").join(notes, "dataset_id", "left").join(masses, "perturbation_id", "left")
-    dose = dose_columns(F.col("dose"), F.col("dose_unit"), F.col("note"), F.col("molar_mass"))
-    time = time_columns(F.col("time"), F.col("time_unit"), F.col("note"))
-    one = lambda q, v, u, cols: F.struct(F.lit(q).alias("quantity"), F.col(v).alias("written"), F.col(u).alias("unit_written"), *[c.alias(k) for k, c in cols.items()])
-    return rows.select("condition_id", F.explode(F.array(one("dose", "dose", "dose_unit", dose), one("time", "time", "time_unit", time))).alias("q")).select("condition_id", "q.*")
+    one = lambda q: F.struct(F.lit(q).alias("quantity"), F.col(q).alias("written"), F.col(f"{q}_unit").alias("unit_written"), F.col(f"{q}_default").alias("default_unit"))
+    long = rows.select("condition_id", "molar_mass", F.explode(F.array(one("dose"), one("time"))).alias("q")).select("condition_id", "molar_mass", "q.*")
+    return to_common(read_values(long)).select("condition_id", "quantity", "written", "unit_written", "number", "unit", "unit_source", "common")
 
 
 def converted_cases(converted: DataFrame) -> DataFrame:
-    """(condition_id, quantity, common_value) of values that had to be converted."""
+    """(condition_id, quantity, common_value) of values that had to be converted, each once.
+
+    The distinct values of a row are gathered by an aggregation, not by a filter and distinct:
+    a filter on the result would be pushed below the steps that make it and repeat them.
+    """
     plain = F.coalesce(F.col("written").rlike(r"^[0-9]+(?:\.[0-9]+)?\z") & (F.col("unit_written") == F.when(F.col("quantity") == "dose", "nM").otherwise("h")), F.lit(False))
-    return converted.where(F.col("common").isNotNull() & ~plain).select("condition_id", "quantity", F.round(F.round("common", 6)).cast("bigint").alias("common_value"))
+    value = F.when(~plain, F.round(F.round("common", 6)).cast("bigint"))
+    return converted.groupBy("condition_id", "quantity").agg(F.collect_set(value).alias("v")).select("condition_id", "quantity", F.explode("v").alias("common_value"))

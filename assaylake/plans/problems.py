@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.operators import drift, packed, quality, units
-from assaylake.session import read
+from assaylake.session import cut, read
 
 
 def _profile(spark: SparkSession, d: str) -> DataFrame:
@@ -38,12 +38,12 @@ def _converted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return units.converted_cases(_converted(spark, d)).distinct()
+    return units.converted_cases(_converted(spark, d))
 
 
 def p5_guessed(spark: SparkSession, d: str) -> DataFrame:
     """Doses without any known unit: the likeliest unit, its posterior, and whether it is unsure."""
-    doses = _converted(spark, d).where("quantity = 'dose'").distinct()
+    doses = cut(_converted(spark, d).where("quantity = 'dose'").distinct())
     names, factors = ["pM", "nM", "uM", "mM", "M"], [1.0, 1e3, 1e6, 1e9, 1e12]
     out = units.assign_units(doses, "number", "common", names, factors).where("guessed_unit is not null")
     return out.select("condition_id", "written", "guessed_unit", F.round("guessed_common", 3).alias("guessed_picomolar"), F.round("posterior", 4).alias("posterior"), "uncertain")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from assaylake.functions.numbering import latest
 from assaylake.operators import cellqc, contrast, curate, effects, harmonize, meta, pseudobulk, tableprofile
 from assaylake.operators.harmonize import BIO_CONDITION, CONDITION, GRAINS, INTERVENTION
-from assaylake.session import read
+from assaylake.session import cut, read
 
 SCALE, MIN_CELLS, TOP = 1e6, 15, 5
 POOLED = {"min_treated": 15, "min_control": 15, "min_strata": 8}
@@ -51,8 +51,9 @@ def latest_conditions(spark: SparkSession, d: str) -> DataFrame:
 
 def _grouped(spark: SparkSession, d: str, grain: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     cells = order_cells(spark, d)
-    groups = pseudobulk.groups(cells, grain)
-    return cells, groups, pseudobulk.pseudobulk(order_counts(spark, d), pseudobulk.cell_groups(cells, groups, grain))
+    groups = cut(pseudobulk.groups(cells, grain))
+    # the sums are a stage's output and feed several branches: they are written once
+    return cells, groups, cut(pseudobulk.pseudobulk(order_counts(spark, d), pseudobulk.cell_groups(cells, groups, grain)))
 
 
 def obs_harmonize(spark: SparkSession, d: str) -> DataFrame:
@@ -161,7 +162,8 @@ def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     out, made = _pooled(spark, d)
     # effects are rounded before they are ranked, so equal ones are tied in every engine
     rounded = out.withColumn("effect_size", F.round("effect_size", 6))
-    return effects.top_features(rounded, TOP).withColumnRenamed("feature_id", "gene_id"), made.select("dataset_id", "contrast_id", "status")
+    hits = cut(effects.top_features(rounded, TOP).withColumnRenamed("feature_id", "gene_id"))
+    return hits, made.select("dataset_id", "contrast_id", "status")
 
 
 def _genes(spark: SparkSession, d: str) -> DataFrame:
