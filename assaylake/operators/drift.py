@@ -6,7 +6,8 @@ series, lag and lead over the files give each field's lifespans (islands of neig
 files): where an island starts or ends, a field was added or dropped. A field that ends where
 another one starts is a renaming if the keys that both files share carry the same values.
 
-Inner fields are named ``outer.inner``, the key field is left out. Types are integer, decimal,
+Inner fields are named ``outer.inner``, down to MAX_DEPTH levels, below which an object is a
+text; an object without fields is none. The key field is left out. Types are integer, decimal,
 text, boolean and list; a field without any value in a file keeps its type.
 
 Defined results: records that are no JSON object, and null payloads, are skipped; repeated
@@ -37,6 +38,7 @@ def type_class(variant_type: Column) -> Column:
         .when(t == "STRING", "text")
         .when(t == "BOOLEAN", "boolean")
         .when(t.startswith("ARRAY"), "list")
+        .when(t.startswith("OBJECT"), "text")
     )
 
 
@@ -56,24 +58,18 @@ def explode_fields(records: DataFrame) -> DataFrame:
     # one copy of each line, wherever and however often it was delivered
     parsed = parsed.withColumn("key", F.expr("try_variant_get(v, concat('$.', key_field), 'string')"))
     ids = ["series_id", "file_id", "file_seq", "kind", "key_field", "key"]
-    level = _explode(parsed, ids, F.lit(""))
-    done = level.where(~F.col("kind_of").startswith("OBJECT"))
-    nested = level.where(F.col("kind_of").startswith("OBJECT"))
+    spark, cols = records.sparkSession, ", ".join(f"t.{c}" for c in ids)
+    rows = spark.sql(f"select {cols}, x.key as field, x.value from {{t}} t, lateral variant_explode(t.v) x", t=parsed)
     for _ in range(MAX_DEPTH - 1):
-        level = _explode(nested.withColumnRenamed("value", "v"), ids, F.concat(F.col("field"), F.lit(".")))
-        done = done.unionByName(level.where(~F.col("kind_of").startswith("OBJECT")))
-        nested = level.where(F.col("kind_of").startswith("OBJECT"))
-    text = F.col("value").cast("string")
-    return done.where(F.col("field") != F.col("key_field")).select(
-        "series_id", "file_id", "file_seq", "kind", "key", "field", type_class(F.col("kind_of")).alias("type"), F.when(F.col("kind_of") != "VOID", text).alias("value")
-    )
-
-
-def _explode(df: DataFrame, ids: list[str], prefix: Column) -> DataFrame:
-    spark = df.sparkSession
-    named = df.select(*ids, prefix.alias("__prefix"), "v")
-    cols = ", ".join(f"t.{c}" for c in ids)
-    return spark.sql(f"select {cols}, concat(t.__prefix, x.key) as field, x.value, schema_of_variant(x.value) as kind_of from {{t}} t, lateral variant_explode(t.v) x", t=named)
+        # inner fields take the place of their outer one; everything else stays a row
+        rows = spark.sql(
+            f"""select {cols}, if(x.key is null, t.field, concat(t.field, '.', x.key)) as field, if(x.key is null, t.value, x.value) as value
+            from {{t}} t, lateral variant_explode_outer(if(schema_of_variant(t.value) like 'OBJECT%', t.value, null)) x""",
+            t=rows,
+        )
+    kind = F.col("kind_of")
+    rows = rows.withColumn("kind_of", F.expr("schema_of_variant(value)")).where((F.col("field") != F.col("key_field")) & (kind != "OBJECT<>"))
+    return rows.select("series_id", "file_id", "file_seq", "kind", "key", "field", type_class(kind).alias("type"), F.when(kind != "VOID", F.col("value").cast("string")).alias("value"))
 
 
 def catalogue(fields: DataFrame) -> DataFrame:
