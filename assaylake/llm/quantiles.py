@@ -1,16 +1,18 @@
 """Percentiles of very large numeric columns from mergeable rank-interval summaries.
 
-Each task turns every Arrow batch into summaries, one per (run, day, metric): tuples
-``(value, lo, hi)`` where ``lo`` and ``hi`` bound the rank of the value. Few values are kept
-as they are; many are compressed to the permitted uncertainty. Summaries are merged in a
-tree, bucket by bucket, and compressed again on each level with that level's share of the
-permitted error; the bound that has really built up is carried along and reported. The
-summaries of single days can be stored and merged later in the same way.
+Each task turns its rows, some hundred thousand at a time, into summaries for every scope (a
+run, a day, the whole table) and metric: tuples ``(value, lo, hi)`` where ``lo`` and ``hi``
+bound the rank of the value. Few values are kept as they are; many are compressed to the
+permitted uncertainty, so the whole table's summary leaves a task as some hundred tuples.
+Summaries are merged in a tree, bucket by bucket, with as many levels as the number of tasks
+asks for; each level compresses with its share of the permitted error, and the bound that has
+really built up is carried along and reported. The summaries of single days can be stored and
+merged later in the same way.
 
 Defined results: null and NaN are not counted, infinite and stray huge values are; a group
-without a counted value gives no row; a percentile ``q`` of ``n`` values is the value of rank
-``max(1, ceil(q*n))``, met within ``rank_error`` ranks, at most ``eps*n`` (and always exact
-while ``eps*n`` is under one).
+without a counted value gives no row; a null group is a group; a percentile ``q`` of ``n``
+values is the value of rank ``max(1, ceil(q*n))``, met within ``rank_error`` ranks, at most
+``eps*n`` (and always exact while ``eps*n`` is under one).
 """
 
 from __future__ import annotations
@@ -21,13 +23,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.session import shuffle_width
+from assaylake.session import shuffle_width, spread
 
-LEVELS = 4  # one at the batches, three merges
-SUMMARY = "n bigint, vals array<double>, lo array<bigint>, hi array<bigint>"
+ROWS = 500_000  # rows that a task summarises at a time
+FAN = 4096  # summaries of one key that are merged by one task
+KEYS = ["scope", "scope_key", "metric"]
+SUMMARY = "scope string, scope_key string, metric string, n bigint, vals array<double>, lo array<bigint>, hi array<bigint>"
+NAMES = [*KEYS, "n", "vals", "lo", "hi"]
 
 
 def compress(v: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int, room: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,147 +89,166 @@ def query(n: int, v: np.ndarray, lo: np.ndarray, hi: np.ndarray, q: float) -> fl
     return float(v[int(np.argmin(np.maximum(r - lo, hi - r)))])
 
 
-def _batch_summaries(keys: list[str], metrics: list[str], room: float):
-    """Summaries of each batch; groups of few rows are laid out without a loop."""
+def _group_summaries(code: np.ndarray, x: np.ndarray, room: float) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Summaries of the values of each code: codes, sizes, and the flat vals, lo, hi and lengths.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            frame = b.to_pandas()
-            code, names = frame.groupby(keys, sort=False, dropna=False).ngroup().to_numpy(), frame[keys]
-            first = pd.Series(np.arange(len(code))).groupby(code).first().to_numpy()
-            for m in metrics:
-                x = frame[m].to_numpy(dtype=float, na_value=np.nan)
+    Groups of few values are laid out without a loop.
+    """
+    order = np.lexsort((x, code))
+    c, x = code[order], x[order]
+    cut = np.concatenate(([0], np.flatnonzero(np.diff(c)) + 1, [len(c)]))
+    size = np.diff(cut)
+    rank = np.arange(len(x), dtype=np.int64) - np.repeat(cut[:-1], size) + 1
+    lo, hi, length = rank, rank, size.copy()
+    big = np.flatnonzero(size * room >= 1)
+    if len(big):
+        parts, at = [], 0
+        for g in big:
+            a, e = cut[g], cut[g + 1]
+            kept = compress(x[a:e], rank[a:e], rank[a:e], int(size[g]), size[g] * room)
+            before = slice(cut[at], a)
+            parts += [(x[before], rank[before], rank[before]), kept]
+            length[g], at = len(kept[0]), g + 1
+        rest = slice(cut[at], None)
+        parts.append((x[rest], rank[rest], rank[rest]))
+        x, lo, hi = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    return c[cut[:-1]], size, [x, lo, hi, length]
+
+
+def _summaries(scopes: list[str], metrics: list[str], room: float):
+    """Arrow stream of summaries; columns come as one key per scope, then the metrics."""
+
+    def make(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        for k, scope in enumerate(scopes):
+            code, keys = pd.factorize(t.column(k).to_pandas(), use_na_sentinel=False)
+            keys = pa.array([None if v is None or v != v else v for v in keys], pa.string())
+            for j, m in enumerate(metrics):
+                x = t.column(len(scopes) + j).to_numpy()
+                x = np.array(x, dtype=float)
                 ok = ~np.isnan(x)
-                c, x = code[ok], x[ok]
-                if not len(x):
+                if not ok.any():
                     continue
-                order = np.lexsort((x, c))
-                c, x = c[order], x[order]
-                cut = np.concatenate(([0], np.flatnonzero(np.diff(c)) + 1, [len(c)]))
-                size = np.diff(cut)
-                rank = np.arange(len(x)) - np.repeat(cut[:-1], size) + 1
-                vals, lo, hi, kept = [], [], [], []
-                big = np.flatnonzero(size * room >= 1)
-                if len(big):
-                    at = 0
-                    for g in big:
-                        a, e = cut[g], cut[g + 1]
-                        vals.append(x[cut[at] : a]), lo.append(rank[cut[at] : a]), hi.append(rank[cut[at] : a])
-                        kv, kl, kh = compress(x[a:e], rank[a:e], rank[a:e], int(size[g]), size[g] * room)
-                        vals.append(kv), lo.append(kl), hi.append(kh)
-                        kept.append(len(kv))
-                        at = g + 1
-                    vals.append(x[cut[at] :]), lo.append(rank[cut[at] :]), hi.append(rank[cut[at] :])
-                    x, rl, rh = np.concatenate(vals), np.concatenate(lo), np.concatenate(hi)
-                    length = size.copy()
-                    length[big] = kept
-                else:
-                    rl, rh, length = rank, rank, size
+                who, size, (v, lo, hi, length) = _group_summaries(code[ok], x[ok], room)
                 off = pa.array(np.concatenate(([0], np.cumsum(length))), pa.int32())
-                lists = [pa.ListArray.from_arrays(off, pa.array(a)) for a in (x, rl.astype(np.int64), rh.astype(np.int64))]
-                who = b.select(keys).take(pa.array(first[c[cut[:-1]]]))
-                cols = [*who.columns, pa.array([m] * len(size)), pa.array(size.astype(np.int64)), *lists]
-                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "metric", "n", "vals", "lo", "hi"])
+                lists = [pa.ListArray.from_arrays(off, pa.array(y)) for y in (v, lo, hi)]
+                n = len(size)
+                cols = [pa.array([scope] * n), keys.take(pa.array(who)), pa.array([m] * n), pa.array(size.astype(np.int64)), *lists]
+                made = pa.RecordBatch.from_arrays(cols, names=NAMES)
+                for s in range(0, n, 10_000):
+                    yield made.slice(s, 10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                rows += b.num_rows
+            if rows >= ROWS:
+                yield from make(held)
+                held, rows = [], 0
+        if held:
+            yield from make(held)
 
     return run
 
 
-def _merge_sorted(keys: list[str], room: float):
-    """Merge the summaries of each key; rows come sorted by key, a key at a time is held."""
+def _lists(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """vals, lo and hi of each row."""
+    flat = [b[c].flatten().to_numpy(zero_copy_only=False) for c in ("vals", "lo", "hi")]
+    off = np.concatenate(([0], np.cumsum(b["vals"].value_lengths().to_numpy(zero_copy_only=False))))
+    for i in range(b.num_rows):
+        yield tuple(f[off[i] : off[i + 1]] for f in flat)
+
+
+def _merge_sorted(room: float):
+    """Merge the summaries of each bucket and key; rows come sorted, one key at a time is held."""
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def out(rows: list) -> pa.RecordBatch:
-        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-        return pa.RecordBatch.from_arrays(cols, names=[*keys, "metric", "n", "vals", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["bucket", *NAMES])
 
-    types: list = []
+    def closed(key: tuple, parts: list) -> tuple:
+        n, v, lo, hi = merge(parts)
+        return (*key, n, *compress(v, lo, hi, n, n * room))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, parts, done = None, [], []
-
-        def close():
-            n, v, lo, hi = merge(parts)
-            v, lo, hi = compress(v, lo, hi, n, n * room)
-            done.append((*last, n, v, lo, hi))
-
         for b in batches:
-            if not types:
-                types.extend(b.schema.field(k).type for k in [*keys, "metric", "n", "vals", "lo", "hi"])
-            who = list(zip(*[b[k].to_pylist() for k in [*keys, "metric"]]))
-            n = b["n"].to_pylist()
-            flat = [b[c].flatten().to_numpy(zero_copy_only=False) for c in ("vals", "lo", "hi")]
-            off = np.concatenate(([0], np.cumsum(b["vals"].value_lengths().to_numpy(zero_copy_only=False))))
-            for i, k in enumerate(who):
-                if k != last:
+            for key, n, lists in zip(zip(*[b[k].to_pylist() for k in ["bucket", *KEYS]]), b["n"].to_pylist(), _lists(b)):
+                if key != last:
                     if parts:
-                        close()
-                    last, parts = k, []
-                parts.append((n[i], *[f[off[i] : off[i + 1]] for f in flat]))
+                        done.append(closed(last, parts))
+                    last, parts = key, []
+                parts.append((n, *lists))
                 if len(parts) >= 64:
                     parts = [merge(parts)]
                 if len(done) >= 4096:
                     yield out(done)
                     done = []
         if parts:
-            close()
+            done.append(closed(last, parts))
         if done:
             yield out(done)
 
     return run
 
 
-def summarise(df: DataFrame, keys: list[str], metrics: list[str], eps: float = 0.005) -> DataFrame:
-    """One summary per batch, key and metric, compressed to a share of ``eps``."""
-    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    plain = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics])
-    return plain.mapInArrow(_batch_summaries(keys, metrics, eps / LEVELS), f"{kinds}, metric string, {SUMMARY}")
+def fans_for(tasks: int, per_task: int = 16) -> tuple[int, ...]:
+    """Buckets on each level of the tree, the last being one.
+
+    A task gives out few summaries of a key; ``per_task`` allows for partitions of many rows.
+    """
+    fans, left = [], tasks * per_task
+    while left > FAN:
+        left = math.ceil(left / FAN)
+        fans.append(left)
+    return (*fans, 1)
+
+
+def summarise(df: DataFrame, scopes: dict[str, Column], metrics: list[str], eps: float) -> DataFrame:
+    """Summaries of each task's rows for every scope and metric, compressed to ``eps``.
+
+    scopes: name of a scope to the column that gives its key; a literal for the whole table.
+    """
+    keys = [c.cast("string").alias(f"k{i}") for i, c in enumerate(scopes.values())]
+    rows = df.select(*keys, *[F.col(m).cast("double").alias(f"m{j}") for j, m in enumerate(metrics)])
+    return spread(rows).mapInArrow(_summaries(list(scopes), metrics, eps), SUMMARY)
 
 
-def merge_summaries(parts: DataFrame, keys: list[str], eps: float = 0.005, fans: tuple[int, ...] = (4096, 64, 1)) -> DataFrame:
-    """Merge the summaries of each key in a tree: so many buckets on each level, at last one."""
-    kinds = ", ".join(f"{k} {parts.schema[k].dataType.simpleString()}" for k in keys)
+def merge_summaries(parts: DataFrame, eps: float, fans: tuple[int, ...] = (1,)) -> DataFrame:
+    """Merge the summaries of each key in a tree, compressing to ``eps`` on each level."""
     width = shuffle_width(parts.sparkSession)
     level = parts.withColumn("bucket", F.xxhash64("n", F.element_at("vals", 1), F.element_at("vals", -1), F.size("vals")))
     for fan in fans:
-        held = [*keys, "bucket"]
         level = (
-            level.select(*keys, F.pmod("bucket", F.lit(fan).cast("bigint")).alias("bucket"), "metric", "n", "vals", "lo", "hi")
-            .repartition(width, *held, "metric")
-            .sortWithinPartitions(*held, "metric")
-            .mapInArrow(_merge_sorted(held, eps / LEVELS), f"{kinds}, bucket bigint, metric string, {SUMMARY}")
+            level.select(F.pmod("bucket", F.lit(fan).cast("bigint")).alias("bucket"), *NAMES)
+            .repartition(width, "bucket", *KEYS)
+            .sortWithinPartitions("bucket", *KEYS)
+            .mapInArrow(_merge_sorted(eps), f"bucket bigint, {SUMMARY}")
         )
     return level.drop("bucket")
 
 
-def _answers(keys: list[str], probs: list[float]):
+def _answers(probs: list[float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = b["n"].to_pylist()
-            flat = [b[c].flatten().to_numpy(zero_copy_only=False) for c in ("vals", "lo", "hi")]
-            off = np.concatenate(([0], np.cumsum(b["vals"].value_lengths().to_numpy(zero_copy_only=False))))
-            cols = [[] for _ in range(len(probs) + 1)]
-            for i, size in enumerate(n):
-                v, lo, hi = (f[off[i] : off[i + 1]] for f in flat)
-                for c, q in zip(cols, probs):
-                    c.append(query(size, v, lo, hi, q))
-                cols[-1].append(error(lo, hi))
-            yield pa.RecordBatch.from_arrays([*[b[k] for k in [*keys, "metric", "n"]], *[pa.array(c, pa.float64()) for c in cols]], names=[*keys, "metric", "n", *[f"p{round(q * 100)}" for q in probs], "rank_error"])
+            got = [(*(query(n, *lists, q) for q in probs), error(*lists[1:])) for n, lists in zip(b["n"].to_pylist(), _lists(b))]
+            cols = [pa.array([g[i] for g in got], pa.float64()) for i in range(len(probs) + 1)]
+            yield pa.RecordBatch.from_arrays([*[b[k] for k in [*KEYS, "n"]], *cols], names=[*KEYS, "n", *[f"p{round(q * 100)}" for q in probs], "rank_error"])
 
     return run
 
 
-def percentiles(summaries: DataFrame, keys: list[str], probs: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
-    """(keys, metric, n, p50, ..., rank_error) read from the summaries."""
-    kinds = ", ".join(f"{k} {summaries.schema[k].dataType.simpleString()}" for k in keys)
+def percentiles(summaries: DataFrame, probs: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """(scope, scope_key, metric, n, p50, ..., rank_error) read from the summaries."""
     answers = ", ".join(f"p{round(q * 100)} double" for q in probs)
-    return summaries.select(*keys, "metric", "n", "vals", "lo", "hi").mapInArrow(_answers(keys, list(probs)), f"{kinds}, metric string, n bigint, {answers}, rank_error double")
+    return summaries.mapInArrow(_answers(list(probs)), f"scope string, scope_key string, metric string, n bigint, {answers}, rank_error double")
 
 
 def percentiles_by_scope(df: DataFrame, run: str, at: str, metrics: list[str], eps: float = 0.005) -> DataFrame:
     """Percentiles per run, per day and over all rows from one pass over the table."""
-    rows = df.select(F.col(run).cast("string").alias("run"), F.date_format(F.to_date(F.col(at)), "yyyy-MM-dd").alias("day"), *metrics)
-    parts = summarise(rows, ["run", "day"], metrics, eps)
-    scopes = F.explode(F.array(F.struct(F.lit("run").alias("scope"), F.col("run").alias("scope_key")), F.struct(F.lit("day").alias("scope"), F.col("day").alias("scope_key")), F.struct(F.lit("all").alias("scope"), F.lit("all").alias("scope_key"))))
-    each = parts.select(scopes.alias("s"), "metric", "n", "vals", "lo", "hi").select("s.scope", "s.scope_key", "metric", "n", "vals", "lo", "hi")
-    return percentiles(merge_summaries(each, ["scope", "scope_key"], eps), ["scope", "scope_key"])
+    scopes = {"run": F.col(run), "day": F.date_format(F.to_date(F.col(at)), "yyyy-MM-dd"), "all": F.lit("all")}
+    fans = fans_for(df.rdd.getNumPartitions())
+    share = eps / (len(fans) + 1)
+    return percentiles(merge_summaries(summarise(df, scopes, metrics, share), share, fans))

@@ -5,6 +5,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from assaylake.llm import quantiles as Q
 
 
@@ -34,29 +36,32 @@ def test_merged_bounds_hold(parts, eps):
 
 def test_hierarchical_merge_in_spark(spark):
     rng = random.Random(1)
-    rows = [("hot" if i % 3 == 0 else f"r{i % 11}", rng.choice([None, float("nan"), 1e12, math.inf, 1.0, *(rng.gauss(0, 1) for _ in range(8))])) for i in range(20_000)]
-    df = spark.createDataFrame(rows, "run string, x double").repartition(5)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    try:
-        parts = Q.summarise(df, ["run"], ["x"], 0.02)
-        got = {r.run: r for r in Q.percentiles(Q.merge_summaries(parts, ["run"], 0.02), ["run"]).collect()}
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    for run, r in got.items():
-        v = np.array([x for g, x in rows if g == run and x is not None and not math.isnan(x)])
-        assert r.n == len(v) and r.rank_error <= 0.02 * r.n
-        for q, answer in ((0.5, r.p50), (0.9, r.p90), (0.99, r.p99)):
-            assert off(v, answer, q) <= r.rank_error + 1e-9
+    rows = [("hot" if i % 3 == 0 else None if i % 50 == 1 else f"r{i % 11}", rng.choice([None, float("nan"), 1e12, math.inf, 1.0, *(rng.gauss(0, 1) for _ in range(8))])) for i in range(20_000)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "run string, x double, scope string").repartition(40)
+    for fans in ((1,), (7, 1), (16, 4, 1)):
+        share = 0.02 / (len(fans) + 1)
+        parts = Q.summarise(df, {"run": F.col("run"), "all": F.lit("all")}, ["x"], share)
+        got = {(r.scope, r.scope_key): r for r in Q.percentiles(Q.merge_summaries(parts, share, fans)).collect()}
+        assert len(got) == 14
+        for (scope, key), r in got.items():
+            v = np.array([x for g, x in rows if (scope == "all" or g == key) and x is not None and not math.isnan(x)])
+            assert r.n == len(v) and r.rank_error <= 0.02 * r.n
+            for q, answer in ((0.5, r.p50), (0.9, r.p90), (0.99, r.p99)):
+                assert off(v, answer, q) <= r.rank_error + 1e-9
 
 
 def test_days_can_be_put_together(spark):
     df = spark.createDataFrame([(str(i % 2), float(i)) for i in range(4000)], "day string, x double")
-    days = Q.merge_summaries(Q.summarise(df, ["day"], ["x"]), ["day"])
-    both = Q.merge_summaries(days.selectExpr("'all' as day", "metric", "n", "vals", "lo", "hi"), ["day"])
-    r = Q.percentiles(both, ["day"]).first()
+    days = Q.merge_summaries(Q.summarise(df, {"day": F.col("day")}, ["x"], 0.0025), 0.0025)
+    both = Q.merge_summaries(days.withColumns({"scope": F.lit("both"), "scope_key": F.lit("both")}), 0.0025)
+    r = Q.percentiles(both).first()
     assert r.n == 4000 and abs(r.p50 - 1999) <= 0.01 * 4000
 
 
+def test_levels_follow_the_number_of_tasks():
+    assert Q.fans_for(8) == (1,) and Q.fans_for(1000) == (4, 1) and Q.fans_for(10**7) == (39063, 10, 1)
+
+
 def test_nothing_counted(spark):
     df = spark.createDataFrame([("r", None, None), ("r", float("nan"), None)], "run string, x double, at timestamp")
     assert Q.percentiles_by_scope(df, "run", "at", ["x"]).count() == 0
