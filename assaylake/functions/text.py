@@ -61,3 +61,14 @@ def text_of(c: Column, kind: str) -> Column:
         usual = (a == 0) | ((a >= 1e-4) & (a < 1e16))
         return F.when(c.isNull() | F.isnan(c), "").when(usual & (a >= 1e7), plain).when(usual & (a < 1e-3) & (a > 0), plain).when(usual, c.cast("string")).otherwise(sci)
     return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def safe_stem(c: Column) -> Column:
+    """Lower-case file stem: letters, digits, dots, hyphens and underscores only."""
+    kept = F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}._-]", "_")
+    return F.coalesce(F.nullif(F.regexp_replace(kept, "^_+|_+$", ""), F.lit("")), F.lit("dataset"))
+
+
+def split_ids(c: Column) -> Column:
+    """Ids of a list in one text, empty ones left out."""
+    return F.filter(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: x != "")

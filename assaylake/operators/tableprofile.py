@@ -71,3 +71,19 @@ def column_warnings(obs_columns: list[str], var_columns: list[str]) -> list[str]
     if not set(VAR_RECOMMENDED) & set(var_columns):
         out.append("missing recommended gene identifier columns: " + ", ".join(sorted(VAR_RECOMMENDED)))
     return out
+
+
+def profile_warnings(obs_columns: list[str], var_columns: list[str], shapes: DataFrame) -> DataFrame:
+    """(dataset_id, warnings) from column names and the shape of each data set.
+
+    shapes: dataset_id, n_obs, n_vars, obs_rows, var_rows, count_layers, integer_like. Warnings
+    keep their order, each text once; a null number of rows is not compared.
+    """
+    named = [F.lit(w) for w in column_warnings(obs_columns, var_columns)]
+    found = [
+        F.when(F.coalesce("count_layers", F.lit(0)) == 0, "no raw object or count layer found; X is treated as counts"),
+        F.when(~F.coalesce("integer_like", F.lit(False)), "sampled X values are not integer-like"),
+        F.when(F.col("obs_rows") != F.col("n_obs"), "obs row count does not match X rows"),
+        F.when(F.col("var_rows") != F.col("n_vars"), "var row count does not match X columns"),
+    ]
+    return shapes.select("dataset_id", F.array_distinct(F.filter(F.array(*named, *found), lambda w: w.isNotNull())).alias("warnings"))

@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, notebooks) a temporary folder is set.
+    Only a local session that names none (tests, notebooks) gets a temporary folder; on a
+    cluster a folder that all executors share has to be named.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("name a shared folder in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="assaylake-ckpt-"))
 
 

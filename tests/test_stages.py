@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaylake.functions.numbering import latest, number_rows
-from assaylake.functions.text import is_missing_profile, is_missing_qc, normalize, text_of, to_count, to_double
+from assaylake.functions.text import is_missing_profile, is_missing_qc, normalize, safe_stem, split_ids, text_of, to_count, to_double
 from assaylake.operators import cellqc, contrast, curate, effects, harmonize, meta, pseudobulk, tableprofile
 
 COND = ["condition_id", "dataset_id", "cell_line", "cell_type", "disease", "perturbation_id", "dose", "dose_unit", "time", "time_unit", "control_status", "is_control", "batch_id", "replicate_id", "cell_count"]
@@ -147,6 +147,17 @@ def test_text_helpers(spark):
     assert got == [str(v) if v is not None else "" for v in values]
 
 
+def test_stems_and_id_lists(spark):
+    df = spark.createDataFrame([("My Set/1 ", "a;;b"), ("__", ""), (None, None)], "s string, ids string")
+    assert [tuple(r) for r in df.select(safe_stem(F.col("s")), split_ids(F.col("ids"))).collect()] == [("my_set_1", ["a", "b"]), ("dataset", []), ("dataset", [])]
+
+
+def test_profile_warnings(spark):
+    shapes = spark.createDataFrame([("a", 3, 2, 3, 5, 0, False), ("b", 3, 2, None, None, 1, True)], "dataset_id string, n_obs int, n_vars int, obs_rows int, var_rows int, count_layers int, integer_like boolean")
+    got = {r.dataset_id: r.warnings for r in tableprofile.profile_warnings(["perturbation", *tableprofile.OBS_RECOMMENDED], ["gene_id"], shapes).collect()}
+    assert got["b"] == [] and got["a"] == ["no raw object or count layer found; X is treated as counts", "sampled X values are not integer-like", "var row count does not match X columns"]
+
+
 def test_numbering_and_latest(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     got = number_rows(df, ["k"]).collect()
