@@ -26,6 +26,18 @@ def number_rows(df: DataFrame, order: list[str], name: str = "number") -> DataFr
     return local.join(F.broadcast(sizes), "__part").withColumn(name, F.col("__at") + F.col("__ahead") + 1).drop("__part", "__at", "__ahead")
 
 
+def number_within(df: DataFrame, group: str, order: list[str], name: str = "number") -> DataFrame:
+    """Adds 1, 2, 3 ... within each group, in the order of the given columns.
+
+    All rows are numbered in the order of group and columns; each group's first number is taken
+    off again. So no task sorts a group by itself, however many rows it has.
+    """
+    numbered = number_rows(df, [group, *order], name)
+    first = numbered.groupBy(F.col(group).alias("__group")).agg(F.min(name).alias("__first"))
+    out = numbered.join(first, F.col(group).eqNullSafe(F.col("__group")))
+    return out.withColumn(name, F.col(name) - F.col("__first") + 1).drop("__group", "__first")
+
+
 def latest(df: DataFrame, key: list[str], by: str) -> DataFrame:
     """The row of each key that was loaded last; the rest are repeats or corrections.
 

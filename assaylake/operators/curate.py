@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assaylake.functions.numbering import number_rows
 from assaylake.functions.text import strip
 
 
@@ -40,7 +41,7 @@ def repair_labels(cells: DataFrame, identities: DataFrame, barcode: str, control
     identities: barcode, ord, guide, reads, umis. Cells without an identity have matched false.
     """
     last = identities.groupBy("barcode").agg(F.max_by(F.struct("guide", "reads", "umis"), "ord").alias("r"))
-    whole = lambda c: F.coalesce(strip(F.col(c).cast("string")).try_cast("double"), F.lit(0.0)).cast("bigint")
+    whole = lambda c: F.coalesce(strip(F.col(c).cast("string")).try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
     ctl = F.col("r.guide").isin(controls)
     out = cells.join(last, cells[barcode] == last["barcode"], "left").drop(last["barcode"])
     hit = F.col("r").isNotNull()
@@ -69,8 +70,13 @@ def compare(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def islands(ordinals: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """Contiguous runs of ordinals of each key: (key, first, last, n)."""
-    from pyspark.sql import Window
+    """Contiguous runs of ordinals of each key: (key, first, last, n).
 
-    at = F.row_number().over(Window.partitionBy(key).orderBy(ordinal))
-    return ordinals.select(key, ordinal).distinct().withColumn("__run", F.col(ordinal) - at).groupBy(key, "__run").agg(F.min(ordinal).alias("first"), F.max(ordinal).alias("last"), F.count("*").alias("n")).drop("__run")
+    A run starts where the ordinal before is missing and ends where the next one is. In the
+    order of key and ordinal the starts and the ends alternate, so the n-th start belongs to the
+    n-th end, and no key's rows have to meet in one task.
+    """
+    rows = ordinals.select(F.col(key).alias("k"), F.col(ordinal).cast("bigint").alias("o")).where("k is not null and o is not null").distinct()
+    edge = lambda step: number_rows(rows.join(rows.select("k", (F.col("o") + step).alias("o")), ["k", "o"], "left_anti"), ["k", "o"])
+    ends = edge(-1).select("number", F.col("o").alias("last"))
+    return edge(1).join(ends, "number").select(F.col("k").alias(key), F.col("o").alias("first"), "last", (F.col("last") - F.col("o") + 1).alias("n"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaylake.functions.numbering import number_within
 from assaylake.operators.pseudobulk import log1p_cpm
 
 
@@ -29,9 +30,7 @@ def intervention_effects(sums: DataFrame, groups: DataFrame, min_cells: int = 50
     """
     roles = groups.select("group_id", "dataset_id", (F.col("is_control") == "true").alias("control"), "cell_count", "perturbation_id", "first_ord")
     treated = roles.where(~F.col("control") & (F.col("cell_count") >= min_cells))
-    # groups are ordered within their data set, some thousands at most
-    number = F.row_number().over(Window.partitionBy("dataset_id").orderBy("first_ord"))
-    treated = treated.withColumn("contrast_id", F.concat(F.col("dataset_id"), F.lit("_contrast_"), F.lpad(number.cast("string"), 7, "0")))
+    treated = number_within(treated, "dataset_id", ["first_ord"]).withColumn("contrast_id", F.format_string("%s_contrast_%07d", "dataset_id", "number"))
     pooled = sums.join(roles.where("control").select("dataset_id", "group_id"), ["dataset_id", "group_id"], "left_semi").groupBy("dataset_id", "feature_id").agg(F.sum("count_sum").alias("control_sum"))
     control_lib = pooled.groupBy("dataset_id").agg(F.sum("control_sum").alias("control_lib"))
     key = ["dataset_id", "contrast_id"]

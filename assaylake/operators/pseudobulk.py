@@ -10,9 +10,10 @@ dropped; null values count as 0; zero sums are not stored; empty tables give no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assaylake.functions.numbering import number_within
 from assaylake.functions.text import blank
 from assaylake.operators.harmonize import GRAINS
 
@@ -21,10 +22,8 @@ def groups(cells: DataFrame, grain: str) -> DataFrame:
     """Groups of a grain, numbered within each data set in the order they are first seen."""
     keys = GRAINS[grain]
     each = cells.select(*[blank(F.col(k).cast("string")).alias(k) for k in keys], "cell_ord").groupBy(*keys).agg(F.count("*").alias("cell_count"), F.min("cell_ord").alias("first_ord"))
-    # groups, not cells, are ordered; a data set has at most some thousands
-    at = F.row_number().over(Window.partitionBy("dataset_id").orderBy("first_ord"))
-    label = F.concat(F.col("dataset_id"), F.lit(f"_{grain.replace('-', '_')}_"), F.lpad(at.cast("string"), 7, "0"))
-    return each.select(label.alias("group_id"), *keys, "cell_count", "first_ord")
+    label = F.format_string(f"%s_{grain.replace('-', '_')}_%07d", "dataset_id", "number")
+    return number_within(each, "dataset_id", ["first_ord"]).select(label.alias("group_id"), *keys, "cell_count", "first_ord")
 
 
 def cell_groups(cells: DataFrame, grouped: DataFrame, grain: str) -> DataFrame:

@@ -233,6 +233,32 @@ def curate_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts.groupBy("dataset_id", "feature_id").agg(F.sum("value").alias("count_sum"))
 
 
+def kept_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Contiguous runs of the cells that are left after one status is dropped."""
+    return curate.islands(order_cells(spark, d).where("replicate_id <> 'F'"), "dataset_id", "cell_ord")
+
+
+def repair_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Guides joined to cells by barcode, the last delivery of a barcode winning."""
+    seen = read(spark, d, "obs_cells").where("perturbation_id is not null")
+    at = F.struct("loaded_at", "dataset_id", "cell_id")
+    ids = seen.select(F.col("source_cell_barcode").alias("barcode"), at.alias("ord"), F.col("guide_id").alias("guide"), F.col("n_genes").alias("reads"), F.col("n_genes").alias("umis"))
+    cells = latest_cells(spark, d).select("dataset_id", "cell_id", "source_cell_barcode")
+    fixed = curate.repair_labels(cells, ids.where("barcode is not null"), "source_cell_barcode", ["", "nan"])
+    return fixed.groupBy("dataset_id", "matched", "control_status", "nperts").agg(F.count("*").alias("cells"), F.sum("read_count").alias("reads"))
+
+
+VAR_FIELDS = ["gene_symbol", "gene_name", "chromosome", "start", "gene_type"]
+
+
+def var_harmonize(spark: SparkSession, d: str) -> DataFrame:
+    """Features of the raw records as delivered, on the canonical feature fields."""
+    names = ["feature_id", *VAR_FIELDS]
+    rows = read(spark, d, "raw_records").where("kind = 'var'").select("dataset_id", *[F.get_json_object("payload", f"$.{c}").alias(c) for c in names])
+    rows = rows.withColumn("start", F.col("start").try_cast("double").try_cast("bigint"))  # 5.0E3 and 5000 are one place
+    return harmonize.harmonize_var(rows, F.col("dataset_id"), F.col("feature_id")).distinct()
+
+
 def verify_equal(spark: SparkSession, d: str) -> DataFrame:
     """The conditions as delivered against their latest versions."""
     cols = [c for c in read(spark, d, "conditions").columns if c != "loaded_at"]
@@ -260,7 +286,7 @@ QUERIES = {
         obs_harmonize, conditions, interventions, grain_counts, groups_bio_condition, pseudobulk_intervention, pseudobulk_condition, library_size, cpm_log1p,
         effects_intervention, top_genes, effect_stats, contrast_cascade, contrast_controls, contrast_pooled, contrast_members, contrast_summary, effects_pooled,
         meta_gene_consistency, meta_summary, meta_dataset_summary, top_gene_recurrence, qc_perturbation, qc_dataset, profile_columns, profile_value_counts,
-        matrix_profile, curate_filter, curate_counts, verify_equal, release_join, artifact_anti_join,
+        matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, var_harmonize, verify_equal, release_join, artifact_anti_join,
     )
 }
 
@@ -498,6 +524,16 @@ SELECT dataset_id, n_obs, n_vars, count(*) FILTER (WHERE v <> 0) AS nnz, bool_an
     "curate_filter": f"""WITH {_OBS}, k AS (SELECT dataset_id, count(*) AS cells_before, count(*) FILTER (WHERE perturbation_id IS NOT NULL AND lower(perturbation_id) <> 'nan') AS cells_after FROM obs GROUP BY 1)
 SELECT *, cells_before - cells_after AS cells_excluded, CASE WHEN cells_before = cells_after THEN 'passthrough' ELSE 'curated' END AS mode FROM k""",
     "curate_counts": f"{_BASE} SELECT c.dataset_id, feature_id, sum(value) AS count_sum FROM counts c JOIN cells USING (dataset_id, cell_ord) WHERE replicate_id <> 'F' GROUP BY 1, 2",
+    "kept_runs": f"""{_BASE}, k AS (SELECT dataset_id, cell_ord, cell_ord - row_number() OVER (PARTITION BY dataset_id ORDER BY cell_ord) AS run FROM cells WHERE replicate_id <> 'F')
+SELECT dataset_id, min(cell_ord) AS first, max(cell_ord) AS last, max(cell_ord) - min(cell_ord) + 1 AS n FROM k GROUP BY dataset_id, run""",
+    "repair_labels": f"""WITH {_OBS}, ids AS (SELECT source_cell_barcode AS barcode, guide_id, CAST(coalesce(trunc(TRY_CAST(trim(n_genes) AS DOUBLE)), 0) AS BIGINT) AS reads FROM obs_cells
+  WHERE perturbation_id IS NOT NULL AND source_cell_barcode IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_cell_barcode ORDER BY loaded_at DESC, dataset_id DESC, cell_id DESC) = 1),
+r AS (SELECT o.dataset_id, i.barcode IS NOT NULL AS matched, CASE WHEN i.barcode IS NULL THEN NULL WHEN i.guide_id IN ('', 'nan') THEN 'negative_control' ELSE 'targeting' END AS control_status,
+  CASE WHEN i.barcode IS NOT NULL AND i.guide_id IN ('', 'nan') THEN 0 ELSE 1 END AS nperts, coalesce(reads, 0) AS reads FROM obs o LEFT JOIN ids i ON o.source_cell_barcode = i.barcode)
+SELECT dataset_id, matched, control_status, nperts, count(*) AS cells, CAST(sum(reads) AS BIGINT) AS reads FROM r GROUP BY 1, 2, 3, 4""",
+    "var_harmonize": """WITH v AS (SELECT dataset_id, coalesce(payload->>'$.feature_id', '') AS feature_id, coalesce(payload->>'$.gene_symbol', '') AS gene_symbol, coalesce(payload->>'$.chromosome', '') AS chromosome,
+  coalesce(CAST(CAST(TRY_CAST(payload->>'$.start' AS DOUBLE) AS BIGINT) AS VARCHAR), '') AS start, coalesce(payload->>'$.gene_type', '') AS gene_type FROM raw_records WHERE kind = 'var' AND json_valid(payload))
+SELECT DISTINCT dataset_id, feature_id, feature_id AS gene_id, CASE WHEN gene_symbol = '' THEN feature_id ELSE gene_symbol END AS gene_symbol, '' AS ensembl_id, chromosome, start, '' AS "end", gene_type, '' AS highly_variable FROM v""",
     "verify_equal": f"""WITH {_COND}, l AS (SELECT * EXCLUDE (loaded_at), count(*) AS a FROM conditions GROUP BY ALL), r AS (SELECT * EXCLUDE (loaded_at), count(*) AS b FROM cond GROUP BY ALL),
 u AS (SELECT *, 0 AS b FROM l UNION ALL SELECT * EXCLUDE (b), 0 AS a, b FROM r), k AS (SELECT * EXCLUDE (a, b), sum(a) AS a, sum(b) AS b FROM u GROUP BY ALL), s AS (
   SELECT CAST(sum(a) AS BIGINT) AS left_rows, CAST(sum(b) AS BIGINT) AS right_rows, CAST(sum(greatest(0, a - b)) AS BIGINT) AS only_left, CAST(sum(greatest(0, b - a)) AS BIGINT) AS only_right FROM k)
