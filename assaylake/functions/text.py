@@ -59,7 +59,9 @@ def text_of(c: Column, kind: str) -> Column:
         sci = F.regexp_replace(F.lower(c.cast("string")), r"\.0e", "e")
         sci = F.regexp_replace(F.regexp_replace(sci, r"e(-?)(\d)$", "e$1" + "0$2"), r"e(\d)", "e+$1")
         usual = (a == 0) | ((a >= 1e-4) & (a < 1e16))
-        return F.when(c.isNull() | F.isnan(c), "").when(usual & (a >= 1e7), plain).when(usual & (a < 1e-3) & (a > 0), plain).when(usual, c.cast("string")).otherwise(sci)
+        return F.when(c.isNull() | F.isnan(c), "").when(usual & (a >= 1e7), plain).when(
+            usual & (a < 1e-3) & (a > 0), plain
+        ).when(usual, c.cast("string")).otherwise(sci)
     return F.coalesce(c.cast("string"), F.lit(""))
 
 

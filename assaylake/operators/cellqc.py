@@ -20,14 +20,25 @@ CONTROL = ["control_status", "is_control"]
 BATCH = ["batch", "batch_id", "replicate", "replicate_id", "plate", "gem_group"]
 
 
-def qc_vectors(cells: DataFrame, perturbation: list[str] = PERTURBATION, control: list[str] = CONTROL, batch: list[str] = BATCH) -> tuple[DataFrame, dict[str, str | None]]:
+def qc_vectors(cells: DataFrame, perturbation: list[str] = PERTURBATION, control: list[str] = CONTROL, batch: list[str] = BATCH) -> tuple[
+    DataFrame, dict[str, str | None]
+]:
     """(dataset_id, perturbation, control, batch) of each cell, and the columns they came from."""
-    used = {"perturbation": first_existing(cells.columns, perturbation), "control": first_existing(cells.columns, control), "batch": first_existing(cells.columns, batch)}
+    used = {
+        "perturbation": first_existing(cells.columns, perturbation),
+        "control": first_existing(cells.columns, control),
+        "batch": first_existing(cells.columns, batch)
+    }
     if used["perturbation"] is None:
         raise ValueError("no perturbation column: " + ", ".join(perturbation))
     text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     p, s, b = (text(used[k]) for k in ("perturbation", "control", "batch"))
-    return cells.select("dataset_id", F.when(is_missing_qc(p), "<missing>").otherwise(p).alias("perturbation_id"), is_control(p, s).alias("control"), F.when(~is_missing_qc(b), b).alias("batch")), used
+    return cells.select(
+        "dataset_id",
+        F.when(is_missing_qc(p), "<missing>").otherwise(p).alias("perturbation_id"),
+        is_control(p, s).alias("control"),
+        F.when(~is_missing_qc(b), b).alias("batch")
+    ), used
 
 
 def checked(failures: Column, warnings: Column) -> Column:
@@ -36,8 +47,12 @@ def checked(failures: Column, warnings: Column) -> Column:
 
 def perturbation_qc(vectors: DataFrame, has_batch: bool, min_cells: int = 50, min_control: int = 50) -> DataFrame:
     # distinct batches by two aggregations, so a large perturbation is spread over its batches
-    per_batch = vectors.groupBy("dataset_id", "perturbation_id", "batch").agg(F.count("*").alias("n"), F.count(F.when(F.col("control"), 1)).alias("c"))
-    rows = per_batch.groupBy("dataset_id", "perturbation_id").agg(F.sum("n").alias("cell_count"), F.sum("c").alias("ctl"), F.count("batch").alias("levels"))
+    per_batch = vectors.groupBy("dataset_id", "perturbation_id", "batch").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("control"), 1)).alias("c")
+    )
+    rows = per_batch.groupBy("dataset_id", "perturbation_id").agg(
+        F.sum("n").alias("cell_count"), F.sum("c").alias("ctl"), F.count("batch").alias("levels")
+    )
     totals = per_batch.groupBy("dataset_id").agg(F.sum("c").alias("control_cells_in_dataset"))
     rows = rows.join(totals, "dataset_id").withColumn("is_control", F.col("ctl") == F.col("cell_count"))
     n, t, ctl = F.col("cell_count"), F.col("control_cells_in_dataset"), F.col("is_control")
@@ -53,7 +68,17 @@ def perturbation_qc(vectors: DataFrame, has_batch: bool, min_cells: int = 50, mi
     out = rows.withColumns({"failures": failures, "warnings": warnings})
     status = F.when(ctl, "control").otherwise(checked(F.col("failures"), F.col("warnings")))
     levels = F.col("levels") if has_batch else F.lit(None).cast("bigint")
-    return out.select("dataset_id", "perturbation_id", status.alias("status"), "is_control", "cell_count", "control_cells_in_dataset", levels.alias("batch_level_count"), "failures", "warnings")
+    return out.select(
+        "dataset_id",
+        "perturbation_id",
+        status.alias("status"),
+        "is_control",
+        "cell_count",
+        "control_cells_in_dataset",
+        levels.alias("batch_level_count"),
+        "failures",
+        "warnings"
+    )
 
 
 def dataset_qc(vectors: DataFrame, profiles: DataFrame, has_batch: bool, min_control: int = 50) -> DataFrame:
@@ -63,7 +88,12 @@ def dataset_qc(vectors: DataFrame, profiles: DataFrame, has_batch: bool, min_con
     """
     per_label = vectors.groupBy("dataset_id", "perturbation_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("control"), 1)).alias("c"))
     missing = F.col("perturbation_id") == "<missing>"
-    sums = per_label.groupBy("dataset_id").agg(F.sum("n").alias("cells"), F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("missing_perturbation_cells"), F.count(F.when(~missing, 1)).alias("perturbation_count"), F.sum("c").alias("control_cells"))
+    sums = per_label.groupBy("dataset_id").agg(
+        F.sum("n").alias("cells"),
+        F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("missing_perturbation_cells"),
+        F.count(F.when(~missing, 1)).alias("perturbation_count"),
+        F.sum("c").alias("control_cells")
+    )
     rows = sums.join(profiles, "dataset_id", "left")
     m, c = F.col("missing_perturbation_cells"), F.col("control_cells")
     failures = messages(
@@ -72,6 +102,18 @@ def dataset_qc(vectors: DataFrame, profiles: DataFrame, has_batch: bool, min_con
         (m > 0, "missing perturbation labels: %d", [m]),
         (c < min_control, "control cells below threshold: %d < %d", [c, F.lit(min_control)]),
     )
-    warnings = messages((F.coalesce("count_layers", F.lit(0)) == 0, "no raw object or count layer; X is treated as counts", []), (F.lit(not has_batch), "no explicit batch/replicate column found", []))
+    warnings = messages(
+        (F.coalesce("count_layers", F.lit(0)) == 0, "no raw object or count layer; X is treated as counts", []),
+        (F.lit(not has_batch), "no explicit batch/replicate column found", [])
+    )
     out = rows.withColumns({"failures": failures, "warnings": warnings})
-    return out.select("dataset_id", checked(F.col("failures"), F.col("warnings")).alias("status"), F.col("cells").alias("n_obs"), "perturbation_count", "missing_perturbation_cells", "control_cells", "failures", "warnings")
+    return out.select(
+        "dataset_id",
+        checked(F.col("failures"), F.col("warnings")).alias("status"),
+        F.col("cells").alias("n_obs"),
+        "perturbation_count",
+        "missing_perturbation_cells",
+        "control_cells",
+        "failures",
+        "warnings"
+    )

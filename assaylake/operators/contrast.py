@@ -55,7 +55,18 @@ def condition_contrasts(conditions: DataFrame, min_treated: int = 50, min_contro
         (m == "dataset_fallback", "controls matched only at dataset level", []),
     )
     fields = ["perturbation_id", "cell_line", "cell_type", "disease", "dose", "dose_unit", "time", "time_unit", "batch_id", "replicate_id"]
-    return out.select(F.format_string("condition_contrast_%08d", "number").alias("contrast_id"), "dataset_id", F.col("condition_id").alias("treated_condition_id"), "match_rule", status.alias("status"), reason.alias("reason"), *fields, F.col("cells").alias("treated_cell_count"), "control_cell_count", "control_match_count")
+    return out.select(
+        F.format_string("condition_contrast_%08d", "number").alias("contrast_id"),
+        "dataset_id",
+        F.col("condition_id").alias("treated_condition_id"),
+        "match_rule",
+        status.alias("status"),
+        reason.alias("reason"),
+        *fields,
+        F.col("cells").alias("treated_cell_count"),
+        "control_cell_count",
+        "control_match_count"
+    )
 
 
 def contrast_controls(contrasts: DataFrame, conditions: DataFrame) -> DataFrame:
@@ -66,7 +77,9 @@ def contrast_controls(contrasts: DataFrame, conditions: DataFrame) -> DataFrame:
     controls = prepare(conditions).where("is_control = 'true'")
     parts = None
     for rule, keys in RULES.items():
-        one = contrasts.where(F.col("match_rule") == rule).select("contrast_id", *keys).join(controls.select(*keys, F.col("condition_id").alias("control_condition_id")), keys).select("contrast_id", "control_condition_id")
+        one = contrasts.where(F.col("match_rule") == rule).select("contrast_id", *keys).join(
+            controls.select(*keys, F.col("condition_id").alias("control_condition_id")), keys
+        ).select("contrast_id", "control_condition_id")
         parts = one if parts is None else parts.unionByName(one)
     return parts
 
@@ -107,7 +120,18 @@ def pooled_contrasts(conditions: DataFrame, min_treated: int = 50, min_control:
         ((s > 0) & (s < min_strata), "matched strata below recommendation: %d < %d", [s, F.lit(min_strata)]),
     )
     out = number_rows(sums, CONTEXT)
-    return out.select(F.format_string("pooled_contrast_%08d", "number").alias("contrast_id"), *CONTEXT, status.alias("status"), reason.alias("reason"), F.lit("pooled_context_strata").alias("match_rule"), "treated_cell_count", "control_cell_count", "treated_condition_count", "control_condition_count", "matched_strata_count")
+    return out.select(
+        F.format_string("pooled_contrast_%08d", "number").alias("contrast_id"),
+        *CONTEXT,
+        status.alias("status"),
+        reason.alias("reason"),
+        F.lit("pooled_context_strata").alias("match_rule"),
+        "treated_cell_count",
+        "control_cell_count",
+        "treated_condition_count",
+        "control_condition_count",
+        "matched_strata_count"
+    )
 
 
 def pooled_bridge(conditions: DataFrame, contrasts: DataFrame) -> DataFrame:
@@ -124,7 +148,11 @@ def pooled_bridge(conditions: DataFrame, contrasts: DataFrame) -> DataFrame:
 def member_lists(bridge: DataFrame) -> DataFrame:
     """The members as text lists, as sinks of fixed columns want them."""
     lists = bridge.groupBy("contrast_id", "role").agg(F.concat_ws(";", F.array_sort(F.collect_set("condition_id"))).alias("ids"))
-    return lists.groupBy("contrast_id").pivot("role", ["treated", "control"]).agg(F.first("ids")).select("contrast_id", F.coalesce("treated", F.lit("")).alias("treated_condition_ids"), F.coalesce("control", F.lit("")).alias("control_condition_ids"))
+    return lists.groupBy("contrast_id").pivot("role", ["treated", "control"]).agg(F.first("ids")).select(
+        "contrast_id",
+        F.coalesce("treated", F.lit("")).alias("treated_condition_ids"),
+        F.coalesce("control", F.lit("")).alias("control_condition_ids")
+    )
 
 
 def status_counts(contrasts: DataFrame, by: list[str]) -> DataFrame:

@@ -21,7 +21,13 @@ def with_perturbation(cells: DataFrame, column: str, literal_nan: bool = False)
     return cells.where(keep).withColumn("nperts", F.when(F.lower(c) == "control", 0).otherwise(1))
 
 
-def filter_rows(cells: DataFrame, counts: DataFrame, keep: Column, updates: dict[str, Column] | None = None, key: tuple[str, ...] = ("dataset_id", "cell_ord")) -> tuple[DataFrame, DataFrame]:
+def filter_rows(
+    cells: DataFrame,
+    counts: DataFrame,
+    keep: Column,
+    updates: dict[str, Column] | None = None,
+    key: tuple[str, ...] = ("dataset_id", "cell_ord")
+) -> tuple[DataFrame, DataFrame]:
     """Cells that are kept, with overwritten or added columns, and the counts of just these."""
     kept = cells.where(keep)
     return kept.withColumns(updates or {}), counts.join(kept.select(*key), list(key), "left_semi")
@@ -32,7 +38,12 @@ def accounting(before: DataFrame, after: DataFrame) -> DataFrame:
     b = before.groupBy("dataset_id").agg(F.count("*").alias("cells_before"))
     a = after.groupBy("dataset_id").agg(F.count("*").alias("cells_after"))
     out = b.join(a, "dataset_id", "left").fillna(0)
-    return out.withColumns({"cells_excluded": F.col("cells_before") - F.col("cells_after"), "mode": F.when(F.col("cells_before") == F.col("cells_after"), "passthrough").otherwise("curated")})
+    return out.withColumns(
+        {
+            "cells_excluded": F.col("cells_before") - F.col("cells_after"),
+            "mode": F.when(F.col("cells_before") == F.col("cells_after"), "passthrough").otherwise("curated")
+        }
+    )
 
 
 def repair_labels(cells: DataFrame, identities: DataFrame, barcode: str, controls: list[str]) -> DataFrame:
@@ -61,11 +72,22 @@ def compare(left: DataFrame, right: DataFrame) -> DataFrame:
     Rows are counted on both sides in one aggregation, so each table is shuffled once.
     """
     cols = left.columns
-    both = left.select(*cols, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionByName(right.select(*cols, F.lit(0).alias("__l"), F.lit(1).alias("__r")))
+    both = left.select(*cols, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionByName(
+        right.select(*cols, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    )
     each = both.groupBy(*cols).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r")).withColumn("__h", F.xxhash64(*cols))
-    odd = lambda s: F.coalesce(F.bit_xor(F.when(F.col(s) % 2 == 1, F.col("__h")).otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
+    odd = lambda s: F.coalesce(
+        F.bit_xor(F.when(F.col(s) % 2 == 1, F.col("__h")).otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint")
+    )
     more = lambda a, b: F.coalesce(F.sum(F.greatest(F.lit(0), F.col(a) - F.col(b))), F.lit(0))
-    out = each.agg(F.coalesce(F.sum("__l"), F.lit(0)).alias("left_rows"), F.coalesce(F.sum("__r"), F.lit(0)).alias("right_rows"), more("__l", "__r").alias("only_left"), more("__r", "__l").alias("only_right"), odd("__l").alias("left_digest"), odd("__r").alias("right_digest"))
+    out = each.agg(
+        F.coalesce(F.sum("__l"), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.sum("__r"), F.lit(0)).alias("right_rows"),
+        more("__l", "__r").alias("only_left"),
+        more("__r", "__l").alias("only_right"),
+        odd("__l").alias("left_digest"),
+        odd("__r").alias("right_digest")
+    )
     return out.withColumn("status", F.when((F.col("only_left") == 0) & (F.col("only_right") == 0), "pass").otherwise("fail"))
 
 

@@ -69,7 +69,16 @@ def explode_fields(records: DataFrame) -> DataFrame:
         )
     kind = F.col("kind_of")
     rows = rows.withColumn("kind_of", F.expr("schema_of_variant(value)")).where((F.col("field") != F.col("key_field")) & (kind != "OBJECT<>"))
-    return rows.select("series_id", "file_id", "file_seq", "kind", "key", "field", type_class(kind).alias("type"), F.when(kind != "VOID", F.col("value").cast("string")).alias("value"))
+    return rows.select(
+        "series_id",
+        "file_id",
+        "file_seq",
+        "kind",
+        "key",
+        "field",
+        type_class(kind).alias("type"),
+        F.when(kind != "VOID", F.col("value").cast("string")).alias("value")
+    )
 
 
 def catalogue(fields: DataFrame) -> DataFrame:
@@ -84,7 +93,9 @@ def catalogue(fields: DataFrame) -> DataFrame:
         .when(F.array_contains("types", "list"), "list")
         .otherwise("decimal")
     )
-    each = fields.groupBy("series_id", "file_id", "file_seq", "field").agg(F.collect_set("type").alias("types"), F.count("value").alias("filled")).withColumn("type", wide)
+    each = fields.groupBy("series_id", "file_id", "file_seq", "field").agg(
+        F.collect_set("type").alias("types"), F.count("value").alias("filled")
+    ).withColumn("type", wide)
     files = fields.select("series_id", "file_id", "file_seq").distinct()
     # a series is a chain of files: one short row per file, not per line
     chain = Window.partitionBy("series_id").orderBy("file_seq", "file_id")
@@ -96,22 +107,40 @@ def catalogue(fields: DataFrame) -> DataFrame:
         (F.coalesce(F.lead("place").over(life), F.lit(-1)) != F.col("place") + 1).alias("last"),
     )
     island = F.sum(F.col("first").cast("int")).over(life.rowsBetween(Window.unboundedPreceding, 0))
-    return out.withColumn("island", island).withColumn("type", F.last("type", True).over(Window.partitionBy("series_id", "field", "island").orderBy("place")))
+    return out.withColumn("island", island).withColumn(
+        "type", F.last("type", True).over(Window.partitionBy("series_id", "field", "island").orderBy("place"))
+    )
 
 
 def schema_changes(fields: DataFrame) -> DataFrame:
     """(file_id, change_kind, old_name, new_name) of each file against the one before it."""
     fields = cut(fields)
     cat = cut(catalogue(fields))
-    ended = cat.where(F.col("last") & F.col("next_file").isNotNull()).select("series_id", F.col("file_id").alias("old_file"), F.col("next_file").alias("file_id"), F.col("field").alias("old_name"), F.col("type").alias("old_type"))
-    begun = cat.where(F.col("first") & (F.col("place") > 1)).select("series_id", "file_id", F.col("field").alias("new_name"), F.col("type").alias("new_type"))
+    ended = cat.where(F.col("last") & F.col("next_file").isNotNull()).select(
+        "series_id",
+        F.col("file_id").alias("old_file"),
+        F.col("next_file").alias("file_id"),
+        F.col("field").alias("old_name"),
+        F.col("type").alias("old_type")
+    )
+    begun = cat.where(F.col("first") & (F.col("place") > 1)).select(
+        "series_id", "file_id", F.col("field").alias("new_name"), F.col("type").alias("new_type")
+    )
     # values of dropped and of new fields only, held together key by key
     value = comparable(F.col("value"))
     filled = fields.where("value is not null and key is not null")
-    old = ended.join(filled.select("series_id", F.col("file_id").alias("old_file"), F.col("field").alias("old_name"), "key", value.alias("old_value")), ["series_id", "old_file", "old_name"]).distinct()
-    new = begun.join(filled.select("series_id", "file_id", F.col("field").alias("new_name"), "key", value.alias("new_value")), ["series_id", "file_id", "new_name"]).distinct()
+    old = ended.join(
+        filled.select("series_id", F.col("file_id").alias("old_file"), F.col("field").alias("old_name"), "key", value.alias("old_value")),
+        ["series_id", "old_file", "old_name"]
+    ).distinct()
+    new = begun.join(
+        filled.select("series_id", "file_id", F.col("field").alias("new_name"), "key", value.alias("new_value")),
+        ["series_id", "file_id", "new_name"]
+    ).distinct()
     same = F.col("old_value") == F.col("new_value")
-    pairs = old.join(new, ["series_id", "file_id", "key"]).groupBy("series_id", "file_id", "old_name", "new_name", "old_type", "new_type").agg(F.count("*").alias("n"), F.sum(same.cast("int")).alias("equal"))
+    pairs = old.join(new, ["series_id", "file_id", "key"]).groupBy(
+        "series_id", "file_id", "old_name", "new_name", "old_type", "new_type"
+    ).agg(F.count("*").alias("n"), F.sum(same.cast("int")).alias("equal"))
     fit = pairs.where("n = equal")
     best = lambda a, b: F.row_number().over(Window.partitionBy("series_id", "file_id", a).orderBy(F.col("n").desc(), b))
     renamed = cut(fit.withColumns({"i": best("old_name", "new_name"), "j": best("new_name", "old_name")}).where("i = 1 and j = 1").drop("i", "j"))
@@ -120,9 +149,13 @@ def schema_changes(fields: DataFrame) -> DataFrame:
     added = begun.join(renamed, ["series_id", "file_id", "new_name"], "left_anti").select(row("added", empty, F.col("new_name")))
     removed = ended.join(renamed, ["series_id", "file_id", "old_name"], "left_anti").select(row("removed", F.col("old_name"), empty))
     before = F.lag("type").over(Window.partitionBy("series_id", "field", "island").orderBy("place"))
-    kept = cat.withColumn("before", before).where("before is not null and type is not null and before <> type").select(row("retyped", F.col("field"), F.col("field")))
+    kept = cat.withColumn("before", before).where("before is not null and type is not null and before <> type").select(
+        row("retyped", F.col("field"), F.col("field"))
+    )
     moved = renamed.where("old_type <> new_type").select(row("retyped", F.col("old_name"), F.col("new_name")))
-    return renamed.select(row("renamed", F.col("old_name"), F.col("new_name"))).unionByName(added).unionByName(removed).unionByName(kept).unionByName(moved)
+    return renamed.select(
+        row("renamed", F.col("old_name"), F.col("new_name"))
+    ).unionByName(added).unionByName(removed).unionByName(kept).unionByName(moved)
 
 
 # Names under which the canonical fields are delivered, and the canonical types.
@@ -148,8 +181,14 @@ def unified_table(fields: DataFrame, aliases: dict[str, tuple[str, list[str]]] =
     named = {a: c for c, (_, names) in aliases.items() for a in names}
     canon = F.element_at(F.create_map(*[F.lit(x) for kv in named.items() for x in kv]), F.col("field"))
     v = F.col("value")
-    cast = lambda c, kind: F.max(F.when(F.col("canon") == c, comparable(v).try_cast(kind) if kind != "bigint" else comparable(v).try_cast("double").try_cast("bigint"))).alias(c)
-    spare = F.map_from_entries(F.array_sort(F.collect_set(F.when(F.col("canon").isNull() & v.isNotNull(), F.struct(F.col("field").alias("k"), v.alias("v"))))))
+    cast = lambda c, kind: F.max(
+        F.when(
+            F.col("canon") == c, comparable(v).try_cast(kind) if kind != "bigint" else comparable(v).try_cast("double").try_cast("bigint")
+        )
+    ).alias(c)
+    spare = F.map_from_entries(
+        F.array_sort(F.collect_set(F.when(F.col("canon").isNull() & v.isNotNull(), F.struct(F.col("field").alias("k"), v.alias("v")))))
+    )
     cols = [cast(c, kind) for c, (kind, _) in aliases.items()]
     distinct = fields.withColumn("canon", canon).groupBy("series_id", "file_id", "kind", "key", "field", "canon").agg(F.max("value").alias("value"))
     return distinct.groupBy("series_id", "file_id", "kind", "key").agg(*cols, spare.alias("others"))

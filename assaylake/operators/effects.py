@@ -20,7 +20,9 @@ from assaylake.operators.pseudobulk import log1p_cpm
 def _delta(sides: DataFrame, key: list[str], treated_lib: Column, control_lib: Column, scale: float) -> DataFrame:
     t = log1p_cpm(F.coalesce("treated_sum", F.lit(0.0)), treated_lib, scale)
     c = log1p_cpm(F.coalesce("control_sum", F.lit(0.0)), control_lib, scale)
-    return sides.select(*key, "feature_id", t.alias("treated_log1p_cpm"), c.alias("control_log1p_cpm")).withColumn("effect_size", F.col("treated_log1p_cpm") - F.col("control_log1p_cpm"))
+    return sides.select(*key, "feature_id", t.alias("treated_log1p_cpm"), c.alias("control_log1p_cpm")).withColumn(
+        "effect_size", F.col("treated_log1p_cpm") - F.col("control_log1p_cpm")
+    )
 
 
 def intervention_effects(sums: DataFrame, groups: DataFrame, min_cells: int = 50, scale: float = 1e6) -> DataFrame:
@@ -30,12 +32,18 @@ def intervention_effects(sums: DataFrame, groups: DataFrame, min_cells: int = 50
     """
     roles = groups.select("group_id", "dataset_id", (F.col("is_control") == "true").alias("control"), "cell_count", "perturbation_id", "first_ord")
     treated = roles.where(~F.col("control") & (F.col("cell_count") >= min_cells))
-    treated = number_within(treated, "dataset_id", ["first_ord"]).withColumn("contrast_id", F.format_string("%s_contrast_%07d", "dataset_id", "number"))
-    pooled = sums.join(roles.where("control").select("dataset_id", "group_id"), ["dataset_id", "group_id"], "left_semi").groupBy("dataset_id", "feature_id").agg(F.sum("count_sum").alias("control_sum"))
+    treated = number_within(treated, "dataset_id", ["first_ord"]).withColumn(
+        "contrast_id", F.format_string("%s_contrast_%07d", "dataset_id", "number")
+    )
+    pooled = sums.join(
+        roles.where("control").select("dataset_id", "group_id"), ["dataset_id", "group_id"], "left_semi"
+    ).groupBy("dataset_id", "feature_id").agg(F.sum("count_sum").alias("control_sum"))
     control_lib = pooled.groupBy("dataset_id").agg(F.sum("control_sum").alias("control_lib"))
     key = ["dataset_id", "contrast_id"]
     own = sums.join(treated.select(*key, "group_id", "perturbation_id"), ["dataset_id", "group_id"]).select(*key, "feature_id", "count_sum")
-    libs = treated.select(*key, "perturbation_id").join(own.groupBy(*key).agg(F.sum("count_sum").alias("treated_lib")), key, "left").join(control_lib, "dataset_id").fillna(0.0, ["treated_lib"])
+    libs = treated.select(*key, "perturbation_id").join(
+        own.groupBy(*key).agg(F.sum("count_sum").alias("treated_lib")), key, "left"
+    ).join(control_lib, "dataset_id").fillna(0.0, ["treated_lib"])
     # both sides as rows of one table: the sum over them aligns the features without an outer join
     a = own.select(*key, "feature_id", F.col("count_sum").alias("treated_sum"), F.lit(None).cast("double").alias("control_sum"))
     b = libs.select(*key).join(pooled, "dataset_id").select(*key, "feature_id", F.lit(None).cast("double").alias("treated_sum"), "control_sum")
@@ -43,7 +51,14 @@ def intervention_effects(sums: DataFrame, groups: DataFrame, min_cells: int = 50
     return _delta(sides.join(libs, key), [*key, "perturbation_id"], F.col("treated_lib"), F.col("control_lib"), scale)
 
 
-def pooled_effects(sums: DataFrame, group_of: DataFrame, bridge: DataFrame, contrasts: DataFrame, scale: float = 1e6, include: tuple[str, ...] = ("pass", "warn")) -> DataFrame:
+def pooled_effects(
+    sums: DataFrame,
+    group_of: DataFrame,
+    bridge: DataFrame,
+    contrasts: DataFrame,
+    scale: float = 1e6,
+    include: tuple[str, ...] = ("pass", "warn")
+) -> DataFrame:
     """Effects of the pooled contrasts with an included status, through the member table.
 
     group_of: (condition_id, dataset_id, group_id) of condition-level sums.
@@ -52,10 +67,21 @@ def pooled_effects(sums: DataFrame, group_of: DataFrame, bridge: DataFrame, cont
     members = bridge.join(used, "contrast_id").join(group_of, "condition_id").select("contrast_id", "role", "dataset_id", "group_id")
     both = members.groupBy("contrast_id").agg(F.count_distinct("role").alias("k")).where("k = 2").select("contrast_id")
     members = members.join(both, "contrast_id", "left_semi")
-    pooled = members.join(sums, ["dataset_id", "group_id"]).groupBy("dataset_id", "contrast_id", "feature_id").agg(F.sum(F.when(F.col("role") == "treated", F.col("count_sum"))).alias("treated_sum"), F.sum(F.when(F.col("role") == "control", F.col("count_sum"))).alias("control_sum"))
+    pooled = members.join(sums, ["dataset_id", "group_id"]).groupBy("dataset_id", "contrast_id", "feature_id").agg(
+        F.sum(F.when(F.col("role") == "treated", F.col("count_sum"))).alias("treated_sum"),
+        F.sum(F.when(F.col("role") == "control", F.col("count_sum"))).alias("control_sum")
+    )
     key = ["dataset_id", "contrast_id"]
-    libs = pooled.groupBy(*key).agg(F.coalesce(F.sum("treated_sum"), F.lit(0.0)).alias("treated_lib"), F.coalesce(F.sum("control_sum"), F.lit(0.0)).alias("control_lib"))
-    return _delta(pooled.join(libs, key).join(used, "contrast_id"), [*key, "status", "perturbation_id"], F.col("treated_lib"), F.col("control_lib"), scale)
+    libs = pooled.groupBy(*key).agg(
+        F.coalesce(F.sum("treated_sum"), F.lit(0.0)).alias("treated_lib"), F.coalesce(F.sum("control_sum"), F.lit(0.0)).alias("control_lib")
+    )
+    return _delta(
+        pooled.join(libs, key).join(used, "contrast_id"),
+        [*key, "status", "perturbation_id"],
+        F.col("treated_lib"),
+        F.col("control_lib"),
+        scale
+    )
 
 
 def top_features(effects: DataFrame, n: int = 100) -> DataFrame:
@@ -73,13 +99,24 @@ def pad_top_features(top: DataFrame, features: DataFrame, n: int = 100) -> DataF
     features: (dataset_id, feature_id). Of each data set only the first 2n can be needed.
     """
     key = ["dataset_id", "contrast_id"]
-    first = features.withColumn("at", F.row_number().over(Window.partitionBy("dataset_id").orderBy("feature_id"))).where(F.col("at") <= 2 * n).drop("at")
+    first = features.withColumn(
+        "at", F.row_number().over(Window.partitionBy("dataset_id").orderBy("feature_id"))
+    ).where(F.col("at") <= 2 * n).drop("at")
     short = top.groupBy(*key).agg(F.count("*").alias("have"), F.first("perturbation_id").alias("perturbation_id")).where(F.col("have") < n)
     zeros = short.join(first, "dataset_id").join(top.select(*key, "feature_id"), [*key, "feature_id"], "left_anti")
     rank = F.col("have") + F.row_number().over(Window.partitionBy(*key).orderBy("feature_id"))
     more = zeros.withColumn("rank_abs_effect", rank.cast("int")).where(F.col("rank_abs_effect") <= n)
     nil = F.lit(0.0)
-    more = more.select("dataset_id", "contrast_id", "perturbation_id", "feature_id", nil.alias("treated_log1p_cpm"), nil.alias("control_log1p_cpm"), nil.alias("effect_size"), "rank_abs_effect")
+    more = more.select(
+        "dataset_id",
+        "contrast_id",
+        "perturbation_id",
+        "feature_id",
+        nil.alias("treated_log1p_cpm"),
+        nil.alias("control_log1p_cpm"),
+        nil.alias("effect_size"),
+        "rank_abs_effect"
+    )
     return top.select(more.columns).unionByName(more)
 
 
@@ -100,5 +137,16 @@ def effect_magnitudes(effects: DataFrame, n_features: DataFrame) -> DataFrame:
     """
     each = effects.groupBy("dataset_id", "contrast_id").agg(F.collect_list(F.abs("effect_size")).alias("v")).join(n_features, "dataset_id")
     zeros = F.greatest(F.lit(0), F.col("features") - F.size("v"))
-    each = each.select("dataset_id", "features", F.coalesce(F.array_max("v"), F.lit(0.0)).alias("most"), zero_aware_percentile(F.col("v"), zeros, 0.95).alias("p95"))
-    return each.groupBy("dataset_id").agg(F.count("*").alias("contrasts"), F.max("features").alias("features"), F.expr("percentile(most, 0.5)").alias("median_max_abs"), F.expr("percentile(most, 0.9)").alias("p90_max_abs"), F.expr("percentile(p95, 0.5)").alias("median_p95_abs"))
+    each = each.select(
+        "dataset_id",
+        "features",
+        F.coalesce(F.array_max("v"), F.lit(0.0)).alias("most"),
+        zero_aware_percentile(F.col("v"), zeros, 0.95).alias("p95")
+    )
+    return each.groupBy("dataset_id").agg(
+        F.count("*").alias("contrasts"),
+        F.max("features").alias("features"),
+        F.expr("percentile(most, 0.5)").alias("median_max_abs"),
+        F.expr("percentile(most, 0.9)").alias("p90_max_abs"),
+        F.expr("percentile(p95, 0.5)").alias("median_p95_abs")
+    )

@@ -51,7 +51,19 @@ VAR_ALIASES = {
 # Texts that name a control.
 CONTROLS = ["control", "negative_control", "non-targeting", "nontargeting", "non_targeting", "scramble", "vehicle", "dmso", "untreated", "mock"]
 INTERVENTION = ["dataset_id", "perturbation_id", "perturbation_type", "perturbation_target", "guide_id", "drug_id", "is_control"]
-BIO_CONDITION = ["dataset_id", "cell_line", "cell_type", "disease", "perturbation_id", "dose", "dose_unit", "time", "time_unit", "control_status", "is_control"]
+BIO_CONDITION = [
+    "dataset_id",
+    "cell_line",
+    "cell_type",
+    "disease",
+    "perturbation_id",
+    "dose",
+    "dose_unit",
+    "time",
+    "time_unit",
+    "control_status",
+    "is_control"
+]
 CONDITION = [*BIO_CONDITION, "batch_id", "replicate_id"]
 GRAINS = {"intervention": INTERVENTION, "bio-condition": BIO_CONDITION, "condition": CONDITION}
 
@@ -85,7 +97,11 @@ def is_control(perturbation: Column, status: Column, normalized_set: bool = Fals
 
 def harmonize_obs(df: DataFrame, dataset_id: Column, cell_id: Column) -> DataFrame:
     """The 24 text fields of a cell."""
-    raw = df.select(dataset_id.cast("string").alias("dataset_id"), cell_id.cast("string").alias("cell_id"), *[resolve(df, names).alias(f) for f, names in OBS_ALIASES.items()])
+    raw = df.select(
+        dataset_id.cast("string").alias("dataset_id"),
+        cell_id.cast("string").alias("cell_id"),
+        *[resolve(df, names).alias(f) for f, names in OBS_ALIASES.items()]
+    )
     control = is_control(F.col("perturbation_id"), F.col("control_status"))
     filled = {
         "is_control": F.when(control, "true").otherwise("false"),
@@ -98,7 +114,11 @@ def harmonize_obs(df: DataFrame, dataset_id: Column, cell_id: Column) -> DataFra
 
 def harmonize_var(df: DataFrame, dataset_id: Column, feature_id: Column) -> DataFrame:
     """The 10 text fields of a feature; ids default to the feature's own name."""
-    raw = df.select(dataset_id.cast("string").alias("dataset_id"), feature_id.cast("string").alias("feature_id"), *[resolve(df, names).alias(f) for f, names in VAR_ALIASES.items()])
+    raw = df.select(
+        dataset_id.cast("string").alias("dataset_id"),
+        feature_id.cast("string").alias("feature_id"),
+        *[resolve(df, names).alias(f) for f, names in VAR_ALIASES.items()]
+    )
     own = lambda c: F.when(F.col(c) == "", F.col("feature_id")).otherwise(F.col(c))
     return raw.withColumns({"gene_id": own("gene_id"), "gene_symbol": own("gene_symbol")})
 

@@ -19,14 +19,20 @@ RANKING = ["dataset_count", "dataset_sign_consistency", "sign_consistency", "hit
 def included_hits(hits: DataFrame, contrasts: DataFrame, include: tuple[str, ...] = ("pass", "warn")) -> DataFrame:
     """(dataset_id, contrast_id, gene_id, effect, status) of hits whose contrast is included."""
     status = contrasts.where(F.col("status").isin(*include)).select("dataset_id", "contrast_id", "status").distinct()
-    return hits.select("dataset_id", "contrast_id", "gene_id", to_double(F.col("effect_size").cast("string")).alias("effect")).where("gene_id is not null").join(status, ["dataset_id", "contrast_id"])
+    return hits.select(
+        "dataset_id", "contrast_id", "gene_id", to_double(F.col("effect_size").cast("string")).alias("effect")
+    ).where("gene_id is not null").join(status, ["dataset_id", "contrast_id"])
 
 
 def gene_consistency(hits: DataFrame) -> DataFrame:
     """One row per gene: counts, signs at both levels, effects and the conserved response score."""
     e = F.col("effect")
     median = hits.groupBy("gene_id", "dataset_id").agg(F.median("effect").alias("m"))
-    per_dataset = median.groupBy("gene_id").agg((F.greatest(F.count(F.when(F.col("m") > 0, 1)), F.count(F.when(F.col("m") < 0, 1))) / F.count("*")).alias("dataset_sign_consistency"))
+    per_dataset = median.groupBy("gene_id").agg(
+        (
+            F.greatest(F.count(F.when(F.col("m") > 0, 1)), F.count(F.when(F.col("m") < 0, 1))) / F.count("*")
+        ).alias("dataset_sign_consistency")
+    )
     genes = hits.groupBy("gene_id").agg(
         F.count_distinct("dataset_id").alias("dataset_count"),
         F.count_distinct("dataset_id", "contrast_id").alias("contrast_count"),
@@ -57,8 +63,13 @@ def meta_summary(genes: DataFrame, top_n: int = 100) -> DataFrame:
 def dataset_accounting(hits: DataFrame, contrasts: DataFrame, include: tuple[str, ...] = ("pass", "warn")) -> DataFrame:
     """Contrasts and top hits of each data set, given and included."""
     inside = F.col("status").isin(*include)
-    c = contrasts.groupBy("dataset_id").agg(F.count_distinct("contrast_id").alias("input_contrasts"), F.count_distinct(F.when(inside, F.col("contrast_id"))).alias("included_contrasts"))
-    kept = hits.select("dataset_id", "contrast_id").join(contrasts.select("dataset_id", "contrast_id", "status").distinct(), ["dataset_id", "contrast_id"], "left")
+    c = contrasts.groupBy("dataset_id").agg(
+        F.count_distinct("contrast_id").alias("input_contrasts"),
+        F.count_distinct(F.when(inside, F.col("contrast_id"))).alias("included_contrasts")
+    )
+    kept = hits.select("dataset_id", "contrast_id").join(
+        contrasts.select("dataset_id", "contrast_id", "status").distinct(), ["dataset_id", "contrast_id"], "left"
+    )
     h = kept.groupBy("dataset_id").agg(F.count("*").alias("input_top_gene_hits"), F.count(F.when(inside, 1)).alias("included_top_gene_hits"))
     return c.join(h, "dataset_id", "left").fillna(0)
 
@@ -66,5 +77,7 @@ def dataset_accounting(hits: DataFrame, contrasts: DataFrame, include: tuple[str
 def recurrence(hits: DataFrame, top_n: int = 25) -> DataFrame:
     """Genes that come up most often among the top hits, whatever their contrasts' status."""
     effect = F.abs(to_double(F.col("effect_size").cast("string")))
-    genes = hits.where("gene_id is not null").groupBy("gene_id").agg(F.count_distinct("dataset_id").alias("dataset_count"), F.count("*").alias("hit_count"), F.max(effect).alias("max_abs_effect"))
+    genes = hits.where("gene_id is not null").groupBy("gene_id").agg(
+        F.count_distinct("dataset_id").alias("dataset_count"), F.count("*").alias("hit_count"), F.max(effect).alias("max_abs_effect")
+    )
     return genes.orderBy(F.desc("dataset_count"), F.desc("hit_count"), F.desc("max_abs_effect"), "gene_id").limit(top_n)

@@ -21,7 +21,9 @@ from assaylake.operators.harmonize import GRAINS
 def groups(cells: DataFrame, grain: str) -> DataFrame:
     """Groups of a grain, numbered within each data set in the order they are first seen."""
     keys = GRAINS[grain]
-    each = cells.select(*[blank(F.col(k).cast("string")).alias(k) for k in keys], "cell_ord").groupBy(*keys).agg(F.count("*").alias("cell_count"), F.min("cell_ord").alias("first_ord"))
+    each = cells.select(*[blank(F.col(k).cast("string")).alias(k) for k in keys], "cell_ord").groupBy(*keys).agg(
+        F.count("*").alias("cell_count"), F.min("cell_ord").alias("first_ord")
+    )
     label = F.format_string(f"%s_{grain.replace('-', '_')}_%07d", "dataset_id", "number")
     return number_within(each, "dataset_id", ["first_ord"]).select(label.alias("group_id"), *keys, "cell_count", "first_ord")
 
@@ -36,7 +38,9 @@ def cell_groups(cells: DataFrame, grouped: DataFrame, grain: str) -> DataFrame:
 def pseudobulk(counts: DataFrame, membership: DataFrame) -> DataFrame:
     """(dataset_id, group_id, feature_id, count_sum) with zero sums left out."""
     joined = counts.join(membership, ["dataset_id", "cell_ord"])
-    return joined.groupBy("dataset_id", "group_id", "feature_id").agg(F.sum(F.coalesce(F.col("value"), F.lit(0)).cast("double")).alias("count_sum")).where("count_sum <> 0")
+    return joined.groupBy("dataset_id", "group_id", "feature_id").agg(
+        F.sum(F.coalesce(F.col("value"), F.lit(0)).cast("double")).alias("count_sum")
+    ).where("count_sum <> 0")
 
 
 def library_sizes(sums: DataFrame, key: list[str]) -> DataFrame:
@@ -50,4 +54,6 @@ def log1p_cpm(count, library, scale: float = 1e6):
 
 def normalize_sums(sums: DataFrame, key: list[str], scale: float = 1e6) -> DataFrame:
     """Adds library_size and log1p_cpm; the library is summed apart and joined back."""
-    return sums.join(library_sizes(sums, key).select(*key, "library_size"), key).withColumn("log1p_cpm", log1p_cpm(F.col("count_sum"), F.col("library_size"), scale))
+    return sums.join(library_sizes(sums, key).select(*key, "library_size"), key).withColumn(
+        "log1p_cpm", log1p_cpm(F.col("count_sum"), F.col("library_size"), scale)
+    )

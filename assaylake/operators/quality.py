@@ -62,7 +62,14 @@ def unpivot_loads(df: DataFrame, judged: Judged, load: str = "load_no") -> DataF
     if judged.limit:
         outside = F.coalesce(right & ((number < 0) | (number > F.col(judged.limit).cast("double"))), F.lit(False))
     return (
-        df.select(F.col(load).cast("bigint").alias("load_no"), value.alias("value"), missing.alias("missing"), right.alias("right_form"), number.alias("number"), outside.cast("bigint").alias("outside"))
+        df.select(
+            F.col(load).cast("bigint").alias("load_no"),
+            value.alias("value"),
+            missing.alias("missing"),
+            right.alias("right_form"),
+            number.alias("number"),
+            outside.cast("bigint").alias("outside")
+        )
         .groupBy("load_no", "value", "missing", "right_form", "number")
         .agg(F.count("*").alias("n"), F.sum("outside").alias("outside"))
         .withColumns({"table_name": F.lit(judged.table), "column_name": F.lit(judged.column)})
@@ -94,7 +101,10 @@ def _prefix(batches):
             out.append(run)
         last, sums = keys[-1], (int(out[0][-1]), int(out[1][-1]))
         cols = [b[c] for c in ("table_name", "column_name", "load_no", "number", "n", "n_before")]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(out[0]), pa.array(out[1]), pa.array(np.full(len(keys), pid, np.int32))], names=["table_name", "column_name", "load_no", "number", "n", "n_before", "run", "run_before", "part"])
+        yield pa.RecordBatch.from_arrays(
+            [*cols, pa.array(out[0]), pa.array(out[1]), pa.array(np.full(len(keys), pid, np.int32))],
+            names=["table_name", "column_name", "load_no", "number", "n", "n_before", "run", "run_before", "part"]
+        )
 
 
 KEY = ["table_name", "column_name", "load_no"]
@@ -108,7 +118,14 @@ def range_curves(values: DataFrame, loads: DataFrame) -> DataFrame:
     right = values.where("number is not null").groupBy(*KEY, "number").agg(F.sum("n").alias("n"))
     own = right.withColumn("n_before", F.lit(0).cast("bigint"))
     # the number of loads is small beside the values; rows follow their load to the next one
-    seen = right.join(loads.where("next_load is not null").select(*KEY, "next_load"), KEY).select("table_name", "column_name", F.col("next_load").alias("load_no"), "number", F.lit(0).cast("bigint").alias("n"), F.col("n").alias("n_before"))
+    seen = right.join(loads.where("next_load is not null").select(*KEY, "next_load"), KEY).select(
+        "table_name",
+        "column_name",
+        F.col("next_load").alias("load_no"),
+        "number",
+        F.lit(0).cast("bigint").alias("n"),
+        F.col("n").alias("n_before")
+    )
     both = own.unionByName(seen).groupBy(*KEY, "number").agg(F.sum("n").alias("n"), F.sum("n_before").alias("n_before"))
     width = shuffle_width(values.sparkSession)
     schema = "table_name string, column_name string, load_no bigint, number double, n bigint, n_before bigint, run bigint, run_before bigint, part int"
@@ -116,11 +133,20 @@ def range_curves(values: DataFrame, loads: DataFrame) -> DataFrame:
     # one row per partition and load: what the partitions before it hold
     ahead = Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = local.groupBy(*KEY, "part").agg(F.sum("n").alias("a"), F.sum("n_before").alias("b"))
-    parts = parts.select(*KEY, "part", F.coalesce(F.sum("a").over(ahead), F.lit(0)).alias("a"), F.coalesce(F.sum("b").over(ahead), F.lit(0)).alias("b"))
+    parts = parts.select(
+        *KEY, "part", F.coalesce(F.sum("a").over(ahead), F.lit(0)).alias("a"), F.coalesce(F.sum("b").over(ahead), F.lit(0)).alias("b")
+    )
     return (
         local.alias("x")
         .join(parts.alias("p"), [F.col(f"x.{k}").eqNullSafe(F.col(f"p.{k}")) for k in [*KEY, "part"]])
-        .select(*[f"x.{k}" for k in KEY], "number", "n", "n_before", (F.col("run") + F.col("a")).alias("cum"), (F.col("run_before") + F.col("b")).alias("cum_before"))
+        .select(
+            *[f"x.{k}" for k in KEY],
+            "number",
+            "n",
+            "n_before",
+            (F.col("run") + F.col("a")).alias("cum"),
+            (F.col("run_before") + F.col("b")).alias("cum_before")
+        )
     )
 
 
@@ -149,10 +175,21 @@ def profile_loads(tables: dict[str, DataFrame], judged: list[Judged], load: str
     # one row per load and column: a handful of numbers however large the loads are
     order = Window.partitionBy("table_name", "column_name").orderBy("load_no")
     known = F.col("load_no").isNotNull()
-    counts = cut(counts.withColumns({"prev_load": F.when(known, F.lag("load_no").over(order)), "next_load": F.when(known, F.lead("load_no").over(order))}))
+    counts = cut(
+        counts.withColumns(
+            {"prev_load": F.when(known, F.lag("load_no").over(order)), "next_load": F.when(known, F.lead("load_no").over(order))}
+        )
+    )
     curves = range_curves(values, counts)
-    before = counts.select(F.col("table_name").alias("t"), F.col("column_name").alias("c"), F.col("load_no").alias("l"), *[F.col(x).alias(f"prev_{x}") for x in ("right_form", "zero")])
-    base = counts.join(before, (F.col("t") == F.col("table_name")) & (F.col("c") == F.col("column_name")) & (F.col("l") == F.col("prev_load")), "left").drop("t", "c", "l")
+    before = counts.select(
+        F.col("table_name").alias("t"),
+        F.col("column_name").alias("c"),
+        F.col("load_no").alias("l"),
+        *[F.col(x).alias(f"prev_{x}") for x in ("right_form", "zero")]
+    )
+    base = counts.join(
+        before, (F.col("t") == F.col("table_name")) & (F.col("c") == F.col("column_name")) & (F.col("l") == F.col("prev_load")), "left"
+    ).drop("t", "c", "l")
     nonzero = F.col("right_form") - F.col("zero")
     among = lambda r: F.when(r <= F.col("negative"), r).otherwise(r + F.col("zero"))  # noqa: E731  rank among the non-zero numbers
     lower, upper = F.expr("(right_form - zero + 1) div 2"), F.expr("(right_form - zero + 2) div 2")
@@ -172,16 +209,28 @@ def profile_loads(tables: dict[str, DataFrame], judged: list[Judged], load: str
             F.max(F.when((F.col("right_form") > 0) & (F.col("prev_right_form") > 0), gap)).alias("ks"),
         )
     )
-    out = base.alias("b").join(stats.alias("s"), [F.col(f"b.{k}").eqNullSafe(F.col(f"s.{k}")) for k in KEY], "left").select("b.*", *[f"s.{c}" for c in ("least", "most", "p25", "p50", "p75", "median_nonzero", "ks")])
+    out = base.alias("b").join(stats.alias("s"), [F.col(f"b.{k}").eqNullSafe(F.col(f"s.{k}")) for k in KEY], "left").select(
+        "b.*", *[f"s.{c}" for c in ("least", "most", "p25", "p50", "p75", "median_nonzero", "ks")]
+    )
     share = (F.col("right_form") - F.col("zero")) / F.col("right_form")
     prev_share = (F.col("prev_right_form") - F.col("prev_zero")) / F.col("prev_right_form")
-    return out.withColumns({"share": F.when(F.col("right_form") > 0, share), "prev_share": F.when(F.col("prev_right_form") > 0, prev_share)}).withColumn("prev_median", F.when(F.col("prev_load").isNotNull(), F.lag("median_nonzero").over(order)))
-
-
-def findings(profile: DataFrame, missing_share: float = 0.15, share_change: float = 0.2503, median_ratio: float = 3.0, counted: tuple[str, ...] = ("missing_perturbation_cells",)) -> DataFrame:
+    return out.withColumns(
+        {"share": F.when(F.col("right_form") > 0, share), "prev_share": F.when(F.col("prev_right_form") > 0, prev_share)}
+    ).withColumn("prev_median", F.when(F.col("prev_load").isNotNull(), F.lag("median_nonzero").over(order)))
+
+
+def findings(
+    profile: DataFrame,
+    missing_share: float = 0.15,
+    share_change: float = 0.2503,
+    median_ratio: float = 3.0,
+    counted: tuple[str, ...] = ("missing_perturbation_cells",)
+) -> DataFrame:
     """(table_name, column_name, load_no, finding) of every load that is out of line."""
     filled = F.col("rows") - F.col("missing")
-    medians = F.col("column_name").isin(*counted) & ((F.col("median_nonzero") > median_ratio * F.col("prev_median")) | (F.col("median_nonzero") * median_ratio < F.col("prev_median")))
+    medians = F.col("column_name").isin(*counted) & (
+        (F.col("median_nonzero") > median_ratio * F.col("prev_median")) | (F.col("median_nonzero") * median_ratio < F.col("prev_median"))
+    )
     tests = {
         "missing": F.col("missing") > missing_share * F.col("rows"),
         "constant": (filled > 0) & (F.col("distinct_values") == 1),

@@ -33,14 +33,32 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     so there is one shuffle of partial counts for all columns.
     """
     columns = columns or df.columns
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"), _missing(df, c).alias("missing")) for c in columns])).alias("x")).select("x.*")
+    cells = df.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"), _missing(df, c).alias("missing")
+                    ) for c in columns
+                ]
+            )
+        ).alias("x")
+    ).select("x.*")
     each = cells.groupBy("column_name", "value", "missing").agg(F.count("*").alias("n"))
-    return each.groupBy("column_name").agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("missing_count"), F.count_distinct(F.coalesce("value", F.lit("None"))).alias("unique_count"))
+    return each.groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("missing_count"),
+        F.count_distinct(F.coalesce("value", F.lit("None"))).alias("unique_count")
+    )
 
 
 def value_counts(df: DataFrame, columns: list[str], limit: int = 20) -> DataFrame:
     """The commonest values of each column, missing ones together under ``<missing>``."""
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])).alias("x")).select("x.*")
+    cells = df.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+        ).alias("x")
+    ).select("x.*")
     gone = F.col("value").isNull() | F.lower("value").isin("", *MISSING_PROFILE)
     each = cells.groupBy("column_name", F.when(gone, "<missing>").otherwise(F.col("value")).alias("value")).agg(F.count("*").alias("n_rows"))
     at = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("n_rows"), "value"))
@@ -56,7 +74,12 @@ def integer_like(value: Column) -> Column:
 def matrix_profile(counts: DataFrame, n_obs: DataFrame, n_vars: DataFrame) -> DataFrame:
     """Shape, non-zero values, density and whether all values are whole numbers, by data set."""
     v = F.col("value").cast("double")
-    nnz = counts.groupBy("dataset_id").agg(F.count(F.when(v != 0, 1)).alias("nnz"), F.bool_and(integer_like(v)).alias("integer_like"), F.min(v).alias("least"), F.max(v).alias("most"))
+    nnz = counts.groupBy("dataset_id").agg(
+        F.count(F.when(v != 0, 1)).alias("nnz"),
+        F.bool_and(integer_like(v)).alias("integer_like"),
+        F.min(v).alias("least"),
+        F.max(v).alias("most")
+    )
     out = n_obs.join(n_vars, "dataset_id").join(nnz, "dataset_id", "left").fillna(0, ["nnz"])
     return out.withColumn("density", F.col("nnz") / F.nullif(F.col("n_obs") * F.col("n_vars"), F.lit(0)))
 

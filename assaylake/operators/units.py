@@ -63,7 +63,9 @@ def number(text: Column, power: Column) -> Column:
     whole = F.regexp_extract(text, r"^[+-]?([0-9]+)", 1)
     grouped = text.rlike(r"^[+-]?[0-9]+(?:,[0-9]{3})+(?:\.[0-9]+)?$") & ~whole.rlike("^0+$")
     decimal = text.rlike(r"^[+-]?[0-9]+,[0-9]+$")
-    plain = F.when(grouped, F.replace(text, F.lit(","), F.lit(""))).when(decimal, F.replace(text, F.lit(","), F.lit("."))).when(~text.contains(","), text)
+    plain = F.when(grouped, F.replace(text, F.lit(","), F.lit(""))).when(
+        decimal, F.replace(text, F.lit(","), F.lit("."))
+    ).when(~text.contains(","), text)
     # read in one piece, so that 3 x 10^-7 is the number nearest to it
     return F.concat(plain, F.lit("e"), F.coalesce(F.nullif(power, F.lit("")), F.lit("0"))).try_cast("double")
 
@@ -77,7 +79,14 @@ def note_unit(note: Column, subject: str) -> Column:
     said = F.filter(F.split(note, r"(?<=\.)\s+"), lambda s: s.rlike(rf"(?i)\b(?:{subject})\b"))
     units = sorted({*MOLAR, *SECONDS}, key=lambda u: (-len(u), u))
     names = "|".join(u.replace(".", r"\.") for u in units if u != "w")
-    found = F.transform(said, lambda s: F.regexp_extract(F.lower(F.regexp_replace(s, "[µμ]", "u")), rf"(?:\b(?:is|are|in|as|means)|:)\s+(?:counted in\s+|in\s+)?({names})(?=[\s.,;]|$)", 1))
+    found = F.transform(
+        said,
+        lambda s: F.regexp_extract(
+            F.lower(F.regexp_replace(s, "[µμ]", "u")),
+            rf"(?:\b(?:is|are|in|as|means)|:)\s+(?:counted in\s+|in\s+)?({names})(?=[\s.,;]|$)",
+            1
+        )
+    )
     return F.get(F.filter(found, lambda u: u != ""), F.lit(0))
 
 
@@ -92,7 +101,12 @@ def _iso_seconds(t: Column) -> Column:
 def _compound_seconds(t: Column) -> Column:
     """Two or more counts with their units: 12h 30 min, 1d 6h."""
     form = r"^(?:[0-9]+(?:[.,][0-9]+)?\s*\p{L}+\.?[\s,]*){2,}$"
-    each = F.transform(F.regexp_extract_all(t, F.lit(r"([0-9]+(?:[.,][0-9]+)?\s*\p{L}+\.?)"), F.lit(1)), lambda p: F.replace(F.regexp_extract(p, r"^([0-9.,]+)", 1), F.lit(","), F.lit(".")).try_cast("double") * _lookup(F.lower(F.regexp_extract(p, r"(\p{L}+\.?)$", 1)), SECONDS))
+    each = F.transform(
+        F.regexp_extract_all(t, F.lit(r"([0-9]+(?:[.,][0-9]+)?\s*\p{L}+\.?)"), F.lit(1)),
+        lambda p: F.replace(F.regexp_extract(p, r"^([0-9.,]+)", 1), F.lit(","), F.lit(".")).try_cast("double") * _lookup(
+            F.lower(F.regexp_extract(p, r"(\p{L}+\.?)$", 1)), SECONDS
+        )
+    )
     return F.when(t.rlike(form), F.aggregate(each, F.lit(0.0), lambda a, x: a + x))
 
 
@@ -112,7 +126,9 @@ def read_values(rows: DataFrame) -> DataFrame:
     whole = rf"^({_NUMBER}){_POWER}\s*(\p{{L}}[^0-9]*(?:\s*l-1|/m3)?|)$"
     out = rows.withColumn("text", F.when(F.col("quantity") == "time", timed).otherwise(bare))
     part = lambda i: F.regexp_extract("text", whole, i)
-    out = out.withColumn("__p", F.when(F.col("text").rlike(whole), F.struct(part(1).alias("n"), F.concat(part(2), part(3)).alias("p"), part(4).alias("u"))))
+    out = out.withColumn(
+        "__p", F.when(F.col("text").rlike(whole), F.struct(part(1).alias("n"), F.concat(part(2), part(3)).alias("p"), part(4).alias("u")))
+    )
     out = out.withColumns({"number": number(F.col("__p.n"), F.col("__p.p")), "inside_raw": strip(F.col("__p.u"))})
     return out.withColumn("inside", unit_text(F.col("inside_raw"))).drop("__p")
 
@@ -135,18 +151,24 @@ def to_common(rows: DataFrame) -> DataFrame:
     logged = F.when(F.col("unit").isin(LOG_MOLAR), F.pow(F.lit(10.0), n + 12))
     as_dose = F.coalesce(F.when(n >= 0, n * factor), logged)
     as_time = F.coalesce(F.col("told"), clock, F.when(n >= 0, n * _lookup(F.col("unit"), SECONDS)))
-    source = F.when(F.col("told").isNotNull() | F.col("inside").isNotNull(), "value").when(F.col("beside").isNotNull(), "column").when(F.col("default_unit").isNotNull(), "note")
+    source = F.when(F.col("told").isNotNull() | F.col("inside").isNotNull(), "value").when(F.col("beside").isNotNull(), "column").when(
+        F.col("default_unit").isNotNull(), "note"
+    )
     return out.withColumns({"unit_source": source, "common": F.when(dose, as_dose).otherwise(as_time)}).drop("beside", "told")
 
 
-def fit_mixture(known: DataFrame, silent: DataFrame, factors: list[float], bin_width: float = 0.05, rounds: int = 60) -> tuple[np.ndarray, float, float]:
+def fit_mixture(
+    known: DataFrame, silent: DataFrame, factors: list[float], bin_width: float = 0.05, rounds: int = 60
+) -> tuple[np.ndarray, float, float]:
     """Weights of the units among values without one, and the common log-scale mean and spread.
 
     known: column ``common`` in the common unit; silent: column ``number``. Both are counted
     into bins of ``bin_width`` decades in Spark; the fit runs on the bins, at most some
     thousands whatever the number of rows.
     """
-    logs = lambda df, c: df.where(F.col(c) > 0).groupBy(F.round(F.log10(F.col(c)) / bin_width).cast("int").alias("b")).agg(F.count("*").alias("n"), F.avg(F.log10(F.col(c))).alias("x")).collect()
+    logs = lambda df, c: df.where(F.col(c) > 0).groupBy(F.round(F.log10(F.col(c)) / bin_width).cast("int").alias("b")).agg(
+        F.count("*").alias("n"), F.avg(F.log10(F.col(c))).alias("x")
+    ).collect()
     base, bins = logs(known, "common"), logs(silent, "number")
     shifts = np.log10(np.array(factors))
     weights = np.full(len(shifts), 1 / len(shifts))
@@ -167,16 +189,31 @@ def fit_mixture(known: DataFrame, silent: DataFrame, factors: list[float], bin_w
 def assign_units(df: DataFrame, number_col: str, common: str, units: list[str], factors: list[float], sure: float = 0.9) -> DataFrame:
     """Adds guessed_unit, guessed_common, posterior and uncertain where no unit is known."""
     silent = F.col(number_col).isNotNull() & F.col("unit").isNull() & (F.col(number_col) > 0)
-    weights, mean, spread = fit_mixture(df.where(F.col(common).isNotNull()).select(F.col(common).alias("common")), df.where(silent).select(F.col(number_col).alias("number")), factors)
+    weights, mean, spread = fit_mixture(
+        df.where(F.col(common).isNotNull()).select(F.col(common).alias("common")),
+        df.where(silent).select(F.col(number_col).alias("number")),
+        factors
+    )
     x = F.log10(F.col(number_col))
     dens = [F.lit(float(w)) * F.exp(-0.5 * ((x + math.log10(f) - mean) / spread) ** 2) + 1e-300 for w, f in zip(weights, factors)]
     total = dens[0]
     for d in dens[1:]:
         total = total + d
-    options = F.array_sort(F.array(*[F.struct((-d / total).alias("p"), F.lit(u).alias("unit"), F.lit(f).alias("factor")) for d, u, f in zip(dens, units, factors)]))
+    options = F.array_sort(
+        F.array(
+            *[F.struct((-d / total).alias("p"), F.lit(u).alias("unit"), F.lit(f).alias("factor")) for d, u, f in zip(dens, units, factors)]
+        )
+    )
     best = F.get(options, F.lit(0))
     out = df.withColumn("__best", F.when(silent, best))
-    return out.withColumns({"guessed_unit": F.col("__best.unit"), "guessed_common": F.col(number_col) * F.col("__best.factor"), "posterior": -F.col("__best.p"), "uncertain": F.when(silent, -F.col("__best.p") < sure)}).drop("__best")
+    return out.withColumns(
+        {
+            "guessed_unit": F.col("__best.unit"),
+            "guessed_common": F.col(number_col) * F.col("__best.factor"),
+            "posterior": -F.col("__best.p"),
+            "uncertain": F.when(silent, -F.col("__best.p") < sure)
+        }
+    ).drop("__best")
 
 
 def convert_conditions(conditions: DataFrame, sources: DataFrame, compounds: DataFrame) -> DataFrame:
@@ -186,11 +223,26 @@ def convert_conditions(conditions: DataFrame, sources: DataFrame, compounds: Dat
     are joined by key.
     """
     said = sources.groupBy("dataset_id").agg(F.first("protocol_note", True).alias("note"))
-    notes = said.select("dataset_id", note_unit(F.col("note"), "doses?|concentrations?").alias("dose_default"), note_unit(F.col("note"), "times?|time points?|harvest times?").alias("time_default"))
-    masses = compounds.where("molar_mass is not null").groupBy(F.col("entry_name").alias("perturbation_id")).agg(F.first("molar_mass").alias("molar_mass"))
-    rows = conditions.select("condition_id", "dataset_id", "perturbation_id", "dose", "dose_unit", "time", "time_unit").join(notes, "dataset_id", "left").join(masses, "perturbation_id", "left")
-    one = lambda q: F.struct(F.lit(q).alias("quantity"), F.col(q).alias("written"), F.col(f"{q}_unit").alias("unit_written"), F.col(f"{q}_default").alias("default_unit"))
-    long = rows.select("condition_id", "molar_mass", F.explode(F.array(one("dose"), one("time"))).alias("q")).select("condition_id", "molar_mass", "q.*")
+    notes = said.select(
+        "dataset_id",
+        note_unit(F.col("note"), "doses?|concentrations?").alias("dose_default"),
+        note_unit(F.col("note"), "times?|time points?|harvest times?").alias("time_default")
+    )
+    masses = compounds.where("molar_mass is not null").groupBy(F.col("entry_name").alias("perturbation_id")).agg(
+        F.first("molar_mass").alias("molar_mass")
+    )
+    rows = conditions.select(
+        "condition_id", "dataset_id", "perturbation_id", "dose", "dose_unit", "time", "time_unit"
+    ).join(notes, "dataset_id", "left").join(masses, "perturbation_id", "left")
+    one = lambda q: F.struct(
+        F.lit(q).alias("quantity"),
+        F.col(q).alias("written"),
+        F.col(f"{q}_unit").alias("unit_written"),
+        F.col(f"{q}_default").alias("default_unit")
+    )
+    long = rows.select("condition_id", "molar_mass", F.explode(F.array(one("dose"), one("time"))).alias("q")).select(
+        "condition_id", "molar_mass", "q.*"
+    )
     return to_common(read_values(long)).select("condition_id", "quantity", "written", "unit_written", "number", "unit", "unit_source", "common")
 
 
@@ -200,6 +252,13 @@ def converted_cases(converted: DataFrame) -> DataFrame:
     The distinct values of a row are gathered by an aggregation, not by a filter and distinct:
     a filter on the result would be pushed below the steps that make it and repeat them.
     """
-    plain = F.coalesce(F.col("written").rlike(r"^[0-9]+(?:\.[0-9]+)?\z") & (F.col("unit_written") == F.when(F.col("quantity") == "dose", "nM").otherwise("h")), F.lit(False))
+    plain = F.coalesce(
+        F.col("written").rlike(r"^[0-9]+(?:\.[0-9]+)?\z") & (
+            F.col("unit_written") == F.when(F.col("quantity") == "dose", "nM").otherwise("h")
+        ),
+        F.lit(False)
+    )
     value = F.when(~plain, F.round(F.round("common", 6)).cast("bigint"))
-    return converted.groupBy("condition_id", "quantity").agg(F.collect_set(value).alias("v")).select("condition_id", "quantity", F.explode("v").alias("common_value"))
+    return converted.groupBy("condition_id", "quantity").agg(F.collect_set(value).alias("v")).select(
+        "condition_id", "quantity", F.explode("v").alias("common_value")
+    )

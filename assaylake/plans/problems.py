@@ -20,7 +20,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     """The whole profile: counts, exact quantiles, distincts and KS distance of every load."""
     rounded = {c: F.round(c, 6) for c in ("least", "most", "p25", "p50", "p75", "median_nonzero", "ks")}
-    return _profile(spark, d).withColumns(rounded).select("table_name", "column_name", "load_no", "rows", "missing", "distinct_values", "wrong_form", "out_of_range", *rounded)
+    return _profile(spark, d).withColumns(rounded).select(
+        "table_name", "column_name", "load_no", "rows", "missing", "distinct_values", "wrong_form", "out_of_range", *rounded
+    )
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -46,7 +48,14 @@ def p5_guessed(spark: SparkSession, d: str) -> DataFrame:
     doses = cut(_converted(spark, d).where("quantity = 'dose'").distinct())
     names, factors = ["pM", "nM", "uM", "mM", "M"], [1.0, 1e3, 1e6, 1e9, 1e12]
     out = units.assign_units(doses, "number", "common", names, factors).where("guessed_unit is not null")
-    return out.select("condition_id", "written", "guessed_unit", F.round("guessed_common", 3).alias("guessed_picomolar"), F.round("posterior", 4).alias("posterior"), "uncertain")
+    return out.select(
+        "condition_id",
+        "written",
+        "guessed_unit",
+        F.round("guessed_common", 3).alias("guessed_picomolar"),
+        F.round("posterior", 4).alias("posterior"),
+        "uncertain"
+    )
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -21,14 +21,22 @@ POOLED = {"min_treated": 15, "min_control": 15, "min_strata": 8}
 
 
 def order_cells(spark: SparkSession, d: str) -> DataFrame:
-    geo = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
+        read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
     rows = read(spark, d, "orders").join(geo, F.col("o_custkey") == F.col("c_custkey"))
     low = F.col("o_orderpriority") == "5-LOW"
     fixed = ["cell_type", "disease", "dose", "dose_unit", "perturbation_type", "perturbation_target", "guide_id", "drug_id"]
     return rows.select(
-        F.col("o_orderkey").alias("cell_ord"), F.col("r_name").alias("dataset_id"), F.col("c_mktsegment").alias("cell_line"), F.col("n_name").alias("batch_id"), F.col("o_orderstatus").alias("replicate_id"),
-        F.when(low, "control").otherwise(F.col("o_orderpriority")).alias("perturbation_id"), F.year("o_orderdate").cast("string").alias("time"), F.lit("y").alias("time_unit"),
-        F.when(low, "control").otherwise("targeting").alias("control_status"), F.when(low, "true").otherwise("false").alias("is_control"), *[F.lit("").alias(c) for c in fixed],
+        F.col("o_orderkey").alias("cell_ord"), F.col("r_name").alias("dataset_id"), F.col("c_mktsegment").alias("cell_line"), F.col("n_name").alias("batch_id"), F.col(
+            "o_orderstatus"
+        ).alias("replicate_id"),
+        F.when(low, "control").otherwise(
+            F.col("o_orderpriority")
+        ).alias("perturbation_id"), F.year("o_orderdate").cast("string").alias("time"), F.lit("y").alias("time_unit"),
+        F.when(low, "control").otherwise("targeting").alias("control_status"), F.when(low, "true").otherwise("false").alias("is_control"), *[
+            F.lit("").alias(c) for c in fixed
+        ],
     )
 
 
@@ -41,8 +49,12 @@ def order_counts(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("dataset_id", "cell_ord", F.col("p_brand").alias("feature_id"), F.col("l_quantity").alias("value"))
 
 
-def latest_cells(spark: SparkSession, d: str) -> DataFrame:
-    return latest(read(spark, d, "obs_cells"), ["dataset_id", "cell_id"], "loaded_at")
+def latest_cells(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Each cell as it was loaded last, with the named columns (or all): only these are shuffled."""
+    rows = read(spark, d, "obs_cells")
+    if columns:
+        rows = rows.select(*dict.fromkeys(["dataset_id", "cell_id", "loaded_at", *columns]))
+    return latest(rows, ["dataset_id", "cell_id"], "loaded_at")
 
 
 def latest_conditions(spark: SparkSession, d: str) -> DataFrame:
@@ -58,24 +70,37 @@ def _grouped(spark: SparkSession, d: str, grain: str) -> tuple[DataFrame, DataFr
 
 def obs_harmonize(spark: SparkSession, d: str) -> DataFrame:
     """Latest cells under the names of a source, mapped back onto the canonical fields."""
-    renamed = latest_cells(spark, d).withColumnsRenamed({"perturbation_id": "perturbation", "cell_type": "celltype", "batch_id": "batch", "n_counts": "ncounts", "organism": "species", "drug_id": "drug"})
+    renamed = latest_cells(spark, d).withColumnsRenamed(
+        {
+            "perturbation_id": "perturbation",
+            "cell_type": "celltype",
+            "batch_id": "batch",
+            "n_counts": "ncounts",
+            "organism": "species",
+            "drug_id": "drug"
+        }
+    )
     return harmonize.harmonize_obs(renamed, F.col("dataset_id"), F.col("cell_id"))
 
 
 def conditions(spark: SparkSession, d: str) -> DataFrame:
-    return harmonize.conditions(latest_cells(spark, d))
+    return harmonize.conditions(latest_cells(spark, d, *CONDITION))
 
 
 def interventions(spark: SparkSession, d: str) -> DataFrame:
-    return harmonize.interventions(latest_cells(spark, d))
+    return harmonize.interventions(latest_cells(spark, d, *INTERVENTION))
 
 
 def grain_counts(spark: SparkSession, d: str) -> DataFrame:
-    return harmonize.all_grains(latest_cells(spark, d)).groupBy("grain", "dataset_id").agg(F.count("*").alias("n_groups"), F.sum("cell_count").alias("n_cells"))
+    return harmonize.all_grains(
+        latest_cells(spark, d, *sorted({k for ks in GRAINS.values() for k in ks}))
+    ).groupBy("grain", "dataset_id").agg(F.count("*").alias("n_groups"), F.sum("cell_count").alias("n_cells"))
 
 
 def groups_bio_condition(spark: SparkSession, d: str) -> DataFrame:
-    return pseudobulk.groups(order_cells(spark, d), "bio-condition").select("group_id", "dataset_id", "cell_line", "perturbation_id", "time", "is_control", "cell_count", "first_ord")
+    return pseudobulk.groups(order_cells(spark, d), "bio-condition").select(
+        "group_id", "dataset_id", "cell_line", "perturbation_id", "time", "is_control", "cell_count", "first_ord"
+    )
 
 
 def pseudobulk_intervention(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +133,14 @@ def effects_intervention(spark: SparkSession, d: str) -> DataFrame:
 def top_genes(spark: SparkSession, d: str) -> DataFrame:
     hits = effects.top_features(_bio_effects(spark, d), TOP)
     names = order_counts(spark, d).select("dataset_id", "feature_id").distinct()
-    return effects.pad_top_features(hits, names, TOP).select("dataset_id", "contrast_id", "perturbation_id", F.col("feature_id").alias("gene_id"), F.round("effect_size", 6).alias("effect_size"), "rank_abs_effect")
+    return effects.pad_top_features(hits, names, TOP).select(
+        "dataset_id",
+        "contrast_id",
+        "perturbation_id",
+        F.col("feature_id").alias("gene_id"),
+        F.round("effect_size", 6).alias("effect_size"),
+        "rank_abs_effect"
+    )
 
 
 def effect_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +157,11 @@ def contrast_controls(spark: SparkSession, d: str) -> DataFrame:
     """How many control conditions each contrast uses, counted from the member table."""
     rows = latest_conditions(spark, d)
     made = contrast.condition_contrasts(rows)
-    return contrast.contrast_controls(made, rows).groupBy("contrast_id").agg(F.count("*").alias("members"), F.min("control_condition_id").alias("first_control"), F.max("control_condition_id").alias("last_control"))
+    return contrast.contrast_controls(made, rows).groupBy("contrast_id").agg(
+        F.count("*").alias("members"),
+        F.min("control_condition_id").alias("first_control"),
+        F.max("control_condition_id").alias("last_control")
+    )
 
 
 def contrast_pooled(spark: SparkSession, d: str) -> DataFrame:
@@ -149,13 +185,22 @@ def _pooled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     cells, groups, sums = _grouped(spark, d, "condition")
     named = harmonize.conditions(cells)
     made = contrast.pooled_contrasts(named, **POOLED)
-    group_of = named.select("condition_id", *CONDITION).join(groups.select("group_id", *CONDITION), CONDITION).select("condition_id", "dataset_id", "group_id")
+    group_of = named.select("condition_id", *CONDITION).join(groups.select("group_id", *CONDITION), CONDITION).select(
+        "condition_id", "dataset_id", "group_id"
+    )
     return effects.pooled_effects(sums, group_of, contrast.pooled_bridge(named, made), made, SCALE), made
 
 
 def effects_pooled(spark: SparkSession, d: str) -> DataFrame:
     out, _ = _pooled(spark, d)
-    return out.select("dataset_id", "contrast_id", "status", "perturbation_id", "feature_id", *[F.round(c, 6).alias(c) for c in ("treated_log1p_cpm", "control_log1p_cpm", "effect_size")])
+    return out.select(
+        "dataset_id",
+        "contrast_id",
+        "status",
+        "perturbation_id",
+        "feature_id",
+        *[F.round(c, 6).alias(c) for c in ("treated_log1p_cpm", "control_log1p_cpm", "effect_size")]
+    )
 
 
 def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -171,7 +216,15 @@ def _genes(spark: SparkSession, d: str) -> DataFrame:
     return meta.gene_consistency(meta.included_hits(hits, made))
 
 
-ROUNDED = ["sign_consistency", "dataset_sign_consistency", "mean_effect", "median_effect", "mean_abs_effect", "max_abs_effect", "conserved_response_score"]
+ROUNDED = [
+    "sign_consistency",
+    "dataset_sign_consistency",
+    "mean_effect",
+    "median_effect",
+    "mean_abs_effect",
+    "max_abs_effect",
+    "conserved_response_score"
+]
 
 
 def meta_gene_consistency(spark: SparkSession, d: str) -> DataFrame:
@@ -192,19 +245,50 @@ def top_gene_recurrence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def qc_perturbation(spark: SparkSession, d: str) -> DataFrame:
-    vectors, used = cellqc.qc_vectors(latest_cells(spark, d).withColumnRenamed("perturbation_id", "perturbation"))
+    vectors, used = cellqc.qc_vectors(
+        latest_cells(spark, d, "perturbation_id", "control_status", "batch_id", "replicate_id").withColumnRenamed(
+            "perturbation_id", "perturbation"
+        )
+    )
     return cellqc.perturbation_qc(vectors, used["batch"] is not None)
 
 
 def qc_dataset(spark: SparkSession, d: str) -> DataFrame:
     """Checks against the profile delivered last for each data set."""
-    vectors, used = cellqc.qc_vectors(latest_cells(spark, d).withColumnRenamed("perturbation_id", "perturbation"))
-    last = read(spark, d, "dataset_qc").groupBy("dataset_id").agg(F.max_by(F.struct("n_obs", "matrix_integer_like_sample", "counts_location"), F.struct("load_no", "loaded_at", "n_obs", "matrix_integer_like_sample", "counts_location")).alias("r"))
-    profiles = last.select("dataset_id", "r.n_obs", (F.col("r.matrix_integer_like_sample") == "True").alias("integer_like"), F.when(F.col("r.counts_location") == "X", 0).otherwise(1).alias("count_layers"))
+    vectors, used = cellqc.qc_vectors(
+        latest_cells(spark, d, "perturbation_id", "control_status", "batch_id", "replicate_id").withColumnRenamed(
+            "perturbation_id", "perturbation"
+        )
+    )
+    last = read(spark, d, "dataset_qc").groupBy("dataset_id").agg(
+        F.max_by(
+            F.struct("n_obs", "matrix_integer_like_sample", "counts_location"),
+            F.struct("load_no", "loaded_at", "n_obs", "matrix_integer_like_sample", "counts_location")
+        ).alias("r")
+    )
+    profiles = last.select(
+        "dataset_id",
+        "r.n_obs",
+        (F.col("r.matrix_integer_like_sample") == "True").alias("integer_like"),
+        F.when(F.col("r.counts_location") == "X", 0).otherwise(1).alias("count_layers")
+    )
     return cellqc.dataset_qc(vectors, profiles, used["batch"] is not None)
 
 
-PROFILED = ["cell_line", "cell_type", "disease", "organism", "perturbation_type", "control_status", "batch_id", "replicate_id", "n_counts", "dose", "time", "collected_at"]
+PROFILED = [
+    "cell_line",
+    "cell_type",
+    "disease",
+    "organism",
+    "perturbation_type",
+    "control_status",
+    "batch_id",
+    "replicate_id",
+    "n_counts",
+    "dose",
+    "time",
+    "collected_at"
+]
 
 
 def profile_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +307,7 @@ def matrix_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def curate_filter(spark: SparkSession, d: str) -> DataFrame:
-    cells = latest_cells(spark, d)
+    cells = latest_cells(spark, d, "perturbation_id")
     return curate.accounting(cells, curate.with_perturbation(cells, "perturbation_id", True))
 
 
@@ -242,8 +326,14 @@ def repair_labels(spark: SparkSession, d: str) -> DataFrame:
     """Guides joined to cells by barcode, the last delivery of a barcode winning."""
     seen = read(spark, d, "obs_cells").where("perturbation_id is not null")
     at = F.struct("loaded_at", "dataset_id", "cell_id")
-    ids = seen.select(F.col("source_cell_barcode").alias("barcode"), at.alias("ord"), F.col("guide_id").alias("guide"), F.col("n_genes").alias("reads"), F.col("n_genes").alias("umis"))
-    cells = latest_cells(spark, d).select("dataset_id", "cell_id", "source_cell_barcode")
+    ids = seen.select(
+        F.col("source_cell_barcode").alias("barcode"),
+        at.alias("ord"),
+        F.col("guide_id").alias("guide"),
+        F.col("n_genes").alias("reads"),
+        F.col("n_genes").alias("umis")
+    )
+    cells = latest_cells(spark, d, "source_cell_barcode").drop("loaded_at")
     fixed = curate.repair_labels(cells, ids.where("barcode is not null"), "source_cell_barcode", ["", "nan"])
     return fixed.groupBy("dataset_id", "matched", "control_status", "nperts").agg(F.count("*").alias("cells"), F.sum("read_count").alias("reads"))
 
@@ -269,8 +359,12 @@ def release_join(spark: SparkSession, d: str) -> DataFrame:
     """Data sets of each release with their check and their profile, and which of them is lacking."""
     key = ["release_id", "dataset_id"]
     qc = read(spark, d, "dataset_qc").where("release_id is not null and dataset_id is not null").groupBy(*key).agg(F.max("load_no").alias("qc_load"))
-    prof = read(spark, d, "profile_index").where("release_id is not null and dataset_id is not null").groupBy(*key).agg(F.max("load_no").alias("profile_load"))
-    return qc.join(prof, key, "full").withColumn("lacking", F.when(F.col("qc_load").isNull(), "check").when(F.col("profile_load").isNull(), "profile").otherwise(""))
+    prof = read(spark, d, "profile_index").where("release_id is not null and dataset_id is not null").groupBy(*key).agg(
+        F.max("load_no").alias("profile_load")
+    )
+    return qc.join(prof, key, "full").withColumn(
+        "lacking", F.when(F.col("qc_load").isNull(), "check").when(F.col("profile_load").isNull(), "profile").otherwise("")
+    )
 
 
 def artifact_anti_join(spark: SparkSession, d: str) -> DataFrame:
@@ -283,9 +377,32 @@ def artifact_anti_join(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        obs_harmonize, conditions, interventions, grain_counts, groups_bio_condition, pseudobulk_intervention, pseudobulk_condition, library_size, cpm_log1p,
-        effects_intervention, top_genes, effect_stats, contrast_cascade, contrast_controls, contrast_pooled, contrast_members, contrast_summary, effects_pooled,
-        meta_gene_consistency, meta_summary, meta_dataset_summary, top_gene_recurrence, qc_perturbation, qc_dataset, profile_columns, profile_value_counts,
+        obs_harmonize,
+        conditions,
+        interventions,
+        grain_counts,
+        groups_bio_condition,
+        pseudobulk_intervention,
+        pseudobulk_condition,
+        library_size,
+        cpm_log1p,
+        effects_intervention,
+        top_genes,
+        effect_stats,
+        contrast_cascade,
+        contrast_controls,
+        contrast_pooled,
+        contrast_members,
+        contrast_summary,
+        effects_pooled,
+        meta_gene_consistency,
+        meta_summary,
+        meta_dataset_summary,
+        top_gene_recurrence,
+        qc_perturbation,
+        qc_dataset,
+        profile_columns,
+        profile_value_counts,
         matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, var_harmonize, verify_equal, release_join, artifact_anti_join,
     )
 }
@@ -358,7 +475,11 @@ libs AS (
     + _DELTA.format(key="dataset_id, contrast_id, perturbation_id")
 )
 
-_PREP = "prep AS (SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in sorted({*contrast.STRICT, *contrast.CONTEXT, "control_status", "condition_id", "is_control"})) + ", coalesce(TRY_CAST(nullif(CAST(cell_count AS VARCHAR), '') AS BIGINT), 0) AS cells FROM cond)"
+_PREP = "prep AS (SELECT " + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in sorted(
+        {*contrast.STRICT, *contrast.CONTEXT, "control_status", "condition_id", "is_control"}
+    )
+) + ", coalesce(TRY_CAST(nullif(CAST(cell_count AS VARCHAR), '') AS BIGINT), 0) AS cells FROM cond)"
 _T, _C = "SELECT * FROM prep WHERE is_control <> 'true'", "SELECT * FROM prep WHERE is_control = 'true'"
 
 
@@ -450,11 +571,33 @@ _SETS = ", ".join("(" + ", ".join(ks) + ")" for ks in GRAINS.values())
 
 
 def _grain_sql() -> str:
-    parts = [f"SELECT '{g}' AS grain, dataset_id, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_cells FROM (SELECT {', '.join(ks)}, count(*) AS n FROM filled GROUP BY {', '.join(ks)}) GROUP BY dataset_id" for g, ks in GRAINS.items()]
+    parts = [
+        f"SELECT '{g}' AS grain, dataset_id, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_cells FROM (SELECT {', '.join(ks)}, count(*) AS n FROM filled GROUP BY {', '.join(ks)}) GROUP BY dataset_id" for g,
+        ks in GRAINS.items()
+    ]
     return f"WITH {_OBS}, filled AS (SELECT {', '.join(map(_b, _ALL))} FROM obs) " + " UNION ALL ".join(parts)
 
 
-_TEXT = ["cell_line", "cell_type", "disease", "organism", "perturbation_id", "perturbation_type", "perturbation_target", "guide_id", "dose", "dose_unit", "time", "time_unit", "batch_id", "replicate_id", "n_counts", "n_genes", "percent_mito", "percent_ribo"]
+_TEXT = [
+    "cell_line",
+    "cell_type",
+    "disease",
+    "organism",
+    "perturbation_id",
+    "perturbation_type",
+    "perturbation_target",
+    "guide_id",
+    "dose",
+    "dose_unit",
+    "time",
+    "time_unit",
+    "batch_id",
+    "replicate_id",
+    "n_counts",
+    "n_genes",
+    "percent_mito",
+    "percent_ribo"
+]
 
 SQL = {
     "obs_harmonize": f"""WITH {_OBS}, h AS (SELECT dataset_id, cell_id, {", ".join(map(_b, _TEXT))}, coalesce(control_status, '') AS cs, coalesce(drug_id, '') AS dr, coalesce(source_cell_barcode, '') AS bc FROM obs),
@@ -516,7 +659,11 @@ SELECT *, CASE WHEN failures <> '' THEN 'fail' WHEN warnings <> '' THEN 'warn' E
         f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL{'' if c == 'collected_at' else f''' OR lower({c}) IN ('nan', 'none', 'null', 'na')'''}) AS missing_count, count(DISTINCT coalesce(CAST({c} AS VARCHAR), 'None')) AS unique_count FROM obs_cells" for c in PROFILED
     ),
     "profile_value_counts": "WITH long AS ("
-    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS v FROM obs_cells" for c in ("cell_line", "disease", "perturbation_id", "control_status", "batch_id", "time"))
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS v FROM obs_cells" for c in (
+            "cell_line", "disease", "perturbation_id", "control_status", "batch_id", "time"
+        )
+    )
     + "), k AS (SELECT column_name, CASE WHEN v IS NULL OR lower(v) IN ('', 'nan', 'none', 'null', 'na') THEN '<missing>' ELSE v END AS value, count(*) AS n_rows FROM long GROUP BY 1, 2) SELECT *, CAST(row_number() OVER w AS INTEGER) AS place FROM k WINDOW w AS (PARTITION BY column_name ORDER BY n_rows DESC, value) QUALIFY row_number() OVER w <= 20",
     "matrix_profile": f"""{_BASE}, t AS (SELECT dataset_id, cell_ord, feature_id, sum(value) AS v FROM counts GROUP BY 1, 2, 3), o AS (SELECT dataset_id, count(*) AS n_obs FROM cells GROUP BY 1), f AS (SELECT dataset_id, count(DISTINCT feature_id) AS n_vars FROM counts GROUP BY 1)
 SELECT dataset_id, n_obs, n_vars, count(*) FILTER (WHERE v <> 0) AS nnz, bool_and(abs(v - round(v)) <= 1e-8 + 1e-5 * abs(round(v))) AS integer_like, CAST(min(v) AS DOUBLE) AS least, CAST(max(v) AS DOUBLE) AS most,

@@ -29,7 +29,9 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str]) -> DataF
 def write_text_table(df: DataFrame, path: str, columns: list[str] | None = None, compression: str = "none") -> None:
     """Fixed columns in order (or all, by name), nulls as empty cells; one file per partition."""
     chosen = columns or sorted(df.columns)
-    df.select(*[blank(F.col(f"`{c}`").cast("string")).alias(c) for c in chosen]).write.mode("overwrite").option("compression", compression).option("emptyValue", "").option("escape", '"').csv(path, header=True)
+    df.select(
+        *[blank(F.col(f"`{c}`").cast("string")).alias(c) for c in chosen]
+    ).write.mode("overwrite").option("compression", compression).option("emptyValue", "").option("escape", '"').csv(path, header=True)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "dataset_id") -> None:
@@ -62,7 +64,13 @@ def receipts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("name"), "path", F.col("length").alias("size_bytes"), F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+    return files.select(
+        name.alias("name"),
+        "path",
+        F.col("length").alias("size_bytes"),
+        F.md5("content").alias("md5"),
+        F.sha2("content", 256).alias("sha256")
+    )
 
 
 def verify_receipts(expected: DataFrame, found: DataFrame) -> DataFrame:
@@ -70,7 +78,12 @@ def verify_receipts(expected: DataFrame, found: DataFrame) -> DataFrame:
 
     expected: name, size_bytes, algorithm (md5 or sha256), checksum.
     """
-    repeated = expected.groupBy("name").agg(F.count("*").alias("times"), F.first("size_bytes").alias("want"), F.first("algorithm").alias("algorithm"), F.first("checksum").alias("checksum"))
+    repeated = expected.groupBy("name").agg(
+        F.count("*").alias("times"),
+        F.first("size_bytes").alias("want"),
+        F.first("algorithm").alias("algorithm"),
+        F.first("checksum").alias("checksum")
+    )
     both = repeated.join(found.select("name", "size_bytes", "md5", "sha256"), "name", "full")
     digest = F.when(F.col("algorithm") == "md5", F.col("md5")).when(F.col("algorithm") == "sha256", F.col("sha256"))
     problem = (

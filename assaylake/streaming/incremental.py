@@ -26,4 +26,6 @@ def first_deliveries(cells: DataFrame, key: list[str], at: str, delay: str = "7
 
 def daily_deliveries(cells: DataFrame, at: str, delay: str = "7 days", every: str = "1 day") -> DataFrame:
     """Cells per data set and window of delivery; output mode append once a window is past."""
-    return cells.withWatermark(at, delay).groupBy(F.window(at, every), "dataset_id").agg(F.count("*").alias("cells")).select("dataset_id", F.col("window.start").alias("window_start"), "cells")
+    return cells.withWatermark(at, delay).groupBy(F.window(at, every), "dataset_id").agg(F.count("*").alias("cells")).select(
+        "dataset_id", F.col("window.start").alias("window_start"), "cells"
+    )

@@ -10,7 +10,10 @@ def records(spark, files, kind="obs"):
         for n, (k, fields) in enumerate(lines):
             payload = fields if isinstance(fields, (str, type(None))) else json.dumps({key: k, **fields})
             rows.append((len(rows), "s", f"s/f{seq}", seq, "d", kind, n, payload, "noise"))
-    return spark.createDataFrame(rows, "record_id int, series_id string, file_id string, file_seq int, dataset_id string, kind string, line_no int, payload string, field string")
+    return spark.createDataFrame(
+        rows,
+        "record_id int, series_id string, file_id string, file_seq int, dataset_id string, kind string, line_no int, payload string, field string"
+    )
 
 
 def changes(spark, files, kind="obs"):
@@ -25,7 +28,11 @@ def test_all_kinds_of_change(spark):
         [("b", {"lane": {"batch": ["2"]}, "n": 6, "fresh": "yes"})],
     ]
     assert changes(spark, files) == {
-        ("s/f2", "renamed", "batch", "lane.batch"), ("s/f2", "retyped", "batch", "lane.batch"), ("s/f2", "retyped", "n", "n"), ("s/f2", "removed", "gone", ""), ("s/f2", "added", "", "fresh"),
+        ("s/f2", "renamed", "batch", "lane.batch"),
+        ("s/f2", "retyped", "batch", "lane.batch"),
+        ("s/f2", "retyped", "n", "n"),
+        ("s/f2", "removed", "gone", ""),
+        ("s/f2", "added", "", "fresh"),
         ("s/f4", "retyped", "lane.batch", "lane.batch"), ("s/f4", "retyped", "n", "n"), ("s/f4", "retyped", "fresh", "fresh"),
     }
 

@@ -48,7 +48,18 @@ def test_empty_table(spark):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(st.tuples(st.lists(st.sampled_from([*NAMES, ""]), min_size=2, max_size=6), st.sampled_from([";", "|", ",", "+", "&", "/", "\t", "\n"]), st.sampled_from(["", '"', "'"]), st.sampled_from(["", " "])), min_size=1, max_size=20))
+@given(
+    data=st.lists(
+        st.tuples(
+            st.lists(st.sampled_from([*NAMES, ""]), min_size=2, max_size=6),
+            st.sampled_from([";", "|", ",", "+", "&", "/", "\t", "\n"]),
+            st.sampled_from(["", '"', "'"]),
+            st.sampled_from(["", " "])
+        ),
+        min_size=1,
+        max_size=20
+    )
+)
 def test_round_trip(spark, data):
     texts, want = [], []
     for values, delimiter, quote, gap in data:

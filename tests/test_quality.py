@@ -35,7 +35,11 @@ def brute(rows, j):
             "constant": len({v for v, _ in filled}) == 1,
             "pattern": len(good) < len(filled),
             "range": j.limit and any(int(v) < 0 or int(v) > b for v, b in good),
-            "drift": before and ((share is not None and before[0] is not None and abs(share - before[0]) > 0.2503) or (median is not None and before[1] is not None and (median > 3 * before[1] or median * 3 < before[1]))),
+            "drift": before and (
+                (share is not None and before[0] is not None and abs(share - before[0]) > 0.2503) or (
+                    median is not None and before[1] is not None and (median > 3 * before[1] or median * 3 < before[1])
+                )
+            ),
         }
         out |= {(j.table, j.column, load, f) for f, hit in found.items() if hit}
         before = (share, median)
@@ -64,9 +68,17 @@ def test_findings_equal_brute_force(spark):
 
 
 def test_edge_cases(spark):
-    df = spark.createDataFrame([(1, None, 5, "x"), (2, "NA", 5, "x"), (3, '["a", "b"]', None, "x"), (3, '["a", "b"]', None, "x"), (None, "[]", 1, "x")], "load_no int, warnings string, n_obs int, value string")
+    df = spark.createDataFrame(
+        [(1, None, 5, "x"), (2, "NA", 5, "x"), (3, '["a", "b"]', None, "x"), (3, '["a", "b"]', None, "x"), (None, "[]", 1, "x")],
+        "load_no int, warnings string, n_obs int, value string"
+    )
     got = {tuple(r) for r in findings(profile_loads({"p": df}, [Judged("p", "warnings", "messages")])).collect()}
-    assert got == {("p", "warnings", 1, "missing"), ("p", "warnings", 2, "missing"), ("p", "warnings", 3, "constant"), ("p", "warnings", None, "constant")}
+    assert got == {
+        ("p", "warnings", 1, "missing"),
+        ("p", "warnings", 2, "missing"),
+        ("p", "warnings", 3, "constant"),
+        ("p", "warnings", None, "constant")
+    }
 
 
 def test_empty_tables(spark):

@@ -12,9 +12,19 @@ def test_all_encodings_give_the_same_triplets(spark):
     want = {("ds", 0, 0, 1.0), ("ds", 0, 2, 2.0), ("ds", 1, 1, 3.0)}
     ptr = "dataset_id string, ord long, start long, stop long"
     val = "dataset_id string, pos long, index long, value double"
-    csr = matrix.csr_triplets(spark.createDataFrame([("ds", 0, 0, 2), ("ds", 1, 2, 4), ("ds", 2, 4, 4)], ptr), spark.createDataFrame([("ds", 0, 0, 1.0), ("ds", 1, 2, 2.0), ("ds", 2, 1, 3.0), ("ds", 3, 0, 0.0)], val))
-    csc = matrix.csc_triplets(spark.createDataFrame([("ds", 0, 0, 1), ("ds", 1, 1, 2), ("ds", 2, 2, 3)], ptr), spark.createDataFrame([("ds", 0, 0, 1.0), ("ds", 1, 1, 3.0), ("ds", 2, 0, 2.0)], val))
-    dense = matrix.dense_triplets(spark.createDataFrame([("ds", 0, [1.0, 0.0, 2.0]), ("ds", 1, [0.0, 3.0, None])], "dataset_id string, cell_ord long, values array<double>"))
+    csr = matrix.csr_triplets(
+        spark.createDataFrame([("ds", 0, 0, 2), ("ds", 1, 2, 4), ("ds", 2, 4, 4)], ptr),
+        spark.createDataFrame([("ds", 0, 0, 1.0), ("ds", 1, 2, 2.0), ("ds", 2, 1, 3.0), ("ds", 3, 0, 0.0)], val)
+    )
+    csc = matrix.csc_triplets(
+        spark.createDataFrame([("ds", 0, 0, 1), ("ds", 1, 1, 2), ("ds", 2, 2, 3)], ptr),
+        spark.createDataFrame([("ds", 0, 0, 1.0), ("ds", 1, 1, 3.0), ("ds", 2, 0, 2.0)], val)
+    )
+    dense = matrix.dense_triplets(
+        spark.createDataFrame(
+            [("ds", 0, [1.0, 0.0, 2.0]), ("ds", 1, [0.0, 3.0, None])], "dataset_id string, cell_ord long, values array<double>"
+        )
+    )
     for got in (csr, csc, dense):
         assert {tuple(r) for r in got.select("dataset_id", "cell_ord", "feature_ord", "value").collect()} == want
 
@@ -50,7 +60,16 @@ def test_receipts(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"hello")
     (tmp_path / "b.bin").write_bytes(b"other")
     md5 = hashlib.md5(b"hello").hexdigest()
-    expected = spark.createDataFrame([("a.bin", 5, "md5", md5.upper()), ("b.bin", 5, "sha256", "00"), ("c.bin", 1, "md5", ""), ("d.bin", 1, "md5", ""), ("d.bin", 1, "md5", "")], "name string, size_bytes long, algorithm string, checksum string")
+    expected = spark.createDataFrame(
+        [
+            ("a.bin", 5, "md5", md5.upper()),
+            ("b.bin", 5, "sha256", "00"),
+            ("c.bin", 1, "md5", ""),
+            ("d.bin", 1, "md5", ""),
+            ("d.bin", 1, "md5", "")
+        ],
+        "name string, size_bytes long, algorithm string, checksum string"
+    )
     got = {r.name: r.problem for r in files.verify_receipts(expected, files.receipts(spark, str(tmp_path), "*.bin")).collect()}
     assert got == {"a.bin": "ok", "b.bin": "checksum", "c.bin": "missing", "d.bin": "repeated"}
     chosen, unknown = files.select_artifacts(expected, spark.createDataFrame([("a.bin",), ("z",)], "name string"))
@@ -61,23 +80,35 @@ def test_receipts(spark, tmp_path):
 
 
 def test_streamed_sums_equal_batch(spark, tmp_path):
-    rows = spark.createDataFrame([("ds", i % 4, f"g{i % 3}", float(i)) for i in range(60)], "dataset_id string, cell_ord long, feature_id string, value double")
+    rows = spark.createDataFrame(
+        [("ds", i % 4, f"g{i % 3}", float(i)) for i in range(60)], "dataset_id string, cell_ord long, feature_id string, value double"
+    )
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
     member = spark.createDataFrame([("ds", i, f"grp{i % 2}") for i in range(3)], "dataset_id string, cell_ord long, group_id string")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    q = incremental.running_pseudobulk(stream, member).writeStream.outputMode("complete").format("memory").queryName("sums").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q = incremental.running_pseudobulk(stream, member).writeStream.outputMode("complete").format("memory").queryName("sums").option(
+        "checkpointLocation", str(tmp_path / "cp")
+    ).start()
     q.processAllAvailable()
     q.stop()
     got = {(r.group_id, r.feature_id): r.count_sum for r in spark.table("sums").collect()}
-    want = {(r.group_id, r.feature_id): r.s for r in rows.join(member, ["dataset_id", "cell_ord"]).groupBy("group_id", "feature_id").agg(F.sum("value").alias("s")).collect()}
+    want = {
+        (r.group_id, r.feature_id): r.s for r in rows.join(
+            member, ["dataset_id", "cell_ord"]
+        ).groupBy("group_id", "feature_id").agg(F.sum("value").alias("s")).collect()
+    }
     assert got == want
 
 
 def test_repeated_deliveries_are_dropped_in_a_stream(spark, tmp_path):
-    rows = spark.sql("select * from values ('d', 'a', timestamp'2024-01-01 00:00:00'), ('d', 'a', timestamp'2024-01-01 00:00:00'), ('d', 'b', timestamp'2024-01-01 01:00:00') as t(dataset_id, cell_id, loaded_at)")
+    rows = spark.sql(
+        "select * from values ('d', 'a', timestamp'2024-01-01 00:00:00'), ('d', 'a', timestamp'2024-01-01 00:00:00'), ('d', 'b', timestamp'2024-01-01 01:00:00') as t(dataset_id, cell_id, loaded_at)"
+    )
     rows.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    q = incremental.first_deliveries(stream, ["dataset_id", "cell_id"], "loaded_at").writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q = incremental.first_deliveries(
+        stream, ["dataset_id", "cell_id"], "loaded_at"
+    ).writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "cp")).start()
     q.processAllAvailable()
     q.stop()
     assert spark.table("firsts").count() == 2

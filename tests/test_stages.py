@@ -7,7 +7,23 @@ from assaylake.functions.numbering import latest, number_rows
 from assaylake.functions.text import is_missing_profile, is_missing_qc, normalize, safe_stem, split_ids, text_of, to_count, to_double
 from assaylake.operators import cellqc, contrast, curate, effects, harmonize, meta, pseudobulk, tableprofile
 
-COND = ["condition_id", "dataset_id", "cell_line", "cell_type", "disease", "perturbation_id", "dose", "dose_unit", "time", "time_unit", "control_status", "is_control", "batch_id", "replicate_id", "cell_count"]
+COND = [
+    "condition_id",
+    "dataset_id",
+    "cell_line",
+    "cell_type",
+    "disease",
+    "perturbation_id",
+    "dose",
+    "dose_unit",
+    "time",
+    "time_unit",
+    "control_status",
+    "is_control",
+    "batch_id",
+    "replicate_id",
+    "cell_count"
+]
 
 
 def cond(spark, rows):
@@ -18,12 +34,20 @@ def cond(spark, rows):
 
 def test_cascade_rules_and_reasons(spark):
     rows = cond(spark, [
-        ("c1", "ds", "K562", "control", "true", "b1", "", 100), ("t1", "ds", "K562", "geneA", "false", "b1", None, 80), ("t2", "ds", "K562", "geneB", "false", "b2", "", 80),
-        ("t3", "ds", "K562", "geneC", "false", "b1", "", 10), ("t4", "ds", "HL60", "geneD", "false", "b1", "", 60), ("t5", "other", "K562", "geneE", "false", "b1", "", "x"),
+        ("c1", "ds", "K562", "control", "true", "b1", "", 100), ("t1", "ds", "K562", "geneA", "false", "b1", None, 80), (
+            "t2", "ds", "K562", "geneB", "false", "b2", "", 80
+        ),
+        ("t3", "ds", "K562", "geneC", "false", "b1", "", 10), ("t4", "ds", "HL60", "geneD", "false", "b1", "", 60), (
+            "t5", "other", "K562", "geneE", "false", "b1", "", "x"
+        ),
     ])
     got = {r.treated_condition_id: r for r in contrast.condition_contrasts(rows).collect()}
     assert {k: (r.match_rule, r.status) for k, r in got.items()} == {
-        "t1": ("strict_context_batch_replicate", "pass"), "t2": ("bio_context", "pass"), "t3": ("strict_context_batch_replicate", "fail"), "t4": ("dataset_fallback", "warn"), "t5": ("unmatched", "fail"),
+        "t1": ("strict_context_batch_replicate", "pass"),
+        "t2": ("bio_context", "pass"),
+        "t3": ("strict_context_batch_replicate", "fail"),
+        "t4": ("dataset_fallback", "warn"),
+        "t5": ("unmatched", "fail"),
     }
     assert got["t3"].reason == "treated cells below threshold: 10 < 50"
     assert got["t4"].reason == "controls matched only at dataset level"
@@ -34,7 +58,9 @@ def test_cascade_rules_and_reasons(spark):
 
 def test_pooled_strata(spark):
     rows = cond(spark, [
-        ("k1", "ds", "K562", "control", "true", "b1", "r1", 100), ("k2", "ds", "K562", "control", "true", "b2", "r2", 100), ("a1", "ds", "K562", "geneA", "false", "b1", "r1", 30),
+        ("k1", "ds", "K562", "control", "true", "b1", "r1", 100), ("k2", "ds", "K562", "control", "true", "b2", "r2", 100), (
+            "a1", "ds", "K562", "geneA", "false", "b1", "r1", 30
+        ),
         ("a2", "ds", "K562", "geneA", "false", "b2", "r2", 30), ("b3", "ds", "K562", "geneB", "false", "b3", "r1", 70),
     ])
     pooled = contrast.pooled_contrasts(rows)
@@ -54,7 +80,10 @@ def cells_and_counts(spark):
     for k in sorted({k for ks in harmonize.GRAINS.values() for k in ks} - set(c.columns)):
         c = c.withColumn(k, F.lit(None).cast("string"))
     dense = [[1, 0, 2], [0, 3, 0], [4, 0, 1], [0, 2, 2]]
-    return c, spark.createDataFrame([("ds", i, f"g{j + 1}", float(v)) for i, row in enumerate(dense) for j, v in enumerate(row) if v], "dataset_id string, cell_ord long, feature_id string, value double")
+    return c, spark.createDataFrame(
+        [("ds", i, f"g{j + 1}", float(v)) for i, row in enumerate(dense) for j, v in enumerate(row) if v],
+        "dataset_id string, cell_ord long, feature_id string, value double"
+    )
 
 
 def test_pseudobulk_sums(spark):
@@ -68,7 +97,10 @@ def test_pseudobulk_sums(spark):
 
 def test_effects_of_disjoint_features_and_padding(spark):
     cells, _ = cells_and_counts(spark)
-    counts = spark.createDataFrame([("ds", 0, "g1", 10.0), ("ds", 3, "g1", 10.0), ("ds", 1, "g2", 10.0), ("ds", 2, "g2", 10.0)], "dataset_id string, cell_ord long, feature_id string, value double")
+    counts = spark.createDataFrame(
+        [("ds", 0, "g1", 10.0), ("ds", 3, "g1", 10.0), ("ds", 1, "g2", 10.0), ("ds", 2, "g2", 10.0)],
+        "dataset_id string, cell_ord long, feature_id string, value double"
+    )
     groups = pseudobulk.groups(cells, "intervention")
     sums = pseudobulk.pseudobulk(counts, pseudobulk.cell_groups(cells, groups, "intervention"))
     out = effects.intervention_effects(sums, groups, 1)
@@ -84,27 +116,58 @@ def test_effects_of_disjoint_features_and_padding(spark):
 
 
 def test_zero_library_gives_zero(spark):
-    r = spark.createDataFrame([(0.0, 0.0), (1.0, 2.0)], "c double, lib double").select(pseudobulk.log1p_cpm(F.col("c"), F.col("lib")).alias("x")).collect()
+    r = spark.createDataFrame([(0.0, 0.0), (1.0, 2.0)], "c double, lib double").select(
+        pseudobulk.log1p_cpm(F.col("c"), F.col("lib")).alias("x")
+    ).collect()
     assert [x.x for x in r] == [0.0, pytest.approx(math.log1p(5e5))]
 
 
 def test_gene_consistency(spark):
-    contrasts = spark.createDataFrame([("ds1", "c1", "pass"), ("ds1", "c2", "fail"), ("ds2", "c3", "warn")], "dataset_id string, contrast_id string, status string")
-    hits = spark.createDataFrame([("ds1", "c1", "geneA", "2.0", 1), ("ds1", "c1", "geneB", "-1.0", 1), ("ds1", "c2", "geneA", "5.0", 1), ("ds2", "c3", "geneA", "1.5", 1), ("ds2", "c3", "geneC", "x", 1), ("ds2", "c3", None, "1", 1)], "dataset_id string, contrast_id string, gene_id string, effect_size string, status int")
+    contrasts = spark.createDataFrame(
+        [("ds1", "c1", "pass"), ("ds1", "c2", "fail"), ("ds2", "c3", "warn")], "dataset_id string, contrast_id string, status string"
+    )
+    hits = spark.createDataFrame(
+        [
+            ("ds1", "c1", "geneA", "2.0", 1),
+            ("ds1", "c1", "geneB", "-1.0", 1),
+            ("ds1", "c2", "geneA", "5.0", 1),
+            ("ds2", "c3", "geneA", "1.5", 1),
+            ("ds2", "c3", "geneC", "x", 1),
+            ("ds2", "c3", None, "1", 1)
+        ],
+        "dataset_id string, contrast_id string, gene_id string, effect_size string, status int"
+    )
     genes = meta.gene_consistency(meta.included_hits(hits, contrasts))
     got = {r.gene_id: r for r in genes.collect()}
     a = got["geneA"]
-    assert len(got) == 3 and (a.dataset_count, a.hit_count, a.pass_hits, a.warn_hits, a.sign_consistency, a.median_effect, a.datasets) == (2, 2, 1, 1, 1.0, 1.75, "ds1;ds2")
+    assert len(got) == 3 and (a.dataset_count, a.hit_count, a.pass_hits, a.warn_hits, a.sign_consistency, a.median_effect, a.datasets) == (
+        2, 2, 1, 1, 1.0, 1.75, "ds1;ds2"
+    )
     assert a.conserved_response_score == pytest.approx(2 * 1.0 * math.log10(3) * 1.75)
     assert got["geneC"].sign_consistency == 0.0
     assert [(r.rank, r.gene_id) for r in meta.meta_summary(genes, 2).orderBy("rank").collect()] == [(1, "geneA"), (2, "geneB")]
-    per = {r.dataset_id: (r.input_contrasts, r.included_contrasts, r.input_top_gene_hits, r.included_top_gene_hits) for r in meta.dataset_accounting(hits, contrasts).collect()}
+    per = {
+        r.dataset_id: (
+            r.input_contrasts, r.included_contrasts, r.input_top_gene_hits, r.included_top_gene_hits
+        ) for r in meta.dataset_accounting(hits, contrasts).collect()
+    }
     assert per == {"ds1": (2, 1, 3, 2), "ds2": (1, 1, 3, 3)}
     assert [r.gene_id for r in meta.recurrence(hits, 2).collect()] == ["geneA", "geneB"]
 
 
 def test_quality_checks(spark):
-    rows = [("ds", p, s, b) for p, s, b in [("control", "negative_control", "b1"), ("control", "negative_control", "b2"), ("geneA", "targeting", "b1"), ("geneA", "targeting", "b2"), ("geneB", "targeting", "b1"), (" NaN ", None, None)]]
+    rows = [
+        ("ds", p, s, b) for p,
+        s,
+        b in [
+            ("control", "negative_control", "b1"),
+            ("control", "negative_control", "b2"),
+            ("geneA", "targeting", "b1"),
+            ("geneA", "targeting", "b2"),
+            ("geneB", "targeting", "b1"),
+            (" NaN ", None, None)
+        ]
+    ]
     cells = spark.createDataFrame(rows, "dataset_id string, perturbation string, control_status string, batch string")
     vectors, used = cellqc.qc_vectors(cells)
     got = {r.perturbation_id: r for r in cellqc.perturbation_qc(vectors, True, 2, 2).collect()}
@@ -119,16 +182,23 @@ def test_quality_checks(spark):
 
 
 def test_control_set_quirk(spark):
-    df = spark.createDataFrame([("geneA", "negative_control"), ("geneA", "Non_Targeting "), ("DMSO", ""), ("geneA", "1"), (None, None)], "p string, s string")
+    df = spark.createDataFrame(
+        [("geneA", "negative_control"), ("geneA", "Non_Targeting "), ("DMSO", ""), ("geneA", "1"), (None, None)], "p string, s string"
+    )
     plain = [r[0] for r in df.select(harmonize.is_control(F.col("p"), F.col("s"))).collect()]
     mended = [r[0] for r in df.select(harmonize.is_control(F.col("p"), F.col("s"), True)).collect()]
     assert plain == [False, True, True, True, False] and mended == [True, True, True, True, False]
 
 
 def test_harmonize_takes_the_first_existing_name(spark):
-    df = spark.createDataFrame([("x1", None, "geneA", "K", 7, 0.5, True, "drug"), ("x2", "late", "control", "K", None, 24.0, False, "crispr")], "id string, condition string, perturbation string, celltype string, ncounts int, percent_mito double, plate boolean, perturbation_type string")
+    df = spark.createDataFrame(
+        [("x1", None, "geneA", "K", 7, 0.5, True, "drug"), ("x2", "late", "control", "K", None, 24.0, False, "crispr")],
+        "id string, condition string, perturbation string, celltype string, ncounts int, percent_mito double, plate boolean, perturbation_type string"
+    )
     a, b = harmonize.harmonize_obs(df, F.lit("ds"), F.col("id")).orderBy("cell_id").collect()
-    assert (a.perturbation_id, a.drug_id, a.n_counts, a.percent_mito, a.batch_id, a.control_status, a.source_cell_barcode, a.disease) == ("geneA", "geneA", "7", "0.5", "True", "targeting", "x1", "")
+    assert (a.perturbation_id, a.drug_id, a.n_counts, a.percent_mito, a.batch_id, a.control_status, a.source_cell_barcode, a.disease) == (
+        "geneA", "geneA", "7", "0.5", "True", "targeting", "x1", ""
+    )
     assert (b.is_control, b.n_counts, b.percent_mito, b.batch_id, b.drug_id) == ("true", "", "24.0", "False", "")
     assert len(a) == 24
     var = harmonize.harmonize_var(spark.createDataFrame([("g1", "")], "feature string, gene_name string"), F.lit("ds"), F.col("feature")).first()
@@ -149,13 +219,26 @@ def test_text_helpers(spark):
 
 def test_stems_and_id_lists(spark):
     df = spark.createDataFrame([("My Set/1 ", "a;;b"), ("__", ""), (None, None)], "s string, ids string")
-    assert [tuple(r) for r in df.select(safe_stem(F.col("s")), split_ids(F.col("ids"))).collect()] == [("my_set_1", ["a", "b"]), ("dataset", []), ("dataset", [])]
+    assert [tuple(r) for r in df.select(safe_stem(F.col("s")), split_ids(F.col("ids"))).collect()] == [
+        ("my_set_1", ["a", "b"]), ("dataset", []), ("dataset", [])
+    ]
 
 
 def test_profile_warnings(spark):
-    shapes = spark.createDataFrame([("a", 3, 2, 3, 5, 0, False), ("b", 3, 2, None, None, 1, True)], "dataset_id string, n_obs int, n_vars int, obs_rows int, var_rows int, count_layers int, integer_like boolean")
-    got = {r.dataset_id: r.warnings for r in tableprofile.profile_warnings(["perturbation", *tableprofile.OBS_RECOMMENDED], ["gene_id"], shapes).collect()}
-    assert got["b"] == [] and got["a"] == ["no raw object or count layer found; X is treated as counts", "sampled X values are not integer-like", "var row count does not match X columns"]
+    shapes = spark.createDataFrame(
+        [("a", 3, 2, 3, 5, 0, False), ("b", 3, 2, None, None, 1, True)],
+        "dataset_id string, n_obs int, n_vars int, obs_rows int, var_rows int, count_layers int, integer_like boolean"
+    )
+    got = {
+        r.dataset_id: r.warnings for r in tableprofile.profile_warnings(
+            ["perturbation", *tableprofile.OBS_RECOMMENDED], ["gene_id"], shapes
+        ).collect()
+    }
+    assert got["b"] == [] and got["a"] == [
+        "no raw object or count layer found; X is treated as counts",
+        "sampled X values are not integer-like",
+        "var row count does not match X columns"
+    ]
 
 
 def test_numbering_and_latest(spark):
@@ -174,17 +257,29 @@ def test_profiles(spark):
     assert [(r.value, r.n_rows) for r in tableprofile.value_counts(df, ["t"]).orderBy("place").collect()] == [("<missing>", 3), ("x", 2)]
     v = spark.createDataFrame([(1.0,), (2.00001,), (2.5,), (None,), (float("inf"),)], "v double")
     assert [r[0] for r in v.select(tableprofile.integer_like(F.col("v"))).collect()] == [True, True, False, False, False]
-    assert tableprofile.column_warnings(["perturbation"], []) == ["missing recommended obs columns: cell_line, cell_type, celltype, disease, organism", "missing recommended gene identifier columns: ensembl_id, gene_id, gene_name, gene_symbol"]
+    assert tableprofile.column_warnings(["perturbation"], []) == [
+        "missing recommended obs columns: cell_line, cell_type, celltype, disease, organism",
+        "missing recommended gene identifier columns: ensembl_id, gene_id, gene_name, gene_symbol"
+    ]
 
 
 def test_curation(spark):
-    cells = spark.createDataFrame([("ds", i, p) for i, p in enumerate(["Control", None, "nan", "geneA"])], "dataset_id string, cell_ord long, perturbation string")
+    cells = spark.createDataFrame(
+        [("ds", i, p) for i, p in enumerate(["Control", None, "nan", "geneA"])], "dataset_id string, cell_ord long, perturbation string"
+    )
     assert [r.nperts for r in curate.with_perturbation(cells, "perturbation", True).orderBy("cell_ord").collect()] == [0, 1]
     counts = spark.createDataFrame([("ds", i, 1) for i in range(4)], "dataset_id string, cell_ord long, value int")
     kept, left = curate.filter_rows(cells, counts, F.col("cell_ord") != 1, {"nperts": F.lit(1)})
     assert (kept.count(), left.count()) == (3, 3)
-    ids = spark.createDataFrame([("0", 1, "g1", "5.0", "2"), ("0", 2, "CTRL", "7.9", "x"), (None, 3, "g9", "1", "1")], "barcode string, ord int, guide string, reads string, umis string")
-    r = {x.cell_ord: x for x in curate.repair_labels(cells.drop("perturbation").withColumn("bc", F.col("cell_ord").cast("string")), ids, "bc", ["CTRL"]).collect()}
+    ids = spark.createDataFrame(
+        [("0", 1, "g1", "5.0", "2"), ("0", 2, "CTRL", "7.9", "x"), (None, 3, "g9", "1", "1")],
+        "barcode string, ord int, guide string, reads string, umis string"
+    )
+    r = {
+        x.cell_ord: x for x in curate.repair_labels(
+            cells.drop("perturbation").withColumn("bc", F.col("cell_ord").cast("string")), ids, "bc", ["CTRL"]
+        ).collect()
+    }
     assert (r[0].perturbation, r[0].control_status, r[0].read_count, r[0].umi_count, r[0].nperts) == ("control", "negative_control", 7, 0, 0)
     assert (r[1].matched, r[1].perturbation) == (False, None)
     same, other = curate.compare(counts, counts).first(), curate.compare(counts, counts.unionByName(counts.limit(1))).first()

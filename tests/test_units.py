@@ -3,33 +3,73 @@ import pytest
 from assaylake.operators.units import assign_units, convert_conditions, converted_cases
 
 DOSES = {
-    ("1500", "nM"): 1.5e6, ("1,500", "nM"): 1.5e6, ("0,001", "uM"): 1e3, ("1,5", "µM"): 1.5e6, ("1,000,000", "pM"): 1e6, ("3 x 10^-4", "mmol/L"): 3e5, ("3*10^7", "pM"): 3e7,
-    ("3E+06", "pM"): 3e6, ("-7", "log10(M)"): 1e5, ("-9", "log M"): 1e3, ("@100000pM", "nM"): 1e5, ("ca. 0.1 umol/L", "nM"): 1e5, ("dose=0.03mmol/L", ""): 3e7, ("0.3µM (nominal)", "nM"): 3e5,
-    ("30 nmol/L final", None): 3e4, ("1", "um"): 1e6, ("2", "nmol/mL"): 2e6, ("2", "fmol/uL"): 2e3, ("1", "mol/m3"): 1e9, ("286.5", "nmol l-1"): 286500.0, ("0.5 ug/mL", None): 1e6, ("7", None): 7e6, ("7", "NA"): 7e6,
-    ("1-10", "nM"): None, ("<5", "uM"): None, ("high", "nM"): None, ("5", "mg/kg"): None, ("1:1000", "dilution"): None, ("", "nM"): None, (None, "nM"): None, ("5", "MOI"): None, ("2 m", None): None,
+    ("1500", "nM"): 1.5e6, ("1,500", "nM"): 1.5e6, ("0,001", "uM"): 1e3, ("1,5", "µM"): 1.5e6, ("1,000,000", "pM"): 1e6, (
+        "3 x 10^-4", "mmol/L"
+    ): 3e5, ("3*10^7", "pM"): 3e7,
+    ("3E+06", "pM"): 3e6, ("-7", "log10(M)"): 1e5, ("-9", "log M"): 1e3, ("@100000pM", "nM"): 1e5, ("ca. 0.1 umol/L", "nM"): 1e5, ("dose=0.03mmol/L", ""): 3e7, (
+        "0.3µM (nominal)", "nM"
+    ): 3e5,
+    ("30 nmol/L final", None): 3e4,
+    ("1", "um"): 1e6,
+    ("2", "nmol/mL"): 2e6,
+    ("2", "fmol/uL"): 2e3,
+    ("1", "mol/m3"): 1e9,
+    ("286.5", "nmol l-1"): 286500.0,
+    ("0.5 ug/mL", None): 1e6,
+    ("7", None): 7e6,
+    ("7", "NA"): 7e6,
+    ("1-10", "nM"): None, ("<5", "uM"): None, ("high", "nM"): None, ("5", "mg/kg"): None, (
+        "1:1000", "dilution"
+    ): None, ("", "nM"): None, (None, "nM"): None, ("5", "MOI"): None, ("2 m", None): None,
 }
 TIMES = {
-    ("24", "h"): 86400, ("24H", ""): 86400, ("2880 mins", "d"): 172800, ("PT30M", None): 1800, ("P1DT12H", None): 129600, ("12:30", "h:mm"): 45000, ("12h 30 min", ""): 45000, ("1d 6h", None): 108000, ("T36h", ""): 129600,
-    ("t=2.5 h", ""): 9000, ("day 3", None): 259200, ("D2", None): 172800, ("~12h", ""): 43200, ("1.5 h post", ""): 5400, ("86,400", "s"): 86400, ("12,5", "H"): 45000, ("2", "wk"): 1209600, ("90 Min.", "h"): 5400, ("4", ""): 240,
+    ("24", "h"): 86400,
+    ("24H", ""): 86400,
+    ("2880 mins", "d"): 172800,
+    ("PT30M", None): 1800,
+    ("P1DT12H", None): 129600,
+    ("12:30", "h:mm"): 45000,
+    ("12h 30 min", ""): 45000,
+    ("1d 6h", None): 108000,
+    ("T36h", ""): 129600,
+    ("t=2.5 h", ""): 9000, ("day 3", None): 259200, ("D2", None): 172800, ("~12h", ""): 43200, (
+        "1.5 h post", ""
+    ): 5400, ("86,400", "s"): 86400, ("12,5", "H"): 45000, ("2", "wk"): 1209600, ("90 Min.", "h"): 5400, ("4", ""): 240,
     (">72", "h"): None, ("overnight", None): None, ("2 passages", ""): None, ("6-8", "h"): None, ("n/a", "h"): None, ("12:30", "h"): None,
 }
 
 
 def converted(spark, dose=None, unit=None, time=None, time_unit=None, dataset="with"):
-    rows = spark.createDataFrame([("c", dataset, "Cmpd", dose, unit, time, time_unit, 1)], "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string, number int")
+    rows = spark.createDataFrame(
+        [("c", dataset, "Cmpd", dose, unit, time, time_unit, 1)],
+        "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string, number int"
+    )
     return rows
 
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    ref = spark.createDataFrame([("with", "Stocks are kept at 10 mM in the freezer. Where a dose stands alone, read it as micromolar. Harvest times without a unit are minutes."), ("without", None)], "dataset_id string, protocol_note string")
+    ref = spark.createDataFrame(
+        [
+            (
+                "with",
+                "Stocks are kept at 10 mM in the freezer. Where a dose stands alone, read it as micromolar. Harvest times without a unit are minutes."
+            ),
+            ("without", None)
+        ],
+        "dataset_id string, protocol_note string"
+    )
     compounds = spark.createDataFrame([("Cmpd", 500.0)], "entry_name string, molar_mass double")
     return ref, compounds
 
 
 def test_doses_and_times(spark, tables):
-    rows = [(f"d{i}", "with", "Cmpd", v, u, None, None) for i, (v, u) in enumerate(DOSES)] + [(f"t{i}", "with", "Cmpd", None, None, v, u) for i, (v, u) in enumerate(TIMES)]
-    df = spark.createDataFrame(rows, "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string")
+    rows = [(f"d{i}", "with", "Cmpd", v, u, None, None) for i, (v, u) in enumerate(DOSES)] + [
+        (f"t{i}", "with", "Cmpd", None, None, v, u) for i, (v, u) in enumerate(TIMES)
+    ]
+    df = spark.createDataFrame(
+        rows, "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string"
+    )
     got = {(r.condition_id, r.quantity): r.common for r in convert_conditions(df, *tables).collect()}
     for i, (case, want) in enumerate(DOSES.items()):
         assert got[f"d{i}", "dose"] == (pytest.approx(want, rel=1e-9) if want is not None else None), case
@@ -38,8 +78,15 @@ def test_doses_and_times(spark, tables):
 
 
 def test_cases_leave_out_plain_numbers_and_unknown_units(spark, tables):
-    rows = [("a", "without", "Cmpd", "5", "nM", "3", "h"), ("b", "without", "Cmpd", "5", None, "3", ""), ("c", "without", "Other", "5", "ug/mL", "3", "d"), ("d", "with", None, "5 nM", None, None, None)]
-    df = spark.createDataFrame(rows, "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string")
+    rows = [
+        ("a", "without", "Cmpd", "5", "nM", "3", "h"),
+        ("b", "without", "Cmpd", "5", None, "3", ""),
+        ("c", "without", "Other", "5", "ug/mL", "3", "d"),
+        ("d", "with", None, "5 nM", None, None, None)
+    ]
+    df = spark.createDataFrame(
+        rows, "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string"
+    )
     assert {tuple(r) for r in converted_cases(convert_conditions(df, *tables)).collect()} == {("c", "time", 259200), ("d", "dose", 5000)}
     assert converted_cases(convert_conditions(df.limit(0), *tables)).count() == 0
 
