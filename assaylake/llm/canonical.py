@@ -85,14 +85,19 @@ def _tokens(joined: int):
             cols = list(zip(*rows)) or [[]] * 5
             at = pa.array(cols[0], pa.int64())
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([b["field"].take(at), b["value"].take(at), *[pa.array(c, k) for c, k in zip(cols[1:], kinds)]], names=["field", "value", "start", "stop", "token", "cut_short"])
+            yield pa.RecordBatch.from_arrays(
+                [b["field"].take(at), b["value"].take(at), *[pa.array(c, k) for c, k in zip(cols[1:], kinds)]],
+                names=["field", "value", "start", "stop", "token", "cut_short"]
+            )
 
     return run
 
 
 def deletions(c: Column) -> Column:
     """The token, and the token without one letter, or two if it is long."""
-    one = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t))))
+    one = lambda t: F.transform(
+        F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t)))
+    )
     first = F.when(F.length(c) >= 3, one(c)).otherwise(F.array().cast("array<string>"))
     # a value's token may be two letters shorter than the reference token
     second = F.when(F.length(c) >= LONG - 2, F.flatten(F.transform(first, one))).otherwise(F.array().cast("array<string>"))
@@ -155,7 +160,10 @@ class Entries:
             if len(w) > 1:
                 used, got, sims = set(), 0.0, []
                 for t in w:
-                    here = max(((sim, start) for start, stop, _, ref, sim in spans if ref == t and stop == start + 1 and start not in used), default=None)
+                    here = max(
+                        ((sim, start) for start, stop, _, ref, sim in spans if ref == t and stop == start + 1 and start not in used),
+                        default=None
+                    )
                     if here is None:
                         break
                     used.add(here[1]), sims.append(here[0])
@@ -174,8 +182,14 @@ def _rank(entries):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Entries = entries.value
         for b in batches:
-            found = [held.rank(f, [(x["start"], x["stop"], x["token"], x["ref"], x["sim"]) for x in s or ()]) for f, s in zip(b["field"].to_pylist(), b["spans"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([b["field"], b["value"], pa.array([e for e, _ in found], pa.int64()), pa.array([s for _, s in found], pa.float64())], names=["field", "value", "entry_id", "score"])
+            found = [
+                held.rank(f, [(x["start"], x["stop"], x["token"], x["ref"], x["sim"]) for x in s or ()]) for f,
+                s in zip(b["field"].to_pylist(), b["spans"].to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [b["field"], b["value"], pa.array([e for e, _ in found], pa.int64()), pa.array([s for _, s in found], pa.float64())],
+                names=["field", "value", "entry_id", "score"]
+            )
 
     return run
 
@@ -196,17 +210,34 @@ def map_values(values: DataFrame, reference: DataFrame, joined: int = 4, at_most
     tokens = cut(distinct.mapInArrow(_tokens(joined), "field string, value string, start int, stop int, token string, cut_short boolean"))
     repaired = repair_tokens(tokens.select("token").distinct(), vocabulary.select("ref").distinct())
     sim = (1 - F.col("dist") / F.greatest(F.length("ref"), F.length("token"))).cast("double")
-    own = tokens.join(repaired, "token").join(F.broadcast(vocabulary), ["field", "ref"]).select("field", "value", "start", "stop", "token", "ref", sim.alias("sim"))
+    own = tokens.join(repaired, "token").join(F.broadcast(vocabulary), ["field", "ref"]).select(
+        "field", "value", "start", "stop", "token", "ref", sim.alias("sim")
+    )
     # abbreviations: the start of a reference token, closed by a full stop
-    starts = vocabulary.where(F.length("ref") > LEAST_PREFIX).select("field", "ref", F.explode(F.transform(F.sequence(F.lit(LEAST_PREFIX), F.length("ref") - 1), lambda n: F.col("ref").substr(F.lit(1), n))).alias("token"))
-    cuts = tokens.where("cut_short").join(starts, ["field", "token"]).select("field", "value", "start", "stop", "token", "ref", (F.length("token") / F.length("ref")).cast("double").alias("sim"))
+    starts = vocabulary.where(F.length("ref") > LEAST_PREFIX).select(
+        "field",
+        "ref",
+        F.explode(
+            F.transform(F.sequence(F.lit(LEAST_PREFIX), F.length("ref") - 1), lambda n: F.col("ref").substr(F.lit(1), n))
+        ).alias("token")
+    )
+    cuts = tokens.where("cut_short").join(starts, ["field", "token"]).select(
+        "field", "value", "start", "stop", "token", "ref", (F.length("token") / F.length("ref")).cast("double").alias("sim")
+    )
     spans = own.unionByName(cuts).groupBy("field", "value").agg(F.collect_list(F.struct("start", "stop", "token", "ref", "sim")).alias("spans"))
-    return distinct.join(spans, ["field", "value"], "left").mapInArrow(_rank(spark.sparkContext.broadcast(held)), "field string, value string, entry_id bigint, score double")
+    return distinct.join(spans, ["field", "value"], "left").mapInArrow(
+        _rank(spark.sparkContext.broadcast(held)), "field string, value string, entry_id bigint, score double"
+    )
 
 
 def map_typed(df: DataFrame, key: str, fields: list[str], reference: DataFrame) -> DataFrame:
     """(key, field_name, typed, entry_id, score) of every value that is not an entry as it stands."""
-    long = df.select(F.col(key).alias("__key"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x")).select("__key", "x.*")
+    long = df.select(
+        F.col(key).alias("__key"),
+        F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x")
+    ).select("__key", "x.*")
     exact = reference.select(F.col("entry_field").alias("field"), F.col("entry_name").alias("value")).distinct()
     cases = long.where(~is_missing_qc(F.col("value"))).join(exact, ["field", "value"], "left_anti")
-    return cases.join(map_values(cases, reference), ["field", "value"]).select(F.col("__key").alias(key), F.col("field").alias("field_name"), F.col("value").alias("typed"), "entry_id", "score")
+    return cases.join(map_values(cases, reference), ["field", "value"]).select(
+        F.col("__key").alias(key), F.col("field").alias("field_name"), F.col("value").alias("typed"), "entry_id", "score"
+    )

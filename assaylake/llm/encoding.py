@@ -204,13 +204,24 @@ def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 rows.append((t, t, [CLEAN], units(t)))
                 rows += [(t, back, ch, units(back)) for back, ch in found.items()]
         cols = list(zip(*rows)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(pa.int32())), pa.array(cols[3], pa.list_(pa.string()))], names=["token", "text", "channels", "units"])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(cols[0], pa.string()),
+                pa.array(cols[1], pa.string()),
+                pa.array(cols[2], pa.list_(pa.int32())),
+                pa.array(cols[3], pa.list_(pa.string()))
+            ],
+            names=["token", "text", "channels", "units"]
+        )
 
 
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         t = b.column(0).to_pylist()
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([skeleton(x) for x in t], pa.string()), pa.array([lost(x) for x in t])], names=["token", "n", "skeleton", "lost"])
+        yield pa.RecordBatch.from_arrays(
+            [*b.columns, pa.array([skeleton(x) for x in t], pa.string()), pa.array([lost(x) for x in t])],
+            names=["token", "n", "skeleton", "lost"]
+        )
 
 
 def _fitting(token: pd.Series, word: pd.Series) -> pd.Series:
@@ -263,11 +274,18 @@ def _restore(enter: float):
                 whole = "".join([*parts, text[at:]])
                 gone = any(lost(m[0]) for m in places)
                 named = sorted({c for m, (c, new) in zip(places, path) if c >= 0 and new != m[0]})
-                names = [f"{CHANNELS[c % len(CHANNELS)][1]} read as {CHANNELS[c % len(CHANNELS)][0]}" + " twice" * (c >= len(CHANNELS)) for c in named]
+                names = [
+                    f"{CHANNELS[c % len(CHANNELS)][1]} read as {CHANNELS[c % len(CHANNELS)][0]}" + " twice" * (
+                        c >= len(CHANNELS)
+                    ) for c in named
+                ]
                 found.append((i, None if gone else whole, "" if gone else hashlib.md5(whole.encode()).hexdigest(), names, whole if gone else None))
             cols = list(zip(*found)) or [[]] * 5
             kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, k) for c, k in zip(cols[1:], kinds)]], names=["key", "restored", "restored_md5", "channels", "guess"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, k) for c, k in zip(cols[1:], kinds)]],
+                names=["key", "restored", "restored_md5", "channels", "guess"]
+            )
 
     return run
 
@@ -290,8 +308,14 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     kind_of, seen = F.substring("unit", 1, 1), F.log(F.col("n") / total)
     unseen = F.lit(math.log(0.5 / total)) - 2.5 * (F.length("unit") - 2)
     # neighbours predict much of an East Asian character; a word of two scripts is no word
-    part = F.when(kind_of == "m", unseen).when((kind_of == "e") & F.col("n").isNotNull(), east_weight * seen).otherwise(F.coalesce(F.greatest(seen, unseen), unseen))
-    scored = each.groupBy("token", "text", "channels").agg(F.sum(F.when(kind_of != "t", part)).alias("parts"), F.max(F.when(kind_of == "t", seen)).alias("whole"), F.max(F.col("n").isNotNull() & F.col("unit").rlike(_TELLING)).alias("met"))
+    part = F.when(kind_of == "m", unseen).when((kind_of == "e") & F.col("n").isNotNull(), east_weight * seen).otherwise(
+        F.coalesce(F.greatest(seen, unseen), unseen)
+    )
+    scored = each.groupBy("token", "text", "channels").agg(
+        F.sum(F.when(kind_of != "t", part)).alias("parts"),
+        F.max(F.when(kind_of == "t", seen)).alias("whole"),
+        F.max(F.col("n").isNotNull() & F.col("unit").rlike(_TELLING)).alias("met")
+    )
     # single bytes can be read as anything: only a word that the corpus knows is evidence for
     # such a reading, while bytes that are well-formed UTF-8 speak for themselves
     multibyte = [i for i, (_, w) in enumerate(CHANNELS) if w == "utf-8"]
@@ -307,16 +331,32 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
         return F.when(a["met"], both).otherwise(F.least(both, F.lit(0.0)))
 
     # a candidate that loses more than a change of channel costs can't be on a best path
-    gained = F.filter(F.transform("alts", lambda a: F.struct(a["channels"].alias("channels"), a["text"].alias("text"), gain(a).alias("gain"))), lambda a: a["gain"] > -enter)
+    gained = F.filter(
+        F.transform("alts", lambda a: F.struct(a["channels"].alias("channels"), a["text"].alias("text"), gain(a).alias("gain"))),
+        lambda a: a["gain"] > -enter
+    )
     suspects = suspects.select("token", gained.alias("cands")).where(F.size("cands") > 0)
     # lost bytes: the commonest clean token that has as many bytes in the same places
     marked = tokens.mapInArrow(_skeletons, "token string, n bigint, skeleton string, lost boolean")
     full = marked.where(~F.col("token").contains(LOST)).groupBy("skeleton").agg(F.max_by("token", "n").alias("word"))
     fitting = F.pandas_udf(_fitting, "boolean")
-    holes = marked.where("lost").join(full, "skeleton", "left").select("token", F.array(F.struct(F.array(F.lit(WILDCARD)).alias("channels"), F.when(fitting("token", "word"), F.col("word")).otherwise(F.col("token")).alias("text"), F.lit(2 * enter).alias("gain"))).alias("cands"))
+    holes = marked.where("lost").join(full, "skeleton", "left").select(
+        "token",
+        F.array(
+            F.struct(
+                F.array(F.lit(WILDCARD)).alias("channels"),
+                F.when(fitting("token", "word"), F.col("word")).otherwise(F.col("token")).alias("text"),
+                F.lit(2 * enter).alias("gain")
+            )
+        ).alias("cands")
+    )
     known = cut(suspects.unionByName(holes))
     best = F.greatest(F.lit(0.0), F.array_max(F.transform("cands", lambda c: c["gain"])))
-    hit = words.join(known, "token").groupBy("key").agg(F.collect_list(F.struct("token", "cands")).alias("known"), F.sum(best).alias("most"), F.max(F.col("token").contains(LOST)).alias("holes"))
+    hit = words.join(known, "token").groupBy("key").agg(
+        F.collect_list(F.struct("token", "cands")).alias("known"),
+        F.sum(best).alias("most"),
+        F.max(F.col("token").contains(LOST)).alias("holes")
+    )
     hit = hit.where((F.col("most") > enter) | F.col("holes")).select("key", "known")
     shape = f"key {kind}, restored string, restored_md5 string, channels array<string>, guess string"
     return docs.join(hit, "key").select("key", "text", "known").mapInArrow(_restore(enter), shape).withColumnRenamed("key", key)

@@ -87,10 +87,26 @@ def _passages(items, keep_counts: bool = True):
                         counts[np.unique(p[inside])] += 1
                         if inside.sum() >= n:
                             rows.append(i), at.append(s), ids.append(p)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(at, pa.int32()), pa.array(ids, pa.list_(pa.int32())), pa.nulls(len(rows), pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).take(pa.array(rows, pa.int64())),
+                    pa.array(at, pa.int32()),
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.nulls(len(rows), pa.list_(pa.int64()))
+                ],
+                names=names
+            )
         if key_type is not None:
             counts[-1] = seen
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, key_type), pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.int32())), pa.array([counts], pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.nulls(1, key_type),
+                    pa.nulls(1, pa.int32()),
+                    pa.nulls(1, pa.list_(pa.int32())),
+                    pa.array([counts], pa.list_(pa.int64()))
+                ],
+                names=names
+            )
 
     return run
 
@@ -106,7 +122,9 @@ def tfidf(passages: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
 
 
 def _blocks(batch_ids: pa.Array, size: int = 2048):
-    flat, off = batch_ids.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(batch_ids.value_lengths().to_numpy(zero_copy_only=False))))
+    flat, off = batch_ids.flatten().to_numpy(zero_copy_only=False), np.concatenate(
+        ([0], np.cumsum(batch_ids.value_lengths().to_numpy(zero_copy_only=False)))
+    )
     for s in range(0, len(off) - 1, size):
         yield s, [flat[off[i] : off[i + 1]] for i in range(s, min(s + size, len(off) - 1))]
 
@@ -123,7 +141,10 @@ def _product(idf, basis):
                 part = a.T @ (a @ q)
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(list(total.astype(np.float64)), pa.list_(pa.float64()))], names=["word", "sums"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(list(total.astype(np.float64)), pa.list_(pa.float64()))],
+                names=["word", "sums"]
+            )
 
     return run
 
@@ -193,14 +214,33 @@ def _search(items, idf, basis, least_cosine: float, block: int):
                             out.append((s + a, it.parts[part][0], it.parts[part][1] == 1, cos, exact, common / max(1, len(it.passages[c]))))
             cols = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.bool_()), pa.array(cols[5], pa.float64())],
+                [
+                    b.column(0).take(pa.array(cols[0], pa.int64())),
+                    pa.array(cols[1], pa.int64()),
+                    pa.array(cols[2], pa.bool_()),
+                    pa.array(cols[3], pa.float64()),
+                    pa.array(cols[4], pa.bool_()),
+                    pa.array(cols[5], pa.float64())
+                ],
                 names=["key", "item_id", "answer", "cosine", "exact", "lcs_share"],
             )
 
     return run
 
 
-def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, parts: list[str], run: int = 12, least_cosine: float = 0.3, rank: int = 96, block: int = 4096, at_most_items: int = 200_000) -> DataFrame:
+def find_leaks(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    items: DataFrame,
+    item: str,
+    parts: list[str],
+    run: int = 12,
+    least_cosine: float = 0.3,
+    rank: int = 96,
+    block: int = 4096,
+    at_most_items: int = 200_000
+) -> DataFrame:
     """(key, item_id, cosine, exact, answer, lcs_share) of documents and the items in them.
 
     exact: the document has at least ``run`` words in a row that stand in a row in one part of
@@ -219,7 +259,11 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
     if not held.parts:
         return docs.sparkSession.createDataFrame([], shape)
     shared = sc.broadcast(held)
-    found = cut(spread(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text is not null")).mapInArrow(_passages(shared), f"key {kind}, at int, ids array<int>, counts array<bigint>"))
+    found = cut(
+        spread(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text is not null")).mapInArrow(
+            _passages(shared), f"key {kind}, at int, ids array<int>, counts array<bigint>"
+        )
+    )
     v = len(held.vocab)
     totals = found.where("counts is not null").select(F.posexplode("counts").alias("word", "n")).groupBy("word").agg(F.sum("n").alias("n"))
     counts = np.zeros(v + 1)
@@ -228,5 +272,13 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
     idf = np.log((1 + counts[-1] + len(held.passages)) / (1 + counts[:-1])).astype(np.float32)
     passages = found.where("ids is not null").select("key", "at", "ids")
     basis = latent_basis(passages, held, idf, rank)
-    near = passages.mapInArrow(_search(shared, sc.broadcast(idf), sc.broadcast(basis), least_cosine, block), f"key {kind}, item_id bigint, answer boolean, cosine double, exact boolean, lcs_share double")
-    return near.groupBy(F.col("key").alias(key), "item_id").agg(F.max("cosine").alias("cosine"), F.max("exact").alias("exact"), F.max("answer").alias("answer"), F.max("lcs_share").alias("lcs_share"))
+    near = passages.mapInArrow(
+        _search(shared, sc.broadcast(idf), sc.broadcast(basis), least_cosine, block),
+        f"key {kind}, item_id bigint, answer boolean, cosine double, exact boolean, lcs_share double"
+    )
+    return near.groupBy(F.col("key").alias(key), "item_id").agg(
+        F.max("cosine").alias("cosine"),
+        F.max("exact").alias("exact"),
+        F.max("answer").alias("answer"),
+        F.max("lcs_share").alias("lcs_share")
+    )

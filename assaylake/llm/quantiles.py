@@ -235,7 +235,9 @@ def _answers(probs: list[float]):
         for b in batches:
             got = [(*(query(n, *lists, q) for q in probs), error(*lists[1:])) for n, lists in zip(b["n"].to_pylist(), _lists(b))]
             cols = [pa.array([g[i] for g in got], pa.float64()) for i in range(len(probs) + 1)]
-            yield pa.RecordBatch.from_arrays([*[b[k] for k in [*KEYS, "n"]], *cols], names=[*KEYS, "n", *[f"p{round(q * 100)}" for q in probs], "rank_error"])
+            yield pa.RecordBatch.from_arrays(
+                [*[b[k] for k in [*KEYS, "n"]], *cols], names=[*KEYS, "n", *[f"p{round(q * 100)}" for q in probs], "rank_error"]
+            )
 
     return run
 

@@ -16,7 +16,9 @@ EPS = 0.005
 
 
 def _typed(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.map_typed(read(spark, d, "conditions"), "condition_id", ["perturbation_id", "control_status"], read(spark, d, "canonical_values"))
+    return canonical.map_typed(
+        read(spark, d, "conditions"), "condition_id", ["perturbation_id", "control_status"], read(spark, d, "canonical_values")
+    )
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -40,18 +42,40 @@ def p7_percentiles(spark: SparkSession, d: str) -> DataFrame:
 def p7_within_bound(spark: SparkSession, d: str) -> DataFrame:
     """Counts each percentile's true rank in the whole table and compares it with the bound."""
     answers = p7_percentiles(spark, d)
-    asked = answers.select("scope", "scope_key", "metric", "n", "rank_error", F.explode(F.map_from_arrays(F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)), F.array("p50", "p90", "p99"))).alias("q", "answer"))
+    asked = answers.select(
+        "scope",
+        "scope_key",
+        "metric",
+        "n",
+        "rank_error",
+        F.explode(F.map_from_arrays(F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)), F.array("p50", "p90", "p99"))).alias("q", "answer")
+    )
     rows = read(spark, d, "meta_summary")
     each = rows.select(
-        F.explode(F.array(*[F.struct(F.lit(s).alias("scope"), k.alias("scope_key")) for s, k in (("run", F.col("run_id")), ("day", F.date_format(F.to_date("computed_at"), "yyyy-MM-dd")), ("all", F.lit("all")))])).alias("s"),
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(s).alias("scope"), k.alias("scope_key")) for s,
+                    k in (("run", F.col("run_id")), ("day", F.date_format(F.to_date("computed_at"), "yyyy-MM-dd")), ("all", F.lit("all")))
+                ]
+            )
+        ).alias("s"),
         F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS]).alias("vs"),
     ).select("s.scope", "s.scope_key", F.explode("vs").alias("v")).select("scope", "scope_key", "v.metric", "v.value").where("value is not null and not isnan(value)")
     counted = each.groupBy("scope", "scope_key", "metric", "value").agg(F.count("*").alias("c"))
     key = ["scope", "scope_key", "metric"]
-    ranks = asked.join(counted, key).groupBy(*key, "q", "n", "rank_error").agg(F.sum(F.when(F.col("value") < F.col("answer"), F.col("c")).otherwise(0)).alias("below"), F.sum(F.when(F.col("value") <= F.col("answer"), F.col("c")).otherwise(0)).alias("upto"))
+    ranks = asked.join(counted, key).groupBy(*key, "q", "n", "rank_error").agg(
+        F.sum(F.when(F.col("value") < F.col("answer"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("value") <= F.col("answer"), F.col("c")).otherwise(0)).alias("upto")
+    )
     rank = F.greatest(F.lit(1), F.ceil(F.round(F.col("q") * F.col("n"), 9)))
     off = F.greatest(F.lit(0), F.col("below") + 1 - rank, rank - F.col("upto"))
-    return ranks.select(*key, F.col("n").alias("n_values"), "q", ((off <= F.col("rank_error") + 1e-9) & (off <= F.greatest(F.lit(0.0), F.lit(EPS) * F.col("n")))).alias("within"))
+    return ranks.select(
+        *key,
+        F.col("n").alias("n_values"),
+        "q",
+        ((off <= F.col("rank_error") + 1e-9) & (off <= F.greatest(F.lit(0.0), F.lit(EPS) * F.col("n")))).alias("within")
+    )
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -63,7 +87,9 @@ def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents")
     back = tokens.decode_corpus(p8_ids(spark, d), "doc_id", "ids", VOCABULARY)
     own = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("own"))
-    return back.select("doc_id", F.md5("text").alias("back")).join(own, "doc_id").select("doc_id", F.col("own").alias("text_md5"), (F.col("own") == F.col("back")).alias("same"))
+    return back.select("doc_id", F.md5("text").alias("back")).join(own, "doc_id").select(
+        "doc_id", F.col("own").alias("text_md5"), (F.col("own") == F.col("back")).alias("same")
+    )
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
@@ -76,7 +102,11 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_items(spark: SparkSession, d: str) -> DataFrame:
     """Each leaked item: documents that hold it word for word, and those that seem to paraphrase it."""
-    return _leaks(spark, d).groupBy("item_id").agg(F.count(F.when(F.col("exact"), 1)).alias("documents"), F.count(F.when(~F.col("exact") & (F.col("lcs_share") >= 0.8), 1)).alias("paraphrases"), F.count(F.when(F.col("exact") & F.col("answer"), 1)).alias("answers"))
+    return _leaks(spark, d).groupBy("item_id").agg(
+        F.count(F.when(F.col("exact"), 1)).alias("documents"),
+        F.count(F.when(~F.col("exact") & (F.col("lcs_share") >= 0.8), 1)).alias("paraphrases"),
+        F.count(F.when(F.col("exact") & F.col("answer"), 1)).alias("answers")
+    )
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +116,10 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 def p10_channels(spark: SparkSession, d: str) -> DataFrame:
     """How often each pair of encodings was mixed up, and how often characters were lost."""
     found = encoding.restore_garbled(read(spark, d, "documents"), "doc_id", "text")
-    return found.select(F.explode(F.when(F.size("channels") > 0, F.col("channels")).otherwise(F.array(F.lit("lost")))).alias("channel"), (F.col("restored_md5") == "").alias("lost")).groupBy("channel").agg(F.count("*").alias("documents"), F.count(F.when(F.col("lost"), 1)).alias("with_losses"))
+    return found.select(
+        F.explode(F.when(F.size("channels") > 0, F.col("channels")).otherwise(F.array(F.lit("lost")))).alias("channel"),
+        (F.col("restored_md5") == "").alias("lost")
+    ).groupBy("channel").agg(F.count("*").alias("documents"), F.count(F.when(F.col("lost"), 1)).alias("with_losses"))
 
 
 QUERIES = {

@@ -180,7 +180,9 @@ def _encode(ranks):
                     encoder.encode_into(t, flat)
                 ends.append(len(flat))
                 if len(flat) > 4_000_000 or row == b.num_rows - 1:
-                    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)))
+                    ids = pa.ListArray.from_arrays(
+                        pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32))
+                    )
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(start, row + 1 - start), ids], names=[b.schema.names[0], "ids"])
                     flat, ends, start = array("i"), [0], row + 1
 
@@ -218,7 +220,9 @@ def _decode(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = TextDecoder(ranks.value)
         for b in batches:
-            flat, off = b.column(1).flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(b.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+            flat, off = b.column(1).flatten().to_numpy(zero_copy_only=False), np.concatenate(
+                ([0], np.cumsum(b.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+            )
             texts = [decoder.decode(flat[off[i] : off[i + 1]].tolist()) for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[b.schema.names[0], "text"])
 

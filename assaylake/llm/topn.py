@@ -47,7 +47,11 @@ def _first_n(keys: list[str], n: int, ranked: bool):
             taken = (taken if new_last == head else []) + p.loc[p["__g"] == code[-1], "item"].tolist()
             last = new_last
             names = [*keys, "score", "item", *["place"] * ranked]
-            yield pa.RecordBatch.from_pandas(p[names], preserve_index=False, schema=pa.schema([*[b.schema.field(k) for k in [*keys, "score", "item"]], *[pa.field("place", pa.int64())] * ranked]))
+            yield pa.RecordBatch.from_pandas(
+                p[names],
+                preserve_index=False,
+                schema=pa.schema([*[b.schema.field(k) for k in [*keys, "score", "item"]], *[pa.field("place", pa.int64())] * ranked])
+            )
 
     return run
 

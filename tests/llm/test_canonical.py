@@ -2,12 +2,30 @@ import pytest
 
 from assaylake.llm.canonical import edits, fold, map_typed
 
-ENTRIES = [(1, "p", "EQMB24"), (2, "p", "VQTBW47"), (3, "p", "Temquiraxamine"), (4, "p", "Karvelin-4,6"), (5, "p", "Sibberal & Co-drug"), (6, "p", "vehicle only"), (7, "p", "control"), (11, "s", "control"), (12, "s", "negative_control"), (13, "s", "non_targeting"), (14, "s", "targeting")]
+ENTRIES = [
+    (1, "p", "EQMB24"),
+    (2, "p", "VQTBW47"),
+    (3, "p", "Temquiraxamine"),
+    (4, "p", "Karvelin-4,6"),
+    (5, "p", "Sibberal & Co-drug"),
+    (6, "p", "vehicle only"),
+    (7, "p", "control"),
+    (11, "s", "control"),
+    (12, "s", "negative_control"),
+    (13, "s", "non_targeting"),
+    (14, "s", "targeting")
+]
 CASES = {
-    ("p", "eqmb24"): 1, ("p", "sgEQMB24"): 1, ("p", "EQMB24-KO"): 1, ("p", "EQM​B24"): 1, ("p", "ＥＱＭＢ２４"): 1, ("p", "ЕQМВ24"): 1, ("p", "EQMMB24 guide 2"): 1, ("p", "[EQBM24]"): 1, ("p", "  VQTBW47\xa0"): 2, ("p", "VQTBW-47"): 2,
-    ("p", "Temq uiraxamine"): 3, ("p", "Tèmqüiraxamïne"): 3, ("p", "Temquirax."): 3, ("p", "cpd. temquirxamnie lot 12"): 3, ("p", "karvelin-4,6 in DMSO"): 4, ("p", "sibberall & co-drug"): 5, ("p", "VEHICLE ONYL?"): 6, ("p", "drug=EQMB24"): 1,
+    ("p", "eqmb24"): 1, ("p", "sgEQMB24"): 1, ("p", "EQMB24-KO"): 1, ("p", "EQM​B24"): 1, ("p", "ＥＱＭＢ２４"): 1, ("p", "ЕQМВ24"): 1, (
+        "p", "EQMMB24 guide 2"
+    ): 1, ("p", "[EQBM24]"): 1, ("p", "  VQTBW47\xa0"): 2, ("p", "VQTBW-47"): 2,
+    ("p", "Temq uiraxamine"): 3, ("p", "Tèmqüiraxamïne"): 3, ("p", "Temquirax."): 3, (
+        "p", "cpd. temquirxamnie lot 12"
+    ): 3, ("p", "karvelin-4,6 in DMSO"): 4, ("p", "sibberall & co-drug"): 5, ("p", "VEHICLE ONYL?"): 6, ("p", "drug=EQMB24"): 1,
     ("p", "tube 52"): -1, ("p", "WBDD17"): -1, ("p", "???"): -1, ("p", "Xaminetemqui"): -1, ("p", "x" * 5000): -1,
-    ("s", "Negative control"): 12, ("s", "NEAGTIVE CONTROL"): 12, ("s", "Negativecontrol"): 12, ("s", "= control"): 11, ("s", "non target."): 13, ("s", "targetting"): 14, ("s", "nontargeting wells"): 13, ("s", "2"): -1,
+    ("s", "Negative control"): 12, ("s", "NEAGTIVE CONTROL"): 12, ("s", "Negativecontrol"): 12, ("s", "= control"): 11, ("s", "non target."): 13, ("s", "targetting"): 14, (
+        "s", "nontargeting wells"
+    ): 13, ("s", "2"): -1,
 }
 
 
@@ -17,7 +35,9 @@ def reference(spark):
 
 
 def test_typed_values(spark, reference):
-    rows = [(f"c{i}", v if f == "p" else None, v if f == "s" else None, "clash", 1) for i, (f, v) in enumerate(CASES)] + [("n1", "EQMB24", "control", "", 0), ("n2", "nan", " ", "", 0), ("n3", None, "NA", "", 0), ("c0", "eqmb24", None, "", 0)]
+    rows = [(f"c{i}", v if f == "p" else None, v if f == "s" else None, "clash", 1) for i, (f, v) in enumerate(CASES)] + [
+        ("n1", "EQMB24", "control", "", 0), ("n2", "nan", " ", "", 0), ("n3", None, "NA", "", 0), ("c0", "eqmb24", None, "", 0)
+    ]
     df = spark.createDataFrame(rows, "id string, p string, s string, value string, field int")
     got = {(r.id, r.field_name): r.entry_id for r in map_typed(df, "id", ["p", "s"], reference).collect()}
     assert got == {(f"c{i}", f): want for i, ((f, _), want) in enumerate(CASES.items())}

@@ -6,13 +6,24 @@ import pytest
 from assaylake.llm import encoding as E
 
 LINES = [
-    "Prüft, ob die Größe gültig ist, und überspringt übrige Schlüssel.", "Esta función añade la línea más pequeña al índice según el tamaño.", "Vérifie que la tâche est déjà créée après la première requête.",
-    "Každý soubor má svůj vlastní klíč, viz řádková část a zásobník.", "Здесь строка пересчитывается после каждой записи, возвращаем ошибку.", "Потім зменшуємо розмір, якщо черга порожня, і закриваємо файл.",
-    "Don’t reuse the slot — it isn’t “safe” after a flush…", "如果缓存为空,则返回默认值。", "この配列は読み込み後に削除される。", "Atenção: a posição só é válida após a correção da função.",
+    "Prüft, ob die Größe gültig ist, und überspringt übrige Schlüssel.",
+    "Esta función añade la línea más pequeña al índice según el tamaño.",
+    "Vérifie que la tâche est déjà créée après la première requête.",
+    "Každý soubor má svůj vlastní klíč, viz řádková část a zásobník.",
+    "Здесь строка пересчитывается после каждой записи, возвращаем ошибку.",
+    "Потім зменшуємо розмір, якщо черга порожня, і закриваємо файл.",
+    "Don’t reuse the slot — it isn’t “safe” after a flush…",
+    "如果缓存为空,则返回默认值。",
+    "この配列は読み込み後に削除される。",
+    "Atenção: a posição só é válida após a correção da função.",
 ]
 MIXED = [
-    (0, "utf-8", "cp1252"), (1, "utf-8", "latin-1"), (2, "utf-8", "cp437"), (0, "cp1252", "cp437"), (1, "mac_roman", "cp1252"), (2, "cp1252", "mac_roman"), (3, "cp1250", "cp1252"), (4, "utf-8", "cp1251"),
-    (4, "cp1251", "latin-1"), (4, "koi8-r", "cp1251"), (5, "cp1251", "koi8-u"), (6, "utf-8", "cp1252"), (7, "gbk", "latin-1"), (8, "shift_jis", "latin-1"), (7, "utf-8", "latin-1"), (9, "utf-8", "cp850"), (9, "utf-8", "mac_roman"),
+    (0, "utf-8", "cp1252"), (1, "utf-8", "latin-1"), (2, "utf-8", "cp437"), (0, "cp1252", "cp437"), (
+        1, "mac_roman", "cp1252"
+    ), (2, "cp1252", "mac_roman"), (3, "cp1250", "cp1252"), (4, "utf-8", "cp1251"),
+    (4, "cp1251", "latin-1"), (4, "koi8-r", "cp1251"), (5, "cp1251", "koi8-u"), (6, "utf-8", "cp1252"), (7, "gbk", "latin-1"), (
+        8, "shift_jis", "latin-1"
+    ), (7, "utf-8", "latin-1"), (9, "utf-8", "cp850"), (9, "utf-8", "mac_roman"),
 ]
 
 
@@ -25,7 +36,15 @@ def misread(text: str, written: str, read: str) -> str:
 def result(spark):
     rng = random.Random(6)
     clean = [(i, "\n".join(f"// {rng.choice(LINES)}" for _ in range(4)) + "\nreturn x;") for i in range(400)]
-    docs, want = [*clean, (500, None), (501, ""), (502, "│ ├── └── ░▒▓ ╔═╗"), (503, "Ã Â Ð Þ ß ð (accent table)"), (504, "x = '�' ; y = 1"), (505, "plain ascii")], {}
+    docs, want = [
+        *clean,
+        (500, None),
+        (501, ""),
+        (502, "│ ├── └── ░▒▓ ╔═╗"),
+        (503, "Ã Â Ð Þ ß ð (accent table)"),
+        (504, "x = '�' ; y = 1"),
+        (505, "plain ascii")
+    ], {}
     key = 1000
     for line, written, read in MIXED:
         bad = misread(LINES[line], written, read)

@@ -28,7 +28,11 @@ def run(spark, docs, items, **kw):
 
 def test_every_run_is_found(spark):
     rng = random.Random(8)
-    items = [(100 + k, " ".join(rng.choices(VOCAB, k=rng.randint(5, 80))), None if k % 5 == 0 else " ".join(rng.choices(VOCAB, k=40))) for k in range(25)]
+    items = [
+        (
+            100 + k, " ".join(rng.choices(VOCAB, k=rng.randint(5, 80))), None if k % 5 == 0 else " ".join(rng.choices(VOCAB, k=40))
+        ) for k in range(25)
+    ]
     docs = [(0, None), (1, ""), (2, "Ünï " * 50)]
     for k in range(150):
         w = rng.choices([f"x{i}" for i in range(300)] + VOCAB, k=rng.randint(0, 120))

@@ -17,7 +17,10 @@ def off(values, answer, q):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e9, 1e9)), min_size=1, max_size=300), min_size=1, max_size=6), st.sampled_from([0.001, 0.01, 0.05]))
+@given(
+    st.lists(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e9, 1e9)), min_size=1, max_size=300), min_size=1, max_size=6),
+    st.sampled_from([0.001, 0.01, 0.05])
+)
 def test_merged_bounds_hold(parts, eps):
     made = []
     for p in parts:
@@ -36,7 +39,12 @@ def test_merged_bounds_hold(parts, eps):
 
 def test_hierarchical_merge_in_spark(spark):
     rng = random.Random(1)
-    rows = [("hot" if i % 3 == 0 else None if i % 50 == 1 else f"r{i % 11}", rng.choice([None, float("nan"), 1e12, math.inf, 1.0, *(rng.gauss(0, 1) for _ in range(8))])) for i in range(20_000)]
+    rows = [
+        (
+            "hot" if i % 3 == 0 else None if i % 50 == 1 else f"r{i % 11}",
+            rng.choice([None, float("nan"), 1e12, math.inf, 1.0, *(rng.gauss(0, 1) for _ in range(8))])
+        ) for i in range(20_000)
+    ]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "run string, x double, scope string").repartition(40)
     for fans in ((1,), (7, 1), (16, 4, 1)):
         share = 0.02 / (len(fans) + 1)

@@ -26,7 +26,13 @@ def run(spark, rows, n, salts=16):
 def test_equals_brute_force_with_a_hot_group(spark):
     rng = random.Random(3)
     values = [None, float("nan"), math.inf, -math.inf, 0.0, -0.0, 1.5, 1.5, 2.0, -3.0]
-    rows = [(rng.choice(["hot"] * 10 + [f"r{i}" for i in range(40)] + [None]), rng.choice([None, "é", "z", "Z", *(f"g{i}" for i in range(60))]), rng.choice([*values, rng.random()])) for _ in range(6000)]
+    rows = [
+        (
+            rng.choice(["hot"] * 10 + [f"r{i}" for i in range(40)] + [None]),
+            rng.choice([None, "é", "z", "Z", *(f"g{i}" for i in range(60))]),
+            rng.choice([*values, rng.random()])
+        ) for _ in range(6000)
+    ]
     for n in (1, 10, 500):
         assert run(spark, rows, n) == brute(rows, n)
     assert run(spark, rows, 3, salts=1) == brute(rows, 3)
