@@ -103,6 +103,30 @@ WITH long AS (
 )
 """
 
+_P6 = r"""
+WITH special AS (SELECT '[;,|/+&_\s''"()\[\]{}]' AS re),
+names AS (
+  SELECT 'meta_summary' AS t, list(n ORDER BY length(n) DESC, n) AS l FROM (SELECT DISTINCT dataset_id AS n FROM dataset_ref, special WHERE regexp_matches(dataset_id, re))
+  UNION ALL
+  SELECT 'interventions', list(n ORDER BY length(n) DESC, n)
+  FROM (SELECT DISTINCT entry_name AS n FROM canonical_values, special WHERE entry_field = 'perturbation_id' AND regexp_matches(entry_name, re))
+), rows AS (
+  SELECT 'meta_summary' AS source_table, CAST(summary_row_id AS VARCHAR) AS row_key, datasets AS v FROM meta_summary WHERE datasets IS NOT NULL
+  UNION ALL SELECT DISTINCT 'interventions', intervention_id, perturbation_id FROM interventions WHERE perturbation_id IS NOT NULL
+), held AS (
+  SELECT source_table, row_key, l, list_reduce(l, lambda t, n, i: replace(t, n, chr(CAST(57344 + list_position(l, n) AS INTEGER))), replace(v, '\''', '''')) AS v
+  FROM rows JOIN names ON t = source_table
+), bare AS (
+  SELECT source_table, row_key, l,
+    regexp_replace(regexp_replace(regexp_replace(v, '^\s*\[(.*)\]\s*$', '\1', 's'), '^\s*\((.*)\)\s*$', '\1', 's'), '^\s*\{(.*)\}\s*$', '\1', 's') AS v FROM held
+), places AS (
+  SELECT source_table, row_key, l,
+    list_transform(string_split_regex(regexp_replace(v, '["'']', '', 'g'), '[;,|/+&\t\n\r_]'), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')) AS ps FROM bare
+), kept AS (SELECT source_table, row_key, l, ps FROM places WHERE len(list_filter(ps, lambda p: p <> '')) >= 2),
+each AS (SELECT source_table, row_key, l, unnest(ps) AS p, CAST(unnest(range(1, len(ps) + 1)) AS BIGINT) AS item_no FROM kept)
+SELECT source_table, row_key, item_no, CASE WHEN unicode(p) BETWEEN 57345 AND 63743 THEN l[unicode(p) - 57344] ELSE p END AS item FROM each WHERE p <> ''
+"""
+
 SQL = {
     "p1_found": _JUDGED
     + """
@@ -113,4 +137,5 @@ UNION ALL SELECT table_name, column_name, load_no, 'range' FROM compared WHERE o
 UNION ALL SELECT table_name, column_name, load_no, 'drift' FROM compared
   WHERE abs(share - p_share) > 0.2503 OR (kind = 1 AND (med > 3 * p_med OR med * 3 < p_med))
 """,
+    "p6_found": _P6,
 }
