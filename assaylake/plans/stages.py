@@ -149,6 +149,18 @@ def effect_stats(spark: SparkSession, d: str) -> DataFrame:
     return out.select("dataset_id", "contrasts", "features", *[F.round(c, 6).alias(c) for c in ("median_max_abs", "p90_max_abs", "median_p95_abs")])
 
 
+def gene_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """Genes ranked by how alike the interventions of all data sets move them.
+
+    From cells and counts to the ranking: sums per intervention, controls of each data set,
+    log1p(CPM) differences, the largest of them, and their agreement within and across data sets.
+    """
+    _, groups, sums = _grouped(spark, d, "intervention")
+    out = effects.intervention_effects(sums, groups, MIN_CELLS, SCALE).withColumn("effect_size", F.round("effect_size", 6))
+    hits = effects.top_features(out, TOP).select("dataset_id", "contrast_id", F.col("feature_id").alias("gene_id"), F.col("effect_size").alias("effect"), F.lit("pass").alias("status"))
+    return meta.meta_summary(meta.gene_consistency(cut(hits)).withColumns({c: F.round(c, 6) for c in ROUNDED}), 100)
+
+
 def contrast_cascade(spark: SparkSession, d: str) -> DataFrame:
     return contrast.condition_contrasts(latest_conditions(spark, d))
 
@@ -389,6 +401,7 @@ QUERIES = {
         effects_intervention,
         top_genes,
         effect_stats,
+        gene_ranking,
         contrast_cascade,
         contrast_controls,
         contrast_pooled,
@@ -456,9 +469,9 @@ _DELTA = """, effects AS (
     CASE WHEN c_lib > 0 THEN ln(1 + coalesce(c_sum, 0) / c_lib * 1e6) ELSE 0 END AS control_log1p_cpm FROM sides
 ), delta AS (SELECT *, treated_log1p_cpm - control_log1p_cpm AS effect_size FROM effects)"""
 
-_BIO_EFFECTS = (
-    f"{_BASE}, {_groups('bio-condition')}"
-    + f""", treated AS (
+def _effects_sql(grain: str) -> str:
+    """Effects of the treated groups of a grain, as table expressions."""
+    return f"{_BASE}, {_groups(grain)}" + f""", treated AS (
   SELECT *, dataset_id || '_contrast_' || lpad(CAST(row_number() OVER (PARTITION BY dataset_id ORDER BY first_ord) AS VARCHAR), 7, '0') AS contrast_id
   FROM groups WHERE is_control <> 'true' AND cell_count >= {MIN_CELLS}
 ), ctl AS (SELECT dataset_id, feature_id, sum(count_sum) AS c_sum FROM sums WHERE group_id IN (SELECT group_id FROM groups WHERE is_control = 'true') GROUP BY 1, 2),
@@ -471,9 +484,10 @@ libs AS (
   SELECT l.dataset_id, contrast_id, perturbation_id, p.feature_id, s.count_sum AS t_sum, c_sum, t_lib, c_lib
   FROM pairs p JOIN libs l USING (contrast_id) LEFT JOIN sums s ON s.group_id = l.group_id AND s.feature_id = p.feature_id LEFT JOIN ctl ON ctl.dataset_id = l.dataset_id AND ctl.feature_id = p.feature_id
   WHERE c_lib IS NOT NULL
-)"""
-    + _DELTA.format(key="dataset_id, contrast_id, perturbation_id")
-)
+)""" + _DELTA.format(key="dataset_id, contrast_id, perturbation_id")
+
+
+_BIO_EFFECTS = _effects_sql("bio-condition")
 
 _PREP = "prep AS (SELECT " + ", ".join(
     f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in sorted(
@@ -545,9 +559,7 @@ sides AS (SELECT m.*, t_lib, c_lib, status, perturbation_id FROM member_sums m J
     + _DELTA.format(key="dataset_id, contrast_id, status, perturbation_id")
     + f", hits AS (SELECT * FROM (SELECT dataset_id, contrast_id, status, feature_id AS gene_id, round(effect_size, 6) AS effect FROM delta) QUALIFY row_number() OVER (PARTITION BY dataset_id, contrast_id ORDER BY abs(effect) DESC, gene_id) <= {TOP})"
 )
-_GENES = (
-    _POOLED_EFFECTS
-    + """, medians AS (SELECT gene_id, dataset_id, median(effect) AS m FROM hits GROUP BY 1, 2),
+_CONSISTENCY = """, medians AS (SELECT gene_id, dataset_id, median(effect) AS m FROM hits GROUP BY 1, 2),
 by_dataset AS (SELECT gene_id, greatest(count(*) FILTER (WHERE m > 0), count(*) FILTER (WHERE m < 0)) / count(*)::DOUBLE AS dataset_sign_consistency FROM medians GROUP BY 1),
 raw_genes AS (
   SELECT gene_id, count(DISTINCT dataset_id) AS dataset_count, count(DISTINCT (dataset_id, contrast_id)) AS contrast_count, count(*) AS hit_count, count(*) FILTER (WHERE status = 'pass') AS pass_hits,
@@ -559,6 +571,12 @@ raw_genes AS (
     round(greatest(positive_hits, negative_hits) / hit_count::DOUBLE, 6) AS sign_consistency,
     round(dataset_count * (greatest(positive_hits, negative_hits) / hit_count::DOUBLE) * log10(hit_count + 1) * mean_abs_effect, 6) AS conserved_response_score FROM raw_genes JOIN by_dataset USING (gene_id)
 )"""
+_GENES = _POOLED_EFFECTS + _CONSISTENCY
+_INTERVENTION_GENES = (
+    _effects_sql("intervention")
+    + f""", hits AS (SELECT * FROM (SELECT dataset_id, contrast_id, 'pass' AS status, feature_id AS gene_id, round(effect_size, 6) AS effect FROM delta)
+  QUALIFY row_number() OVER (PARTITION BY dataset_id, contrast_id ORDER BY abs(effect) DESC, gene_id) <= {TOP})"""
+    + _CONSISTENCY
 )
 _EFFECT_COLS = "round(treated_log1p_cpm, 6) AS treated_log1p_cpm, round(control_log1p_cpm, 6) AS control_log1p_cpm, round(effect_size, 6) AS effect_size"
 _RANKING = ", ".join(f"{c} DESC" for c in meta.RANKING) + ", gene_id"
@@ -622,6 +640,7 @@ WINDOW w AS (PARTITION BY dataset_id, contrast_id ORDER BY implied, abs(effect_s
   SELECT l.dataset_id, l.contrast_id, abs(coalesce(d.effect_size, 0)) AS e FROM libs l JOIN names n USING (dataset_id) LEFT JOIN delta d ON d.contrast_id = l.contrast_id AND d.feature_id = n.feature_id
 ), each AS (SELECT dataset_id, contrast_id, count(*) AS features, max(e) AS most, quantile_cont(e, 0.95) AS p95 FROM dense GROUP BY 1, 2)
 SELECT dataset_id, count(*) AS contrasts, max(features) AS features, round(quantile_cont(most, 0.5), 6) AS median_max_abs, round(quantile_cont(most, 0.9), 6) AS p90_max_abs, round(quantile_cont(p95, 0.5), 6) AS median_p95_abs FROM each GROUP BY 1""",
+    "gene_ranking": f"{_INTERVENTION_GENES} SELECT *, row_number() OVER (ORDER BY {_RANKING}) AS rank FROM genes QUALIFY rank <= 100",
     "contrast_cascade": f"{_CASCADE} SELECT * FROM contrasts",
     "contrast_controls": f"""{_CASCADE}, m AS ({" UNION ALL ".join(f"SELECT contrast_id, c.condition_id FROM contrasts x JOIN ctl c USING ({', '.join(k)}) WHERE match_rule = '{r}'" for r, k in contrast.RULES.items())})
 SELECT contrast_id, count(*) AS members, min(condition_id) AS first_control, max(condition_id) AS last_control FROM m GROUP BY 1""",
