@@ -149,6 +149,16 @@ def effect_stats(spark: SparkSession, d: str) -> DataFrame:
     return out.select("dataset_id", "contrasts", "features", *[F.round(c, 6).alias(c) for c in ("median_max_abs", "p90_max_abs", "median_p95_abs")])
 
 
+def top_hits(found: DataFrame) -> DataFrame:
+    """The largest effects of each contrast, as hits of a gene.
+
+    They are ranked by rounded values, so that equal effects are tied in every engine, and
+    handed on unrounded.
+    """
+    ranked = found.withColumnRenamed("effect_size", "exact").withColumn("effect_size", F.round("exact", 6))
+    return effects.top_features(ranked, TOP).drop("effect_size").withColumnsRenamed({"exact": "effect_size", "feature_id": "gene_id"})
+
+
 def gene_ranking(spark: SparkSession, d: str) -> DataFrame:
     """Genes ranked by how alike the interventions of all data sets move them.
 
@@ -156,9 +166,9 @@ def gene_ranking(spark: SparkSession, d: str) -> DataFrame:
     log1p(CPM) differences, the largest of them, and their agreement within and across data sets.
     """
     _, groups, sums = _grouped(spark, d, "intervention")
-    out = effects.intervention_effects(sums, groups, MIN_CELLS, SCALE).withColumn("effect_size", F.round("effect_size", 6))
-    hits = effects.top_features(out, TOP).select("dataset_id", "contrast_id", F.col("feature_id").alias("gene_id"), F.col("effect_size").alias("effect"), F.lit("pass").alias("status"))
-    return meta.meta_summary(meta.gene_consistency(cut(hits)).withColumns({c: F.round(c, 6) for c in ROUNDED}), 100)
+    hits = cut(top_hits(effects.intervention_effects(sums, groups, MIN_CELLS, SCALE)))
+    rated = hits.select("dataset_id", "contrast_id", "gene_id", F.col("effect_size").alias("effect"), F.lit("pass").alias("status"))
+    return meta.meta_summary(meta.gene_consistency(rated).withColumns({c: F.round(c, 6) for c in ROUNDED}), 100)
 
 
 def contrast_cascade(spark: SparkSession, d: str) -> DataFrame:
@@ -217,10 +227,7 @@ def effects_pooled(spark: SparkSession, d: str) -> DataFrame:
 
 def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     out, made = _pooled(spark, d)
-    # effects are rounded before they are ranked, so equal ones are tied in every engine
-    rounded = out.withColumn("effect_size", F.round("effect_size", 6))
-    hits = cut(effects.top_features(rounded, TOP).withColumnRenamed("feature_id", "gene_id"))
-    return hits, made.select("dataset_id", "contrast_id", "status")
+    return cut(top_hits(out)), made.select("dataset_id", "contrast_id", "status")
 
 
 def _genes(spark: SparkSession, d: str) -> DataFrame:
@@ -253,7 +260,7 @@ def meta_dataset_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def top_gene_recurrence(spark: SparkSession, d: str) -> DataFrame:
-    return meta.recurrence(_hits(spark, d)[0], 25)
+    return meta.recurrence(_hits(spark, d)[0], 25).withColumn("max_abs_effect", F.round("max_abs_effect", 6))
 
 
 def qc_perturbation(spark: SparkSession, d: str) -> DataFrame:
@@ -557,7 +564,7 @@ member_sums AS (
 ), libs AS (SELECT dataset_id, contrast_id, coalesce(sum(t_sum), 0) AS t_lib, coalesce(sum(c_sum), 0) AS c_lib FROM member_sums GROUP BY 1, 2),
 sides AS (SELECT m.*, t_lib, c_lib, status, perturbation_id FROM member_sums m JOIN libs USING (dataset_id, contrast_id) JOIN used USING (contrast_id))"""
     + _DELTA.format(key="dataset_id, contrast_id, status, perturbation_id")
-    + f", hits AS (SELECT * FROM (SELECT dataset_id, contrast_id, status, feature_id AS gene_id, round(effect_size, 6) AS effect FROM delta) QUALIFY row_number() OVER (PARTITION BY dataset_id, contrast_id ORDER BY abs(effect) DESC, gene_id) <= {TOP})"
+    + f", hits AS (SELECT dataset_id, contrast_id, status, feature_id AS gene_id, effect_size AS effect FROM delta QUALIFY row_number() OVER (PARTITION BY dataset_id, contrast_id ORDER BY abs(round(effect_size, 6)) DESC, feature_id) <= {TOP})"
 )
 _CONSISTENCY = """, medians AS (SELECT gene_id, dataset_id, median(effect) AS m FROM hits GROUP BY 1, 2),
 by_dataset AS (SELECT gene_id, greatest(count(*) FILTER (WHERE m > 0), count(*) FILTER (WHERE m < 0)) / count(*)::DOUBLE AS dataset_sign_consistency FROM medians GROUP BY 1),
@@ -574,8 +581,8 @@ raw_genes AS (
 _GENES = _POOLED_EFFECTS + _CONSISTENCY
 _INTERVENTION_GENES = (
     _effects_sql("intervention")
-    + f""", hits AS (SELECT * FROM (SELECT dataset_id, contrast_id, 'pass' AS status, feature_id AS gene_id, round(effect_size, 6) AS effect FROM delta)
-  QUALIFY row_number() OVER (PARTITION BY dataset_id, contrast_id ORDER BY abs(effect) DESC, gene_id) <= {TOP})"""
+    + f""", hits AS (SELECT dataset_id, contrast_id, 'pass' AS status, feature_id AS gene_id, effect_size AS effect FROM delta
+  QUALIFY row_number() OVER (PARTITION BY dataset_id, contrast_id ORDER BY abs(round(effect_size, 6)) DESC, feature_id) <= {TOP})"""
     + _CONSISTENCY
 )
 _EFFECT_COLS = "round(treated_log1p_cpm, 6) AS treated_log1p_cpm, round(control_log1p_cpm, 6) AS control_log1p_cpm, round(effect_size, 6) AS effect_size"
@@ -655,7 +662,7 @@ SELECT contrast_id, coalesce(string_agg(DISTINCT condition_id, ';' ORDER BY cond
     "meta_dataset_summary": f"""{_POOLED_EFFECTS}, c AS (SELECT dataset_id, count(DISTINCT contrast_id) AS input_contrasts, count(DISTINCT CASE WHEN status IN ('pass', 'warn') THEN contrast_id END) AS included_contrasts FROM pooled GROUP BY 1),
 h AS (SELECT dataset_id, count(*) AS n FROM hits GROUP BY 1)
 SELECT dataset_id, input_contrasts, included_contrasts, coalesce(n, 0) AS input_top_gene_hits, coalesce(n, 0) AS included_top_gene_hits FROM c LEFT JOIN h USING (dataset_id)""",
-    "top_gene_recurrence": f"{_POOLED_EFFECTS} SELECT gene_id, count(DISTINCT dataset_id) AS dataset_count, count(*) AS hit_count, max(abs(effect)) AS max_abs_effect FROM hits GROUP BY 1 ORDER BY 2 DESC, 3 DESC, 4 DESC, 1 LIMIT 25",
+    "top_gene_recurrence": f"{_POOLED_EFFECTS} SELECT gene_id, count(DISTINCT dataset_id) AS dataset_count, count(*) AS hit_count, round(max(abs(effect)), 6) AS max_abs_effect FROM hits GROUP BY 1 ORDER BY 2 DESC, 3 DESC, 4 DESC, 1 LIMIT 25",
     "qc_perturbation": f"""{_QC}, r AS (SELECT dataset_id, perturbation_id, count(*) AS n, count(*) FILTER (WHERE ctl) AS c, count(DISTINCT batch) AS levels FROM labelled GROUP BY 1, 2),
 t AS (SELECT dataset_id, CAST(sum(c) AS BIGINT) AS total FROM r GROUP BY 1), m AS (
   SELECT r.dataset_id, perturbation_id, c = n AS is_control, n AS cell_count, total AS control_cells_in_dataset, levels AS batch_level_count,
