@@ -183,7 +183,7 @@ def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 own = {x for x in TOKEN.findall(t) if not x.isascii()}
                 rows.extend([i] * len(own))
                 toks.extend(own)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(toks, pa.string())], names=["key", "token"])
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(toks, pa.string())], names=["digest", "token"])
 
 
 def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +284,7 @@ def _restore(enter: float):
             kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, k) for c, k in zip(cols[1:], kinds)]],
-                names=["key", "restored", "restored_md5", "channels", "guess"]
+                names=["digest", "restored", "restored_md5", "channels", "guess"]
             )
 
     return run
@@ -296,9 +296,11 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     ``enter`` is the cost, in nats, of passing into another channel; ``east_weight`` the share
     of an East Asian character's surprise that its neighbours leave.
     """
-    kind = df.schema[key].dataType.simpleString()
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]"))
-    words = cut(spread(docs).mapInArrow(_distinct_tokens, f"key {kind}, token string"))
+    docs = docs.withColumn("digest", F.sha2("text", 256))
+    # copies of a text tell nothing new about words: each distinct text is counted and restored once
+    once = cut(spread(docs).groupBy("digest").agg(F.first("text").alias("text")))
+    words = cut(once.mapInArrow(_distinct_tokens, "digest string, token string"))
     tokens = cut(words.groupBy("token").agg(F.count("*").alias("n")))
     freq = cut(tokens.mapInArrow(_units_of, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n")))
     total = float(freq.agg(F.sum("n")).first()[0] or 1)
@@ -319,15 +321,20 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     # single bytes can be read as anything: only a word that the corpus knows is evidence for
     # such a reading, while bytes that are well-formed UTF-8 speak for themselves
     multibyte = [i for i, (_, w) in enumerate(CHANNELS) if w == "utf-8"]
-    scored = scored.withColumn("met", F.col("met") | F.exists("channels", lambda c: c.isin(*multibyte) | (c >= len(CHANNELS))))
+    scored = scored.withColumn("utf8", F.exists("channels", lambda c: c.isin(*multibyte) | (c >= len(CHANNELS))))
+    # if such a reading is a known word, that decides however common the garbled form is; more joined bytes are surer
+    telling = F.col("whole").isNotNull() & F.concat(F.lit("t"), "text").rlike(_TELLING)
+    floor = F.when(F.col("utf8") & telling, enter + F.length("token") - F.length("text"))
+    scored = scored.withColumns({"met": F.col("met") | F.col("utf8"), "floor": floor})
     pick = lambda c: F.first(F.when(F.col("text") == F.col("token"), F.col(c)), True)
-    alts = F.collect_list(F.when(F.col("text") != F.col("token"), F.struct("channels", "text", "parts", "whole", "met")))
+    alts = F.collect_list(F.when(F.col("text") != F.col("token"), F.struct("channels", "text", "parts", "whole", "met", "floor")))
     suspects = scored.groupBy("token").agg(pick("parts").alias("parts"), pick("whole").alias("whole"), alts.alias("alts"))
     # if the corpus knows both as whole tokens, that decides, unless their parts say so more clearly
 
     def gain(a):
         by_parts, by_whole = a["parts"] - F.col("parts"), a["whole"] - F.col("whole")
         both = F.when(by_whole > 0, F.greatest(by_parts, by_whole)).otherwise(F.coalesce(by_whole, by_parts))
+        both = F.when(a["floor"].isNotNull(), F.greatest(by_parts, by_whole, a["floor"])).otherwise(both)
         return F.when(a["met"], both).otherwise(F.least(both, F.lit(0.0)))
 
     # a candidate that loses more than a change of channel costs can't be on a best path
@@ -352,11 +359,13 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     )
     known = cut(suspects.unionByName(holes))
     best = F.greatest(F.lit(0.0), F.array_max(F.transform("cands", lambda c: c["gain"])))
-    hit = words.join(known, "token").groupBy("key").agg(
+    hit = words.join(known, "token").groupBy("digest").agg(
         F.collect_list(F.struct("token", "cands")).alias("known"),
         F.sum(best).alias("most"),
         F.max(F.col("token").contains(LOST)).alias("holes")
     )
-    hit = hit.where((F.col("most") > enter) | F.col("holes")).select("key", "known")
-    shape = f"key {kind}, restored string, restored_md5 string, channels array<string>, guess string"
-    return docs.join(hit, "key").select("key", "text", "known").mapInArrow(_restore(enter), shape).withColumnRenamed("key", key)
+    hit = hit.where((F.col("most") > enter) | F.col("holes")).select("digest", "known")
+    shape = "digest string, restored string, restored_md5 string, channels array<string>, guess string"
+    found = once.join(hit, "digest").select("digest", "text", "known").mapInArrow(_restore(enter), shape)
+    rows = docs.where(F.col("key").isNotNull()).select("key", "digest")
+    return rows.join(found, "digest").drop("digest").withColumnRenamed("key", key)

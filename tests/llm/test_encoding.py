@@ -86,6 +86,17 @@ def test_empty_table(spark):
     assert E.restore_garbled(nulls, "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("alike", [True, False])
+def test_text_on_a_third_of_the_rows(spark, alike):
+    rng = random.Random(7)
+    bad = misread(LINES[0], "utf-8", "cp1252")
+    clean = [(i, "\n".join(f"// {LINES[(i + k) % len(LINES)]}" for k in range(3))) for i in range(200)]
+    copies = [(1000 + i, f"// {bad}" if alike else f"// {bad}\n# copy {rng.random()}") for i in range(100)]
+    df = spark.createDataFrame(clean + copies, "doc_id long, text string")
+    got = {r.doc_id: r.restored_md5 for r in E.restore_garbled(df, "doc_id", "text").collect()}
+    assert got == {i: hashlib.md5(t.replace(bad, LINES[0]).encode()).hexdigest() for i, t in copies}
+
+
 def test_wildcards():
     assert E.skeleton("funció") == "funci��" and E.fits("funci��n", "función") and not E.fits("funci�n", "función")
     assert E.lost("a�") and E.lost("��") and not E.lost("'�'")
