@@ -17,6 +17,7 @@ three digits, else it is a decimal comma; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,11 @@ SECONDS = {
     "w": 604800.0, "wk": 604800.0, "wks": 604800.0, "week": 604800.0, "weeks": 604800.0,
 }
 CLOCK = ["h:mm", "hh:mm"]
+# Units that a value without any may have, with their factors to the common unit.
+GUESSED = {
+    "dose": {u: MOLAR[u.lower()] for u in ("pM", "nM", "uM", "mM", "M")},
+    "time": {u: SECONDS[u] for u in ("s", "min", "h", "d", "wk")},
+}
 _NUMBER = r"[+-]?[0-9][0-9,]*(?:\.[0-9]+)?"
 _POWER = r"(?:\s*[x*×]\s*10\s*\^\s*([+-]?[0-9]+)|[eE]([+-]?[0-9]+))?"
 # Words that change nothing, before and after a value.
@@ -216,6 +222,15 @@ def assign_units(df: DataFrame, number_col: str, common: str, units: list[str],
     ).drop("__best")
 
 
+def guess_units(converted: DataFrame) -> DataFrame:
+    """The rows of convert_conditions without any known unit, each quantity with a mixture of its own."""
+    parts = []
+    for quantity, factors in GUESSED.items():
+        rows = converted.where(F.col("quantity") == quantity)
+        parts.append(assign_units(rows, "number", "common", list(factors), list(factors.values())))
+    return reduce(DataFrame.unionByName, parts).where("guessed_unit is not null")
+
+
 def convert_conditions(conditions: DataFrame, sources: DataFrame, compounds: DataFrame) -> DataFrame:
     """(condition_id, quantity, written, unit_written, number, unit, unit_source, common).
 

@@ -44,15 +44,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_guessed(spark: SparkSession, d: str) -> DataFrame:
-    """Doses without any known unit: the likeliest unit, its posterior, and whether it is unsure."""
-    doses = cut(_converted(spark, d).where("quantity = 'dose'").distinct())
-    names, factors = ["pM", "nM", "uM", "mM", "M"], [1.0, 1e3, 1e6, 1e9, 1e12]
-    out = units.assign_units(doses, "number", "common", names, factors).where("guessed_unit is not null")
-    return out.select(
+    """Doses and times without any known unit: the likeliest unit, its posterior, and whether it is unsure.
+
+    guessed_common is in picomolar for a dose and in seconds for a time.
+    """
+    return units.guess_units(cut(_converted(spark, d).distinct())).select(
         "condition_id",
+        "quantity",
         "written",
         "guessed_unit",
-        F.round("guessed_common", 3).alias("guessed_picomolar"),
+        F.round("guessed_common", 3).alias("guessed_common"),
         F.round("posterior", 4).alias("posterior"),
         "uncertain"
     )

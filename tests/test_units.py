@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from assaylake.operators.units import assign_units, convert_conditions, converted_cases
+from assaylake.plans import problems
 
 DOSES = {
     ("1500", "nM"): 1.5e6, ("1,500", "nM"): 1.5e6, ("0,001", "uM"): 1e3, ("1,5", "µM"): 1.5e6, ("1,000,000", "pM"): 1e6, (
@@ -91,6 +93,23 @@ def test_cases_leave_out_plain_numbers_and_unknown_units(spark, tables):
     assert converted_cases(convert_conditions(df.limit(0), *tables)).count() == 0
 
 
+def test_silent_doses_and_times_are_guessed(spark, tables, tmp_path):
+    known = [(f"k{i}", "without", "Cmpd", str(10 + i % 5), "uM", str(20 + i % 9), "h") for i in range(60)]
+    silent = [("d", "without", "Cmpd", "12", None, None, None), ("t", "without", None, None, None, "24", "NA"), ("n", "with", "Cmpd", "12", None, "24", "")]
+    rows = known + silent + silent[:2]
+    df = spark.createDataFrame(
+        rows, "condition_id string, dataset_id string, perturbation_id string, dose string, dose_unit string, time string, time_unit string"
+    )
+    masses = tables[1].withColumn("entry_field", F.lit("perturbation_id"))
+    for name, table in {"conditions": df, "dataset_ref": tables[0], "canonical_values": masses}.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r.condition_id, r.quantity): r for r in problems.p5_guessed(spark, str(tmp_path)).collect()}
+    assert set(got) == {("d", "dose"), ("t", "time")}
+    assert got["d", "dose"].guessed_unit == "uM" and got["d", "dose"].guessed_common == 12e6
+    assert got["t", "time"].guessed_unit == "h" and got["t", "time"].guessed_common == 86400
+    assert all(r.posterior > 0.9 and not r.uncertain for r in got.values())
+
+
 def test_mixture_finds_the_scale_of_values_without_units(spark):
     known = [(float(10 ** (6 + (i % 7 - 3) / 4)), float(i), "um") for i in range(200)]
     silent = [(None, float(10 ** ((i % 7 - 3) / 4)), None) for i in range(50)]
