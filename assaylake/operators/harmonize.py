@@ -8,6 +8,8 @@ field but in other letter case is not that field; an empty table gives an empty
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +125,28 @@ def harmonize_var(df: DataFrame, dataset_id: Column, feature_id: Column) -> Data
     return raw.withColumns({"gene_id": own("gene_id"), "gene_symbol": own("gene_symbol")})
 
 
+def harmonize_var_files(df: DataFrame) -> DataFrame:
+    """The 10 text fields of features that come as JSON objects, each file with names of its own.
+
+    df: dataset_id, file_id, payload. A name is in a file if at least one of its objects has it,
+    with a value or null; of the names of a field, the first that the file has is used for all
+    of its rows. Payloads that are no object give no row.
+    """
+    names = [n for ns in VAR_ALIASES.values() for n in ns]
+    rows = df.withColumn("keys", F.json_object_keys("payload")).where("keys is not null")
+    files = rows.groupBy(F.col("file_id").alias("of_file")).agg(*[F.bool_or(F.array_contains("keys", n)).alias(f"has_{n}") for n in names])
+    value = lambda n: F.get_json_object("payload", f"$.{n}")
+    place = lambda n: value(n).try_cast("double").try_cast("bigint").cast("string")  # noqa: E731  5.0E3 and 5000 are one place
+
+    def first(field):
+        read = place if field in ("start", "end") else value
+        return reduce(lambda rest, n: F.when(F.col(f"has_{n}"), read(n)).otherwise(rest), VAR_ALIASES[field][::-1], F.lit(None))
+
+    found = rows.join(files, F.col("file_id").eqNullSafe(F.col("of_file")))
+    resolved = found.select("dataset_id", value("feature_id").alias("feature_id"), *[first(f).alias(f) for f in VAR_ALIASES])
+    return harmonize_var(resolved, F.col("dataset_id"), F.col("feature_id"))
+
+
 def _keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*[blank(F.col(k).cast("string")).alias(k) for k in keys])
 

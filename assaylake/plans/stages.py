@@ -368,6 +368,12 @@ def var_harmonize(spark: SparkSession, d: str) -> DataFrame:
     return harmonize.harmonize_var(rows, F.col("dataset_id"), F.col("feature_id")).distinct()
 
 
+def var_harmonize_files(spark: SparkSession, d: str) -> DataFrame:
+    """Features as delivered, on the canonical fields, read under every name that their file uses."""
+    rows = read(spark, d, "raw_records").where("kind = 'var'").select("dataset_id", "file_id", "payload")
+    return harmonize.harmonize_var_files(rows).distinct()
+
+
 def verify_equal(spark: SparkSession, d: str) -> DataFrame:
     """The conditions as delivered against their latest versions."""
     cols = [c for c in read(spark, d, "conditions").columns if c != "loaded_at"]
@@ -423,7 +429,7 @@ QUERIES = {
         qc_dataset,
         profile_columns,
         profile_value_counts,
-        matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, var_harmonize, verify_equal, release_join, artifact_anti_join,
+        matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, var_harmonize, var_harmonize_files, verify_equal, release_join, artifact_anti_join,
     )
 }
 

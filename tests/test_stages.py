@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from assaylake.functions.numbering import latest, number_rows
 from assaylake.functions.text import is_missing_profile, is_missing_qc, normalize, safe_stem, split_ids, text_of, to_count, to_double
 from assaylake.operators import cellqc, contrast, curate, effects, harmonize, meta, pseudobulk, tableprofile
+from assaylake.plans import stages
 
 COND = [
     "condition_id",
@@ -263,6 +264,27 @@ def test_profiles(spark):
     ]
 
 
+def test_features_are_read_under_the_names_of_their_file(spark, tmp_path):
+    lines = [
+        ("f1", '{"feature_id": "a", "gene_symbol": "A1", "chromosome": "chr1", "start": 5.0E3, "gene_type": "coding"}'),
+        ("f2", '{"feature_id": "a", "gene_name": "A2", "chr": "chr2", "class": "coding", "highly_variable": true}'),
+        ("f3", '{"feature_id": "a", "gene_symbol": "A3", "chr": "chr3"}'),
+        ("f3", '{"feature_id": "b", "gene_name": "B3", "gene_symbol": null, "chr": "chr3", "end": 9, "ensembl_id": "E1"}'),
+        ("f3", '{"feature_id": "c", "gene_name": "C3", "gene_id": "G1"}'),
+        ("f4", "no object"),
+    ]
+    rows = spark.createDataFrame([("ds", f, "var", p) for f, p in lines], "dataset_id string, file_id string, kind string, payload string")
+    rows.write.parquet(f"{tmp_path}/raw_records.parquet")
+    got = {tuple(r) for r in stages.QUERIES["var_harmonize_files"](spark, str(tmp_path)).collect()}
+    assert got == {
+        ("ds", "a", "a", "A1", "", "chr1", "5000", "", "coding", ""),
+        ("ds", "a", "a", "A2", "", "chr2", "", "", "coding", "true"),
+        ("ds", "a", "a", "A3", "", "chr3", "", "", "", ""),
+        ("ds", "b", "b", "b", "E1", "chr3", "", "9", "", ""),
+        ("ds", "c", "G1", "c", "", "", "", "", "", ""),
+    }
+
+
 def test_curation(spark):
     cells = spark.createDataFrame(
         [("ds", i, p) for i, p in enumerate(["Control", None, "nan", "geneA"])], "dataset_id string, cell_ord long, perturbation string"
