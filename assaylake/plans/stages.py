@@ -318,6 +318,32 @@ def profile_value_counts(spark: SparkSession, d: str) -> DataFrame:
     return tableprofile.value_counts(read(spark, d, "obs_cells"), ["cell_line", "disease", "perturbation_id", "control_status", "batch_id", "time"])
 
 
+SUMMARISED = [
+    "cell_line",
+    "disease",
+    "perturbation_id",
+    "perturbation_target",
+    "guide_id",
+    "drug_id",
+    "control_status",
+    "is_control",
+    "batch_id",
+    "replicate_id",
+    "dose",
+    "time"
+]
+
+
+def profile_columns_all(spark: SparkSession, d: str) -> DataFrame:
+    """Missing and distinct values of every column, whichever the table has."""
+    return tableprofile.column_profile(read(spark, d, "obs_cells"))
+
+
+def profile_value_counts_all(spark: SparkSession, d: str) -> DataFrame:
+    """The commonest values of every column on perturbation, control, batch, dose and time, and of two more."""
+    return tableprofile.value_counts(read(spark, d, "obs_cells"), SUMMARISED)
+
+
 def matrix_profile(spark: SparkSession, d: str) -> DataFrame:
     n_obs = order_cells(spark, d).groupBy("dataset_id").agg(F.count("*").alias("n_obs"))
     counts = order_counts(spark, d).groupBy("dataset_id", "cell_ord", "feature_id").agg(F.sum("value").alias("value"))
@@ -429,6 +455,8 @@ QUERIES = {
         qc_dataset,
         profile_columns,
         profile_value_counts,
+        profile_columns_all,
+        profile_value_counts_all,
         matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, var_harmonize, var_harmonize_files, verify_equal, release_join, artifact_anti_join,
     )
 }

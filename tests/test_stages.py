@@ -285,6 +285,22 @@ def test_features_are_read_under_the_names_of_their_file(spark, tmp_path):
     }
 
 
+def test_profiles_cover_every_column(spark, sf):
+    cells = spark.read.parquet(f"{sf}/obs_cells.parquet").toPandas()
+    got = {r.column_name: r for r in stages.QUERIES["profile_columns_all"](spark, sf).collect()}
+    assert set(got) == set(cells.columns) and len(got) == 26
+    markers = {"nan", "none", "null", "na"}
+    for c in cells.columns:
+        gone = cells[c].map(lambda v: v is None or v != v or (isinstance(v, str) and v.lower() in markers)).sum()
+        assert (got[c].n_rows, got[c].missing_count) == (len(cells), gone), c
+        assert got[c].unique_count == cells[c].astype(object).where(cells[c].notna(), "None").nunique(), c
+    counts = stages.QUERIES["profile_value_counts_all"](spark, sf).collect()
+    for c in ("is_control", "replicate_id", "dose", "guide_id", "cell_line"):
+        values = cells[c].map(lambda v: "<missing>" if v is None or v.lower() in markers | {""} else v).value_counts()
+        want = sorted(values.items(), key=lambda x: (-x[1], x[0]))[:20]
+        assert [(r.value, r.n_rows) for r in sorted(counts, key=lambda r: r.place) if r.column_name == c] == want, c
+
+
 def test_curation(spark):
     cells = spark.createDataFrame(
         [("ds", i, p) for i, p in enumerate(["Control", None, "nan", "geneA"])], "dataset_id string, cell_ord long, perturbation string"
