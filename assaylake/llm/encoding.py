@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -177,13 +178,17 @@ def fits(token: str, word: str) -> bool:
 
 def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows, toks = [], []
+        rows, toks, times = [], [], []
         for i, t in enumerate(b.column(1).to_pylist()):
             if t and not t.isascii():
-                own = {x for x in TOKEN.findall(t) if not x.isascii()}
+                own = Counter(x for x in TOKEN.findall(t) if not x.isascii())
                 rows.extend([i] * len(own))
                 toks.extend(own)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(toks, pa.string())], names=["digest", "token"])
+                times.extend(own.values())
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(rows, pa.int64())), pa.array(toks, pa.string()), pa.array(times, pa.int64())],
+            names=["digest", "token", "times"]
+        )
 
 
 def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +305,7 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     docs = docs.withColumn("digest", F.sha2("text", 256))
     # copies of a text tell nothing new about words: each distinct text is counted and restored once
     once = cut(spread(docs).groupBy("digest").agg(F.first("text").alias("text")))
-    words = cut(once.mapInArrow(_distinct_tokens, "digest string, token string"))
+    words = cut(once.mapInArrow(_distinct_tokens, "digest string, token string, times bigint"))
     tokens = cut(words.groupBy("token").agg(F.count("*").alias("n")))
     freq = cut(tokens.mapInArrow(_units_of, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n")))
     total = float(freq.agg(F.sum("n")).first()[0] or 1)
@@ -361,7 +366,7 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
     best = F.greatest(F.lit(0.0), F.array_max(F.transform("cands", lambda c: c["gain"])))
     hit = words.join(known, "token").groupBy("digest").agg(
         F.collect_list(F.struct("token", "cands")).alias("known"),
-        F.sum(best).alias("most"),
+        F.sum(best * F.col("times")).alias("most"),
         F.max(F.col("token").contains(LOST)).alias("holes")
     )
     hit = hit.where((F.col("most") > enter) | F.col("holes")).select("digest", "known")

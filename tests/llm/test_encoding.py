@@ -97,6 +97,14 @@ def test_text_on_a_third_of_the_rows(spark, alike):
     assert got == {i: hashlib.md5(t.replace(bad, LINES[0]).encode()).hexdigest() for i, t in copies}
 
 
+def test_weak_evidence_adds_up_over_the_places_of_a_word(spark):
+    bad = misread("řádek", "cp1250", "cp1252")
+    docs = [(i, f"// řádek {i}") for i in range(10)] + [(20, f"{bad} a\n{bad} b\n{bad} c"), (21, f"{bad} d")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.restored for r in E.restore_garbled(df, "doc_id", "text").collect()}
+    assert got == {20: "řádek a\nřádek b\nřádek c"}
+
+
 def test_wildcards():
     assert E.skeleton("funció") == "funci��" and E.fits("funci��n", "función") and not E.fits("funci�n", "función")
     assert E.lost("a�") and E.lost("��") and not E.lost("'�'")
