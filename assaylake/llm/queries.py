@@ -92,20 +92,22 @@ def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.find_leaks(read(spark, d, "documents"), "doc_id", "text", read(spark, d, "eval_items"), "item_id", ["prompt", "solution"])
+def _leaks(spark: SparkSession, d: str, near: float | None) -> DataFrame:
+    items = read(spark, d, "eval_items")
+    return leaks.find_leaks(read(spark, d, "documents"), "doc_id", "text", items, "item_id", ["prompt", "solution"], near=near)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d).where("exact").select("doc_id", "item_id")
+    return _leaks(spark, d, None).where("exact").select("doc_id", "item_id")
 
 
 def p9_items(spark: SparkSession, d: str) -> DataFrame:
-    """Each leaked item: documents that hold it word for word, and those that seem to paraphrase it."""
-    return _leaks(spark, d).groupBy("item_id").agg(
+    """Each leaked item: documents that hold it word for word, those that seem to paraphrase it, and
+    those that hold its answer, word for word or at least half of it in order."""
+    return _leaks(spark, d, 0.7).groupBy("item_id").agg(
         F.count(F.when(F.col("exact"), 1)).alias("documents"),
         F.count(F.when(~F.col("exact") & (F.col("lcs_share") >= 0.8), 1)).alias("paraphrases"),
-        F.count(F.when(F.col("exact") & F.col("answer"), 1)).alias("answers")
+        F.count(F.when(F.col("exact_answer") | (F.col("answer_share") >= 0.5), 1)).alias("answers")
     )
 
 

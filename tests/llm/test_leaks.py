@@ -56,6 +56,45 @@ def test_paraphrases_are_told_apart(spark):
     assert [(x.doc_id, x.exact) for x in r] == [(1, True), (2, False)] and r[1].lcs_share >= 0.8
 
 
+def test_a_run_between_rare_item_words_is_found(spark):
+    """A run of common words, with rare words of other items all around, is a link like any other."""
+    rng = random.Random(4)
+    common, rare = [f"c{i}" for i in range(20)], [f"rare{i}" for i in range(400)]
+    items = [(k, " ".join(rng.choices(common, k=14)), " ".join(rng.sample(rare, 60))) for k in range(12)]
+    docs = [(i, " ".join(rng.choices(common, k=60))) for i in range(200)]
+    for k, (item, prompt, _) in enumerate(items):
+        others = [w for j, _, s in items if j != item for w in rng.sample(s.split(), 6)]
+        rng.shuffle(others)
+        docs.append((1000 + k, " ".join([*others[:12], *prompt.split()[1:13], *others[12:24]])))
+    got = {(r.doc_id, r.item_id) for r in run(spark, docs, items, near=None).where("exact").collect()}
+    assert got == brute(docs, items) and {(1000 + k, k) for k in range(12)} <= got
+
+
+def test_items_in_several_blocks(spark):
+    rng = random.Random(5)
+    items = [(k, " ".join(rng.choices(VOCAB, k=30)), " ".join(rng.choices(VOCAB, k=30))) for k in range(20)]
+    docs = [(k, "x " * k + " ".join(items[k][1 + k % 2].split()[3:20])) for k in range(20)]
+    for near in (None, 0.7):
+        got = {(r.doc_id, r.item_id) for r in run(spark, docs, items, near=near, block_chars=600).where("exact").collect()}
+        assert got == brute(docs, items)
+
+
+def test_planted_paraphrases_and_answers(spark):
+    """Every eighth word changed, so that no run of twelve is left: found, and the answer is told from the rest."""
+    rng = random.Random(6)
+    vocab = [f"v{i}" for i in range(900)]
+    items = [(k, " ".join(rng.sample(vocab, 48)), " ".join(rng.sample(vocab, 48))) for k in range(20)]
+    change = lambda t: " ".join(w if i % 8 else "zzz" for i, w in enumerate(t.split()))
+    docs, want = [(i, " ".join(rng.choices(vocab, k=100))) for i in range(100)], {}
+    for k, (item, prompt, solution) in enumerate(items):
+        docs.append((1000 + k, change(solution if k % 2 else prompt)))
+        want[1000 + k] = (item, bool(k % 2))
+    rows = run(spark, docs, items).collect()
+    assert not any(r.exact for r in rows)
+    found = {r.doc_id: (r.item_id, r.answer_share >= 0.5) for r in rows if r.lcs_share >= 0.8}
+    assert found == want
+
+
 def test_long_text_and_empty_tables(spark):
     item = [(7, " ".join(VOCAB[:30]), "")]
     far = "noise " * 200_000 + " ".join(VOCAB[5:17])
