@@ -5,9 +5,11 @@ run, a day, the whole table) and metric: tuples ``(value, lo, hi)`` where ``lo``
 bound the rank of the value. Few values are kept as they are; many are compressed to the
 permitted uncertainty, so the whole table's summary leaves a task as some hundred tuples.
 Summaries are merged in a tree, bucket by bucket, with as many levels as the number of tasks
-asks for; each level compresses with its share of the permitted error, and the bound that has
-really built up is carried along and reported. The summaries of single days can be stored and
-merged later in the same way.
+asks for. The permitted error is shared out over the levels: a task's own summary may use one
+share, the first merge two, and so on. A merged summary has the uncertainty of its parts and as
+many tuples as all of them; with the next share it is compressed to a number of tuples that
+depends on the share only. The bound that has really built up is carried along and reported.
+The summaries of single days can be stored and merged later in the same way.
 
 Defined results: null and NaN are not counted, infinite and stray huge values are; a group
 without a counted value gives no row; a null group is a group; a percentile ``q`` of ``n``
@@ -53,7 +55,12 @@ def compress(v: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int, room: float)
 
 
 def merge(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """Summary of the union: the bounds of a value's rank add up over the parts."""
+    """Summary of the union: the bounds of a value's rank add up over the parts.
+
+    In the merged order, a part's bounds at any place are those of its last tuple before and
+    its first tuple after; both change at its own tuples only, so running sums of the changes
+    give the sums over all parts at once.
+    """
     if len(parts) == 1:
         return parts[0]
     n = sum(p[0] for p in parts)
@@ -61,20 +68,15 @@ def merge(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[
         v = np.sort(np.concatenate([p[1] for p in parts]), kind="stable")
         r = np.arange(1, n + 1)
         return n, v, r, r.copy()
-    v = np.concatenate([p[1] for p in parts])
-    own = np.concatenate([np.full(len(p[1]), i) for i, p in enumerate(parts)])
-    order = np.lexsort((own, v))
-    v, own = v[order], own[order]
-    lo, hi = np.zeros(len(v), np.int64), np.zeros(len(v), np.int64)
-    for i, (size, _, plo, phi) in enumerate(parts):
-        # tuples of part i at or before each place of the merged order
-        seen = np.cumsum(own == i)
-        low = np.concatenate(([0], plo))[seen]
-        after = np.concatenate((phi - 1, [size]))[seen]
-        mine = own == i
-        lo += low
-        hi += np.where(mine, np.concatenate(([0], phi))[seen], after)
-    return n, v, lo, hi
+    v, lo, hi = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+    rise = np.concatenate([np.diff(p[2], prepend=0) for p in parts])
+    after = np.concatenate([np.append(p[3][1:] - 1, p[0]) for p in parts])  # ranks at or below the next tuple of the part
+    first = sum(int(p[3][0]) - 1 for p in parts)
+    climb = np.concatenate([np.diff(np.append(p[3] - 1, p[0])) for p in parts])
+    order = np.lexsort((np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts]), v))
+    low = np.cumsum(rise[order])
+    high = first + np.cumsum(climb[order]) - after[order] + hi[order]
+    return n, v[order], low, high
 
 
 def error(lo: np.ndarray, hi: np.ndarray) -> float:
@@ -162,7 +164,10 @@ def _lists(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _merge_sorted(room: float):
-    """Merge the summaries of each bucket and key; rows come sorted, one key at a time is held."""
+    """Merge the summaries of each bucket and key; rows come sorted, one key at a time is held.
+
+    A bucket has about FAN summaries of a key, each of as many tuples as its share allows.
+    """
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def out(rows: list) -> pa.RecordBatch:
@@ -181,8 +186,6 @@ def _merge_sorted(room: float):
                         done.append(closed(last, parts))
                     last, parts = key, []
                 parts.append((n, *lists))
-                if len(parts) >= 64:
-                    parts = [merge(parts)]
                 if len(done) >= 4096:
                     yield out(done)
                     done = []
@@ -216,16 +219,22 @@ def summarise(df: DataFrame, scopes: dict[str, Column], metrics: list[str], eps:
     return spread(rows).mapInArrow(_summaries(list(scopes), metrics, eps), SUMMARY)
 
 
-def merge_summaries(parts: DataFrame, eps: float, fans: tuple[int, ...] = (1,)) -> DataFrame:
-    """Merge the summaries of each key in a tree, compressing to ``eps`` on each level."""
+def merge_summaries(parts: DataFrame, eps: float, fans: tuple[int, ...] = (1,), spent: int = 1) -> DataFrame:
+    """Merge the summaries of each key in a tree, spending one more share ``eps`` on each level.
+
+    spent: shares that the parts have used up already, one for those of ``summarise``; summaries
+    that were merged before have used one more for each level. The result is within
+    ``(spent + len(fans)) * eps`` and has some ``1 / eps`` tuples, however many parts there were.
+    """
     width = shuffle_width(parts.sparkSession)
-    level = parts.withColumn("bucket", F.xxhash64("n", F.element_at("vals", 1), F.element_at("vals", -1), F.size("vals")))
-    for fan in fans:
+    # equal parts must not meet in one bucket, so a part's place decides, not what it holds
+    level = parts.withColumn("bucket", F.xxhash64(F.monotonically_increasing_id()))
+    for k, fan in enumerate(fans, 1):
         level = (
             level.select(F.pmod("bucket", F.lit(fan).cast("bigint")).alias("bucket"), *NAMES)
             .repartition(width, "bucket", *KEYS)
             .sortWithinPartitions("bucket", *KEYS)
-            .mapInArrow(_merge_sorted(eps), f"bucket bigint, {SUMMARY}")
+            .mapInArrow(_merge_sorted(eps * (spent + k)), f"bucket bigint, {SUMMARY}")
         )
     return level.drop("bucket")
 

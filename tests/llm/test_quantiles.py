@@ -58,6 +58,48 @@ def test_hierarchical_merge_in_spark(spark):
                 assert off(v, answer, q) <= r.rank_error + 1e-9
 
 
+def made(values, share):
+    v = np.sort(values)
+    r = np.arange(1, len(v) + 1)
+    return len(v), *Q.compress(v, r, r.copy(), len(v), len(v) * share)
+
+
+def test_merged_summaries_stay_small():
+    """However many parts there are, a level leaves tuples for its share only, within its bound."""
+    rng, share = np.random.default_rng(3), 0.0025
+    for parts in (10, 100, 1000):
+        every = [rng.normal(i % 7, 1 + i % 3, 4000) for i in range(parts)]
+        n, v, lo, hi = Q.merge([made(x, share) for x in every])
+        assert len(v) > 190 * parts
+        v, lo, hi = Q.compress(v, lo, hi, n, 2 * share * n)
+        assert len(v) <= 1 / share and Q.error(lo, hi) <= 2 * share * n
+        flat = np.concatenate(every)
+        for q in (0.01, 0.5, 0.9, 0.99):
+            assert off(flat, Q.query(n, v, lo, hi, q), q) <= 2 * share * n
+
+
+def test_merge_equals_bounds_counted_part_by_part():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        parts = [made(rng.integers(0, 20, rng.integers(1, 200)).astype(float), rng.choice([0.001, 0.05])) for _ in range(rng.integers(2, 6))]
+        _, v, lo, hi = Q.merge(parts)
+        order = sorted((x, i, k) for i, p in enumerate(parts) for k, x in enumerate(p[1]))
+        for at, (x, i, k) in enumerate(order):
+            seen = [sum(1 for _, j, _ in order[: at + 1] if j == p) for p in range(len(parts))]
+            low = sum(int(p[2][s - 1]) if s else 0 for p, s in zip(parts, seen))
+            high = sum(int(p[3][k]) if j == i else int(p[3][s]) - 1 if s < len(p[1]) else p[0] for j, (p, s) in enumerate(zip(parts, seen)))
+            assert (v[at], lo[at], hi[at]) == (x, low, high)
+
+
+def test_equal_parts_are_spread_over_the_buckets(spark):
+    df = spark.range(0, 2000, 1, 64).select((F.col("id") % 5).cast("double").alias("x"))
+    parts = Q.summarise(df, {"all": F.lit("all")}, ["x"], 0.01)
+    level = Q.merge_summaries(parts, 0.01, (8,))
+    assert level.count() > 4
+    r = Q.percentiles(Q.merge_summaries(parts, 0.01, (8, 1))).first()
+    assert r.n == 2000 and r.p50 == 2.0 and r.rank_error <= 0.03 * 2000
+
+
 def test_days_can_be_put_together(spark):
     df = spark.createDataFrame([(str(i % 2), float(i)) for i in range(4000)], "day string, x double")
     days = Q.merge_summaries(Q.summarise(df, {"day": F.col("day")}, ["x"], 0.0025), 0.0025)
