@@ -47,5 +47,28 @@ def test_groups_across_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_large_numbers_beside_nulls_stay_apart(spark):
+    """Keys that a double can't tell apart, next to a null key."""
+    keys = [2**53, 2**53 + 1, -(2**62), None]
+    rows = [(k, f"g{i}", float(i)) for k in keys for i in range(5)]
+    df = spark.createDataFrame(rows, "run long, gene string, points double").repartition(3)
+    for salts in (None, 3):
+        got = {(r.run, r.place, r.gene) for r in top_n(df, "run", "points", "gene", 3, salts).collect()}
+        assert got == brute(rows, 3) and len(got) == 12
+
+
+def test_groups_of_other_types(spark):
+    rows = [(float("nan"), "a", 1.0), (float("nan"), "b", 2.0), (0.0, "c", 1.0), (-0.0, "d", 3.0), (None, "e", 1.0)]
+    df = spark.createDataFrame(rows, "run double, gene string, points double").repartition(4)
+    got = {(str(r.run), r.place, r.gene) for r in top_n(df, "run", "points", "gene", 5).collect()}
+    assert got == {("nan", 1, "b"), ("nan", 2, "a"), ("0.0", 1, "d"), ("0.0", 2, "c"), ("None", 1, "e")}
+
+
+def test_a_group_sends_n_rows_per_partition(spark):
+    df = spark.range(0, 100_000, 1, 8).selectExpr("'hot' run", "concat('g', id) gene", "cast(id % 997 as double) points")
+    got = [(r.place, r.gene) for r in top_n(df, "run", "points", "gene", 10).orderBy("place").collect()]
+    assert got == list(enumerate(sorted(f"g{i}" for i in range(996, 100_000, 997))[:10], 1))
+
+
 def test_empty(spark):
     assert run(spark, [("r", "g", None)], 5) == set()
