@@ -25,13 +25,29 @@ def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _fields(spark: SparkSession, d: str) -> DataFrame:
+    return drift.explode_fields(read(spark, d, "raw_records"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return drift.schema_changes(drift.explode_fields(read(spark, d, "raw_records"))).distinct()
+    return drift.schema_changes(_fields(spark, d)).distinct()
+
+
+def p4_lifespans(spark: SparkSession, d: str) -> DataFrame:
+    """The stretches of files over which each field had one type."""
+    return drift.lifespans(drift.catalogue(_fields(spark, d)))
 
 
 def p4_unified(spark: SparkSession, d: str) -> DataFrame:
-    """All files of all series as one table with canonical, typed columns."""
-    return drift.unified_table(drift.explode_fields(read(spark, d, "raw_records"))).withColumn("others", F.to_json("others"))
+    """All files of all series as one table with canonical, typed columns; the casts follow the renamings found."""
+    fields = _fields(spark, d)
+    changes = cut(drift.schema_changes(fields))
+    return drift.unified_table(fields, changes=changes).withColumns({"others": F.to_json("others"), "failed": F.array_join("failed", ",")})
+
+
+def p4_casts(spark: SparkSession, d: str) -> DataFrame:
+    """How many values of each field of each file were taken, failed their cast or gave way to another."""
+    return drift.cast_report(drift.typed_values(_fields(spark, d)))
 
 
 def _converted(spark: SparkSession, d: str) -> DataFrame:
@@ -72,6 +88,8 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_profile": p1_profile,
     "p4_found": p4_found,
+    "p4_lifespans": p4_lifespans,
+    "p4_casts": p4_casts,
     "p4_unified": p4_unified,
     "p5_found": p5_found,
     "p5_guessed": p5_guessed,
@@ -132,7 +150,9 @@ typed AS (
 ), marked AS (SELECT *, sum(CAST(first AS INTEGER)) OVER (PARTITION BY series_id, field ORDER BY place) AS island FROM life),
 span AS (
   SELECT * EXCLUDE (type), last_value(type IGNORE NULLS) OVER (PARTITION BY series_id, field, island ORDER BY place ROWS UNBOUNDED PRECEDING) AS type FROM marked
-), ended AS (SELECT series_id, file_id AS old_file, place + 1 AS place, field AS old_name, type AS old_type FROM span WHERE last AND place < n_files),
+)"""
+
+_P4_CHANGES = r""", ended AS (SELECT series_id, file_id AS old_file, place + 1 AS place, field AS old_name, type AS old_type FROM span WHERE last AND place < n_files),
 begun AS (SELECT series_id, file_id, place, field AS new_name, type AS new_type FROM span WHERE first AND place > 1),
 filled AS (SELECT DISTINCT series_id, file_id, field, key, value FROM fields WHERE value IS NOT NULL AND key IS NOT NULL),
 pairs AS (
@@ -235,7 +255,13 @@ UNION ALL SELECT table_name, column_name, load_no, 'range' FROM compared WHERE o
 UNION ALL SELECT table_name, column_name, load_no, 'drift' FROM compared
   WHERE abs(share - p_share) > 0.2503 OR (kind = 1 AND (med > 3 * p_med OR med * 3 < p_med))
 """,
-    "p4_found": _P4,
+    "p4_found": _P4 + _P4_CHANGES,
+    "p4_lifespans": _P4
+    + """, steps AS (SELECT *, type <> lag(type) OVER (PARTITION BY series_id, field, island ORDER BY place) AS changed FROM span),
+numbered AS (SELECT *, sum(CASE WHEN first OR coalesce(changed, false) THEN 1 ELSE 0 END) OVER (PARTITION BY series_id, field ORDER BY place) AS stretch FROM steps)
+SELECT series_id, field, max(type) AS type, arg_min(file_id, place) AS first_file, arg_max(file_id, place) AS last_file, count(*) AS files
+FROM numbered GROUP BY series_id, field, stretch
+""",
     "p5_found": _P5,
     "p6_found": _P6,
 }
