@@ -76,8 +76,8 @@ def p5_guessed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    names = packed.protected_names(read(spark, d, "dataset_ref"), "dataset_id")
-    entries = packed.protected_names(read(spark, d, "canonical_values").where("entry_field = 'perturbation_id'"), "entry_name")
+    names = packed.protected(read(spark, d, "dataset_ref"), "dataset_id")
+    entries = packed.protected(read(spark, d, "canonical_values").where("entry_field = 'perturbation_id'"), "entry_name")
     meta = packed.unpack(read(spark, d, "meta_summary"), "summary_row_id", "datasets", names)
     doses = packed.unpack(read(spark, d, "interventions"), "intervention_id", "perturbation_id", entries)
     tag = lambda df, t: df.select(F.lit(t).alias("source_table"), "row_key", "item_no", "item")

@@ -1,7 +1,8 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from assaylake.operators.packed import protected_names, unpack
+from assaylake.operators import packed
+from assaylake.operators.packed import protected, protected_names, unpack
 
 NAMES = ["alpha", "b2", "pike;rerun", "arden, second pass", "O'Vane-3", "two words", "under_score", "Fex (rac)", "a/b", "x|y"]
 
@@ -34,6 +35,33 @@ def test_forms(spark):
     assert split(spark, list(cases)) == list(cases.values())
 
 
+def test_apostrophes_and_quotes_without_partner(spark):
+    cases = {
+        "O'Brien;Smith;Jones": [(1, "O'Brien"), (2, "Smith"), (3, "Jones")],
+        "Smith;O'Brien": [(1, "Smith"), (2, "O'Brien")],
+        "it's; 'a;b' ;'c'": [(1, "it's"), (2, "a;b"), (3, "c")],
+        '"a;b;alpha': [(1, "a"), (2, "b"), (3, "alpha")],
+        "alpha;'b;c": [(1, "alpha"), (2, "b"), (3, "c")],
+        '"a ""b;c"" d";e': [(1, 'a "b;c" d'), (2, "e")],
+        '"it\'s;x";e': [(1, "it's;x"), (2, "e")],
+        "a\ue001b\ue000;c": [(1, "a\ue001b\ue000"), (2, "c")],
+        '"see pike;rerun here";alpha': [(1, "see pike;rerun here"), (2, "alpha")],
+        '""': [], "'": [], '"': [], '";"': [(1, ";")],
+    }
+    assert split(spark, list(cases)) == list(cases.values())
+
+
+def test_long_name_lists_are_joined(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("1", "pike;rerun;alpha"), ("2", "O'Vane-3&x|y"), ("3", "O\\'Vane-3&two words"), ("4", None), ("5", "xpike;rerun"), ("6", "a/b_under_score/b2")] * 2,
+        "id string, field string"
+    )
+    ref = protected(spark.createDataFrame([(n,) for n in [*NAMES, None, ";;", *(f"n;{i}" for i in range(50))]], "name string"), "name")
+    short = sorted(unpack(rows, "id", "field", ref).collect())
+    monkeypatch.setattr(packed, "IN_ONE_PATTERN", 3)
+    assert sorted(unpack(rows, "id", "field", ref).collect()) == short and len(short) == 22
+
+
 def test_nothing_to_split(spark):
     assert split(spark, [None, "", "nan", "alpha", "a/b", "alpha;", ";;"], 2) == [[]] * 7
 
