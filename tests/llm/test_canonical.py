@@ -1,6 +1,9 @@
+import random
+import string
+
 import pytest
 
-from assaylake.llm.canonical import edits, fold, map_typed
+from assaylake.llm.canonical import edits, fold, map_typed, map_values
 
 ENTRIES = [
     (1, "p", "EQMB24"),
@@ -52,3 +55,42 @@ def test_empty_tables(spark, reference):
 def test_edits_and_folding():
     assert edits("abcd", "abdc") == 1 and edits("abc", "") == 3 and edits("kitten", "sitting") == 3
     assert fold("Ｗénl­öth") == "wenloth"
+
+
+def scores(spark, pairs, names):
+    ref = spark.createDataFrame([(i, "f", n) for i, n in enumerate(names, 1)], "entry_id long, entry_field string, entry_name string")
+    df = spark.createDataFrame([("f", v) for v in pairs], "field string, value string")
+    return {r.value: (r.entry_id, r.score) for r in map_values(df, ref).collect()}
+
+
+def test_words_without_match_weigh(spark):
+    names = ["dmso", "Homo sapiens liver", "Homo sapiens kidney", "Mus musculus liver", "B R C A 1"]
+    got = scores(spark, ["not dmso at all, something completely different", "Homo liver", "dmso 10%", "liver", "brca1", "b-r-c-a 1"], names)
+    assert got["not dmso at all, something completely different"][0] == -1
+    assert got["Homo liver"][0] == 2 and 0.6 < got["Homo liver"][1] < 1
+    assert got["dmso 10%"][0] == 1 and got["liver"][0] == -1 and got["brca1"][0] == 5 and got["b-r-c-a 1"][0] == 5
+
+
+def test_held_out_noise(spark):
+    """Slips and additions over made-up names: nearly all are found, and names of no entry are not."""
+    rng = random.Random(12)
+    name = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randint(4, 6)))
+    names = sorted({name().capitalize() + rng.choice(["", "", " " + rng.choice(["prime", "beta", "sodium", "acetate"])]) for _ in range(300)})
+
+    def typed(n):
+        t = list(n)
+        i = rng.randrange(len(t) - 1)
+        kind = rng.choice("dist")
+        t[i : i + 2] = {"d": t[i + 1 : i + 2], "i": [t[i], rng.choice(string.ascii_lowercase), t[i + 1]], "s": ["q", t[i + 1]], "t": [t[i + 1], t[i]]}[kind]
+        return rng.choice(["{}", "{} lot 12", "cpd. {}", "{} (plate edge)", "  {}?"]).format("".join(t))
+
+    want = {typed(n): i for i, n in enumerate(names, 1)} | {f"{name()}{name()}": -1 for _ in range(100)}
+    got = scores(spark, list(want), names)
+    assert sum(got[v][0] == i for v, i in want.items() if i > 0) >= 0.97 * sum(i > 0 for i in want.values())
+    assert sum(got[v][0] == -1 for v, i in want.items() if i < 0) >= 99
+
+
+def test_a_word_that_all_entries_share(spark):
+    names = [f"{w}on protein" for w in ("alph", "bet", "gamm", "delt", "epsil", "zet", "iot", "kapp", "lambd", "omeg")] * 1
+    got = scores(spark, ["protein", "gammon protien", "omegon", "proteins x"], names)
+    assert [got[v][0] for v in ("protein", "gammon protien", "omegon", "proteins x")] == [-1, 3, 10, -1]
