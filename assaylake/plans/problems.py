@@ -9,19 +9,33 @@ from assaylake.operators import drift, packed, quality, units
 from assaylake.session import cut, read
 
 
-def _profile(spark: SparkSession, d: str) -> DataFrame:
-    return quality.profile_loads({t: read(spark, d, t) for t in ("dataset_qc", "profile_index")}, quality.JUDGED)
+def _deliveries(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {t: read(spark, d, t) for t in ("dataset_qc", "profile_index")}
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return quality.findings(_profile(spark, d))
+    return quality.findings(quality.profile_loads(_deliveries(spark, d), quality.JUDGED))
 
 
 def p1_profile(spark: SparkSession, d: str) -> DataFrame:
-    """The whole profile: counts, exact quantiles, distincts and KS distance of every load."""
+    """The whole profile: counts, exact quantiles, distincts and KS distance of every column in every load."""
+    tables = _deliveries(spark, d)
+    judged = {(j.table, j.column): j for j in quality.JUDGED}
+    every = [judged.get((j.table, j.column), j) for t, df in tables.items() for j in quality.every_column(t, df)]
     rounded = {c: F.round(c, 6) for c in ("least", "most", "p25", "p50", "p75", "median_nonzero", "ks")}
-    return _profile(spark, d).withColumns(rounded).select(
-        "table_name", "column_name", "load_no", "rows", "missing", "distinct_values", "wrong_form", "out_of_range", *rounded
+    return quality.profile_loads(tables, every).withColumns(rounded).select(
+        "table_name",
+        "column_name",
+        "load_no",
+        "rows",
+        "missing",
+        "distinct_values",
+        "wrong_form",
+        "out_of_range",
+        *rounded,
+        "least_text",
+        "median_text",
+        "most_text"
     )
 
 

@@ -2,7 +2,7 @@ import json
 import random
 import statistics
 
-from assaylake.operators.quality import JUDGED, Judged, findings, profile_loads
+from assaylake.operators.quality import JUDGED, Judged, every_column, findings, profile_loads
 
 MISSING = {"", "nan", "none", "null", "na", "<missing>"}
 
@@ -67,6 +67,35 @@ def test_findings_equal_brute_force(spark):
             assert abs(r.ks - ks) < 1e-12
 
 
+def test_columns_of_every_type_equal_brute_force(spark):
+    """Numbers, times, truth values, texts and nested columns: distincts, quantiles and KS distance."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        load = rng.choice([1, 2, 4])
+        text = rng.choice([None, "", "é", "z", "Zebra", *(f"k{rng.randint(0, 30 * load)}" for _ in range(6))])
+        rows.append((load, text, rng.choice([None, float("nan"), -1.5, 0.0, rng.gauss(load, 1)]), rng.randint(-3, 3) * load, rng.random() < 0.2 * load, [load]))
+    df = spark.createDataFrame(rows, "load_no int, word string, x double, n bigint, b boolean, l array<int>").repartition(5)
+    df = df.withColumn("at", df.n.cast("timestamp"))
+    judged = every_column("t", df)
+    assert {j.column: j.kind for j in judged} == {"word": "text", "x": "number", "n": "number", "b": "truth", "l": "text", "at": "time"}
+    got = {(r.column_name, r.load_no): r for r in profile_loads({"t": df}, judged).collect()}
+    for c, i in (("word", 1), ("x", 2), ("n", 3), ("b", 4)):
+        loads = {k: sorted(r[i] for r in rows if r[0] == k and r[i] not in (None, "") and r[i] == r[i]) for k in (1, 2, 4)}
+        if c == "word":
+            loads = {k: sorted(v, key=lambda t: t.encode()) for k, v in loads.items()}
+        for k, before in ((1, None), (2, 1), (4, 2)):
+            v, r = loads[k], got[c, k]
+            middle = v[(len(v) + 1) // 2 - 1]
+            assert r.distinct_values == len(set(v)) and (r.median_text if c == "word" else r.p50) == middle
+            assert r.missing == sum(1 for x in rows if x[0] == k) - len(v)
+            if before:
+                p, code = loads[before], (lambda t: t.encode()) if c == "word" else (lambda t: t)
+                share = lambda vs, x: sum(code(y) <= code(x) for y in vs) / len(vs)
+                assert abs(r.ks - max(abs(share(v, x) - share(p, x)) for x in {*v, *p})) < 1e-12
+    assert got["l", 1].distinct_values == 1 and got["at", 2].p50 == got["n", 2].p50
+
+
 def test_edge_cases(spark):
     df = spark.createDataFrame(
         [(1, None, 5, "x"), (2, "NA", 5, "x"), (3, '["a", "b"]', None, "x"), (3, '["a", "b"]', None, "x"), (None, "[]", 1, "x")],
