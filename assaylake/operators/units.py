@@ -2,8 +2,11 @@
 
 The unit is taken from the value itself, else from the unit column, else from the default
 that the source's note states. Where all are silent, a mixture on the log scale is fitted: its
-components are the values of known unit, shifted by the known conversion factors; the unit of
-the largest posterior is assigned and marked as uncertain if the posterior is low.
+components lie apart by the known conversion factors and share one mean and spread. Mean,
+spread and the weights of the units are fitted by expectation maximisation, over the values of
+known and of silent unit together, for all rows and then for each group (the compound of a
+dose, the data set of a time), where the fit over all rows counts as some prior values. The
+unit of the largest posterior is assigned, and marked as uncertain if the posterior is low.
 
 Common units: picomolar for concentrations, seconds for durations.
 
@@ -17,13 +20,16 @@ three digits, else it is a decimal comma; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.text import is_missing_qc, strip
+from assaylake.session import cut
 
 # Picomolar in one of each unit, written in lower case and with u for micro.
 MOLAR = {
@@ -163,55 +169,103 @@ def to_common(rows: DataFrame) -> DataFrame:
     return out.withColumns({"unit_source": source, "common": F.when(dose, as_dose).otherwise(as_time)}).drop("beside", "told")
 
 
-def fit_mixture(
-    known: DataFrame, silent: DataFrame, factors: list[float], bin_width: float = 0.05, rounds: int = 60
-) -> tuple[np.ndarray, float, float]:
-    """Weights of the units among values without one, and the common log-scale mean and spread.
+@dataclass(frozen=True)
+class Mixture:
+    """Weights of the units of silent values, and the mean and spread of all on the common log scale."""
 
-    known: column ``common`` in the common unit; silent: column ``number``. Both are counted
-    into bins of ``bin_width`` decades in Spark; the fit runs on the bins, at most some
-    thousands whatever the number of rows.
+    weights: np.ndarray
+    mean: float
+    spread: float
+
+
+LEAST_SPREAD = 0.1  # decades
+PRIOR_VALUES = 5.0  # values for which the fit over all rows counts in a group
+
+
+def fit_mixture(bins: pd.DataFrame, shifts: np.ndarray, prior: Mixture | None, rounds: int = 100) -> Mixture:
+    """Expectation maximisation over bins (x, n, unit, silent); unit is the number of a known unit, or -1.
+
+    x: logarithm of the common value of known ones, of the bare number of silent ones.
     """
-    logs = lambda df, c: df.where(F.col(c) > 0).groupBy(F.round(F.log10(F.col(c)) / bin_width).cast("int").alias("b")).agg(
-        F.count("*").alias("n"), F.avg(F.log10(F.col(c))).alias("x")
-    ).collect()
-    base, bins = logs(known, "common"), logs(silent, "number")
+    known, silent = bins[~bins["silent"]], bins[bins["silent"]]
+    n, x = known["n"].to_numpy(float), known["x"].to_numpy(float)
+    m, y = silent["n"].to_numpy(float), silent["x"].to_numpy(float)
+    if prior is None:
+        # without a known value nothing tells the units apart: a spread as wide as their factors
+        seen = np.array([float(n[known["unit"].to_numpy() == u].sum()) for u in range(len(shifts))]) + 1
+        mean = float((n * x).sum() / n.sum()) if len(n) else float((m * y).sum() / m.sum() + shifts.mean())
+        spread = math.sqrt(float((n * (x - mean) ** 2).sum() / n.sum())) if len(n) else float(np.ptp(shifts)) + 1
+        prior = Mixture(seen / seen.sum(), mean, max(spread, LEAST_SPREAD))
+    weights, mean, spread, k = prior.weights, prior.mean, prior.spread, PRIOR_VALUES
+    for _ in range(rounds if len(n) or prior is None else 0):
+        p = weights * np.exp(-0.5 * ((y[:, None] + shifts - mean) / spread) ** 2) + 1e-300
+        p *= m[:, None] / p.sum(axis=1, keepdims=True)
+        z = y[:, None] + shifts
+        total = k + n.sum() + p.sum()
+        new = float((k * prior.mean + (n * x).sum() + (p * z).sum()) / total)
+        off = k * (prior.spread**2 + (prior.mean - new) ** 2) + (n * (x - new) ** 2).sum() + (p * (z - new) ** 2).sum()
+        step = abs(new - mean)
+        weights, mean, spread = (k * prior.weights + p.sum(axis=0)) / (k + m.sum()), new, max(math.sqrt(float(off / total)), LEAST_SPREAD)
+        if step < 1e-9:
+            break
+    return Mixture(weights, mean, spread)
+
+
+def _bins(rows: DataFrame, factors: list[float], width: float) -> DataFrame:
+    """Counts and means in bins of the logarithm: some thousand rows of a group at most."""
+    silent = F.col("unit").isNull() & F.col("common").isNull()
+    x = F.log10(F.when(silent, F.col("number")).otherwise(F.col("common")))
+    ratio = F.log10(F.col("common") / F.when(F.col("number") > 0, F.col("number")))
+    unit = F.coalesce(*[F.when(~silent & (F.abs(ratio - math.log10(f)) < 1e-6), i) for i, f in enumerate(factors)], F.lit(-1))
+    held = rows.where((silent & (F.col("number") > 0)) | (F.col("common") > 0))
+    return held.select("grp", silent.alias("silent"), unit.alias("unit"), F.round(x / width).cast("int").alias("bin"), x.alias("x")).groupBy(
+        "grp", "silent", "unit", "bin"
+    ).agg(F.count("*").cast("double").alias("n"), F.avg("x").alias("x"))
+
+
+def assign_units(
+    df: DataFrame,
+    number_col: str,
+    common: str,
+    units: list[str],
+    factors: list[float],
+    sure: float = 0.9,
+    group: str | None = None,
+    width: float = 0.05
+) -> DataFrame:
+    """Adds guessed_unit, guessed_common, posterior and uncertain where no unit is known.
+
+    group: column whose values have a mean and spread of their own. Values are counted into
+    bins of ``width`` decades before they are gathered, so a fit takes some thousand bins
+    whatever the number of rows of a group.
+    """
+    spark = df.sparkSession
+    grp = F.coalesce(F.col(group).cast("string"), F.lit("")) if group else F.lit("")
     shifts = np.log10(np.array(factors))
-    weights = np.full(len(shifts), 1 / len(shifts))
-    if not base:
-        return weights, 0.0, 1.0
-    n, x = np.array([r["n"] for r in base], float), np.array([r["x"] for r in base])
-    mean = float((n * x).sum() / n.sum())
-    spread = math.sqrt(max(0.01, float((n * (x - mean) ** 2).sum() / n.sum())))
-    if bins:
-        m, y = np.array([r["n"] for r in bins], float), np.array([r["x"] for r in bins])
-        for _ in range(rounds):
-            p = weights * np.exp(-0.5 * ((y[:, None] + shifts - mean) / spread) ** 2) + 1e-300
-            p /= p.sum(axis=1, keepdims=True)
-            weights = (m[:, None] * p).sum(axis=0) / m.sum()
-    return weights, mean, spread
-
-
-def assign_units(df: DataFrame, number_col: str, common: str, units: list[str], factors: list[float], sure: float = 0.9) -> DataFrame:
-    """Adds guessed_unit, guessed_common, posterior and uncertain where no unit is known."""
-    silent = F.col(number_col).isNotNull() & F.col("unit").isNull() & (F.col(number_col) > 0)
-    weights, mean, spread = fit_mixture(
-        df.where(F.col(common).isNotNull()).select(F.col(common).alias("common")),
-        df.where(silent).select(F.col(number_col).alias("number")),
-        factors
-    )
+    bins = cut(_bins(df.select(grp.alias("grp"), F.col(number_col).alias("number"), F.col(common).alias("common"), "unit"), factors, width))
+    over_all = bins.groupBy("silent", "unit", "bin").agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("x"), F.sum("n").alias("n")).toPandas()
+    if over_all.empty:
+        over_all = pd.DataFrame({"silent": [False], "unit": [-1], "x": [0.0], "n": [0.5]})
+    prior = fit_mixture(over_all, shifts, None)
+
+    def fit(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        m = fit_mixture(own, shifts, prior)
+        return pd.DataFrame({"grp": [key[0]], "mean": [m.mean], "spread": [m.spread], "weights": [m.weights.tolist()]})
+
+    asked = bins.where("silent").select("grp").distinct()
+    fits = bins.join(asked, "grp", "left_semi").groupBy("grp").applyInPandas(fit, "grp string, mean double, spread double, weights array<double>")
+    silent = F.col(number_col).isNotNull() & F.col("unit").isNull() & F.col(common).isNull() & (F.col(number_col) > 0)
     x = F.log10(F.col(number_col))
-    dens = [F.lit(float(w)) * F.exp(-0.5 * ((x + math.log10(f) - mean) / spread) ** 2) + 1e-300 for w, f in zip(weights, factors)]
-    total = dens[0]
-    for d in dens[1:]:
-        total = total + d
+    dens = [
+        F.get("__fit.weights", F.lit(i)) * F.exp(-0.5 * F.pow((x + math.log10(f) - F.col("__fit.mean")) / F.col("__fit.spread"), F.lit(2.0))) + 1e-300
+        for i, f in enumerate(factors)
+    ]
+    total = reduce(lambda a, b: a + b, dens)
     options = F.array_sort(
-        F.array(
-            *[F.struct((-d / total).alias("p"), F.lit(u).alias("unit"), F.lit(f).alias("factor")) for d, u, f in zip(dens, units, factors)]
-        )
+        F.array(*[F.struct((-d / total).alias("p"), F.lit(u).alias("unit"), F.lit(f).alias("factor")) for d, u, f in zip(dens, units, factors)])
     )
-    best = F.get(options, F.lit(0))
-    out = df.withColumn("__best", F.when(silent, best))
+    out = df.withColumn("__grp", grp).join(fits.select(F.col("grp").alias("__grp"), F.struct("mean", "spread", "weights").alias("__fit")), "__grp", "left")
+    out = out.withColumn("__best", F.when(silent, F.get(options, F.lit(0))))
     return out.withColumns(
         {
             "guessed_unit": F.col("__best.unit"),
@@ -219,7 +273,7 @@ def assign_units(df: DataFrame, number_col: str, common: str, units: list[str],
             "posterior": -F.col("__best.p"),
             "uncertain": F.when(silent, -F.col("__best.p") < sure)
         }
-    ).drop("__best")
+    ).drop("__best", "__grp", "__fit")
 
 
 def guess_units(converted: DataFrame) -> DataFrame:
@@ -227,30 +281,31 @@ def guess_units(converted: DataFrame) -> DataFrame:
     parts = []
     for quantity, factors in GUESSED.items():
         rows = converted.where(F.col("quantity") == quantity)
-        parts.append(assign_units(rows, "number", "common", list(factors), list(factors.values())))
+        parts.append(assign_units(rows, "number", "common", list(factors), list(factors.values()), group="source"))
     return reduce(DataFrame.unionByName, parts).where("guessed_unit is not null")
 
 
 def convert_conditions(conditions: DataFrame, sources: DataFrame, compounds: DataFrame) -> DataFrame:
-    """(condition_id, quantity, written, unit_written, number, unit, unit_source, common).
+    """(condition_id, quantity, source, written, unit_written, number, unit, unit_source, common).
 
-    ``sources`` has a note for each data set, ``compounds`` a molar mass for each name; both
+    source: the compound of a dose, the data set of a time. ``sources`` has a note for each data set, ``compounds`` a molar mass for each name; both
     are joined by key.
     """
-    said = sources.groupBy("dataset_id").agg(F.first("protocol_note", True).alias("note"))
+    said = sources.groupBy("dataset_id").agg(F.min("protocol_note").alias("note"))
     notes = said.select(
         "dataset_id",
         note_unit(F.col("note"), "doses?|concentrations?").alias("dose_default"),
         note_unit(F.col("note"), "times?|time points?|harvest times?").alias("time_default")
     )
     masses = compounds.where("molar_mass is not null").groupBy(F.col("entry_name").alias("perturbation_id")).agg(
-        F.first("molar_mass").alias("molar_mass")
+        F.min("molar_mass").alias("molar_mass")
     )
     rows = conditions.select(
         "condition_id", "dataset_id", "perturbation_id", "dose", "dose_unit", "time", "time_unit"
     ).join(notes, "dataset_id", "left").join(masses, "perturbation_id", "left")
     one = lambda q: F.struct(
         F.lit(q).alias("quantity"),
+        F.col("perturbation_id" if q == "dose" else "dataset_id").alias("source"),
         F.col(q).alias("written"),
         F.col(f"{q}_unit").alias("unit_written"),
         F.col(f"{q}_default").alias("default_unit")
@@ -258,7 +313,9 @@ def convert_conditions(conditions: DataFrame, sources: DataFrame, compounds: Dat
     long = rows.select("condition_id", "molar_mass", F.explode(F.array(one("dose"), one("time"))).alias("q")).select(
         "condition_id", "molar_mass", "q.*"
     )
-    return to_common(read_values(long)).select("condition_id", "quantity", "written", "unit_written", "number", "unit", "unit_source", "common")
+    return to_common(read_values(long)).select(
+        "condition_id", "quantity", "source", "written", "unit_written", "number", "unit", "unit_source", "common"
+    )
 
 
 def converted_cases(converted: DataFrame) -> DataFrame:

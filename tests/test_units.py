@@ -1,7 +1,10 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from assaylake.operators.units import assign_units, convert_conditions, converted_cases
+from assaylake.operators.units import GUESSED, assign_units, convert_conditions, converted_cases
 from assaylake.plans import problems
 
 DOSES = {
@@ -117,3 +120,45 @@ def test_mixture_finds_the_scale_of_values_without_units(spark):
     got = assign_units(df, "number", "common", ["pM", "nM", "uM"], [1.0, 1e3, 1e6]).where("unit is null").collect()
     assert {r.guessed_unit for r in got} == {"uM"} and all(r.posterior > 0.9 and not r.uncertain for r in got)
     assert assign_units(df.limit(0), "number", "common", ["pM"], [1.0]).count() == 0
+
+
+def test_hidden_units_are_told_with_honest_posteriors(spark):
+    """Groups of their own scale, units hidden at random: accuracy, and posteriors that mean what they say."""
+    rng = random.Random(3)
+    units, factors = ["pM", "nM", "uM", "mM"], [1.0, 1e3, 1e6, 1e9]
+    rows = []
+    for g in range(30):
+        mean, spread = rng.uniform(3, 9), rng.uniform(0.3, 1.2)
+        for _ in range(120):
+            x, u = rng.gauss(mean, spread), rng.choices(range(4), [1, 4, 4, 1])[0]
+            hidden = rng.random() < 0.3
+            rows.append((f"g{g}", 10 ** (x - math.log10(factors[u])), None if hidden else 10**x, None if hidden else units[u], units[u]))
+    df = spark.createDataFrame(rows, "source string, number double, common double, unit string, truth string")
+    own = assign_units(df, "number", "common", units, factors, group="source").where("guessed_unit is not null").collect()
+    assert len(own) == sum(r[2] is None for r in rows)
+    right = [r.guessed_unit == r.truth for r in own]
+    everyone = assign_units(df, "number", "common", units, factors).where("guessed_unit is not null").collect()
+    assert sum(right) / len(own) > max(0.85, sum(r.guessed_unit == r.truth for r in everyone) / len(own))
+    sure = [ok for ok, r in zip(right, own) if not r.uncertain]
+    assert sum(sure) / len(sure) > 0.93 and len(sure) > 0.5 * len(own)
+    for low, high in ((0.3, 0.7), (0.7, 0.9), (0.9, 0.99), (0.99, 1.01)):
+        some = [(ok, r.posterior) for ok, r in zip(right, own) if low <= r.posterior < high]
+        if len(some) > 40:
+            assert abs(sum(ok for ok, _ in some) / len(some) - sum(p for _, p in some) / len(some)) < 0.12
+
+
+def test_units_hidden_in_the_conditions_are_recovered(spark):
+    """Times and doses of the project's own table whose unit column is blanked: how many are told, and how surely."""
+    d = "/root/testdata/sf0.01"
+    known = problems._converted(spark, d).where("common > 0 and number > 0 and unit_source = 'column'")
+    for quantity, least in (("time", 0.8), ("dose", 0.5)):
+        factors = GUESSED[quantity]
+        truth = F.element_at(F.create_map(*[F.lit(v) for u, f in factors.items() for v in (f, u)]), F.round(F.col("common") / F.col("number"), 6))
+        rows = known.where(F.col("quantity") == quantity).withColumn("truth", truth).where("truth is not null")
+        hide = F.xxhash64("condition_id") % 5 == 0
+        asked = rows.withColumns({"unit": F.when(~hide, F.col("unit")), "common": F.when(~hide, F.col("common"))})
+        got = assign_units(asked, "number", "common", list(factors), list(factors.values()), group="source").where("guessed_unit is not null").collect()
+        right = [r.guessed_unit == r.truth for r in got]
+        sure = [ok for ok, r in zip(right, got) if not r.uncertain]
+        print(quantity, len(got), sum(right) / len(got), len(sure), sum(sure) / max(1, len(sure)))
+        assert len(got) > 30 and sum(right) / len(got) >= least and sum(sure) >= 0.85 * len(sure)
