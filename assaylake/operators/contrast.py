@@ -1,7 +1,8 @@
 """Treated conditions held against controls.
 
 Controls are aggregated by each key before they are joined, so a treated condition is never
-multiplied by its controls. Strict matches win over matches of the biological context, those
+multiplied by its controls. Membership is kept in two tables as well: which key a contrast uses,
+and which controls have that key. Strict matches win over matches of the biological context, those
 over any control of the data set; existence decides, not cell counts.
 
 Defined results: null keys equal empty ones; cell counts that are no number count as 0;
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from assaylake.functions.numbering import number_rows
 from assaylake.functions.text import blank, to_count
 
+# The fields that treated and control conditions must share under each rule.
 STRICT = ["dataset_id", "cell_line", "cell_type", "disease", "time", "time_unit", "batch_id", "replicate_id"]
 BIO = ["dataset_id", "cell_line", "cell_type", "disease", "time", "time_unit"]
 DATASET = ["dataset_id"]
@@ -69,19 +71,31 @@ def condition_contrasts(conditions: DataFrame, min_treated: int = 50, min_contro
     )
 
 
+def match_key(keys: list[str]) -> Column:
+    """One text for the values of all fields of a rule."""
+    return F.to_json(F.array(*keys))
+
+
+def contrast_links(contrasts: DataFrame) -> DataFrame:
+    """(contrast_id, match_rule, match_key): the rule and key that each matched contrast uses."""
+    key = F.coalesce(*[F.when(F.col("match_rule") == rule, match_key(keys)) for rule, keys in RULES.items()])
+    return contrasts.select("contrast_id", "match_rule", key.alias("match_key")).where("match_key is not null")
+
+
+def control_keys(conditions: DataFrame) -> DataFrame:
+    """(match_rule, match_key, control_condition_id): every control under its key of each rule, three rows each."""
+    controls = prepare(conditions).where("is_control = 'true'")
+    each = F.array(*[F.struct(F.lit(rule).alias("match_rule"), match_key(keys).alias("match_key")) for rule, keys in RULES.items()])
+    return controls.select(F.col("condition_id").alias("control_condition_id"), F.explode(each).alias("k")).select("k.*", "control_condition_id")
+
+
 def contrast_controls(contrasts: DataFrame, conditions: DataFrame) -> DataFrame:
-    """(contrast_id, control_condition_id): the members behind control_match_count.
+    """(contrast_id, control_condition_id): the pairs behind control_match_count.
 
-    A bridge table, one row per pair that the contrast uses, in place of a list in a text.
+    As many rows as contrasts times controls of their key; for counts and sums join what is
+    aggregated by ``control_keys`` with ``contrast_links``.
     """
-    controls = prepare(conditions).where("is_control = 'true'")
-    parts = None
-    for rule, keys in RULES.items():
-        one = contrasts.where(F.col("match_rule") == rule).select("contrast_id", *keys).join(
-            controls.select(*keys, F.col("condition_id").alias("control_condition_id")), keys
-        ).select("contrast_id", "control_condition_id")
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    return contrast_links(contrasts).join(control_keys(conditions), ["match_rule", "match_key"]).select("contrast_id", "control_condition_id")
 
 
 def pooled_members(conditions: DataFrame) -> DataFrame:
@@ -145,8 +159,21 @@ def pooled_bridge(conditions: DataFrame, contrasts: DataFrame) -> DataFrame:
     return treated.unionByName(control)
 
 
+def pooled_links(conditions: DataFrame, contrasts: DataFrame) -> DataFrame:
+    """(contrast_id, condition_id, match_key): matched treated conditions of each contrast with their stratum.
+
+    The controls of a stratum are those of ``control_keys`` under the strict rule.
+    """
+    matched = pooled_members(conditions).where("matched")
+    return matched.join(contrasts.select("contrast_id", *CONTEXT), CONTEXT).select("contrast_id", "condition_id", match_key(STRICT).alias("match_key"))
+
+
 def member_lists(bridge: DataFrame) -> DataFrame:
-    """The members as text lists, as sinks of fixed columns want them."""
+    """The members as text lists, as sinks of fixed columns want them.
+
+    A list is as long as the contrast has members; ``contrast_links``, ``pooled_links`` and
+    ``control_keys`` hold the same in rows.
+    """
     lists = bridge.groupBy("contrast_id", "role").agg(F.concat_ws(";", F.array_sort(F.collect_set("condition_id"))).alias("ids"))
     return lists.groupBy("contrast_id").pivot("role", ["treated", "control"]).agg(F.first("ids")).select(
         "contrast_id",

@@ -54,29 +54,35 @@ def intervention_effects(sums: DataFrame, groups: DataFrame, min_cells: int = 50
 def pooled_effects(
     sums: DataFrame,
     group_of: DataFrame,
-    bridge: DataFrame,
+    links: DataFrame,
+    controls: DataFrame,
     contrasts: DataFrame,
     scale: float = 1e6,
     include: tuple[str, ...] = ("pass", "warn")
 ) -> DataFrame:
-    """Effects of the pooled contrasts with an included status, through the member table.
+    """Effects of the pooled contrasts with an included status.
 
-    group_of: (condition_id, dataset_id, group_id) of condition-level sums.
+    links: (contrast_id, condition_id, match_key) of treated conditions; controls: (match_key,
+    control_condition_id); group_of: (condition_id, group_key); sums by group_key. Controls are
+    summed once for each stratum, whatever the number of contrasts that use it.
     """
     used = contrasts.where(F.col("status").isin(*include)).select("contrast_id", "status", "perturbation_id")
-    members = bridge.join(used, "contrast_id").join(group_of, "condition_id").select("contrast_id", "role", "dataset_id", "group_id")
-    both = members.groupBy("contrast_id").agg(F.count_distinct("role").alias("k")).where("k = 2").select("contrast_id")
-    members = members.join(both, "contrast_id", "left_semi")
-    pooled = members.join(sums, ["dataset_id", "group_id"]).groupBy("dataset_id", "contrast_id", "feature_id").agg(
-        F.sum(F.when(F.col("role") == "treated", F.col("count_sum"))).alias("treated_sum"),
-        F.sum(F.when(F.col("role") == "control", F.col("count_sum"))).alias("control_sum")
-    )
+    links = links.join(used.select("contrast_id"), "contrast_id", "left_semi")
     key = ["dataset_id", "contrast_id"]
-    libs = pooled.groupBy(*key).agg(
+    treated = links.join(group_of, "condition_id").select("contrast_id", "group_key").join(sums, "group_key")
+    strata = controls.join(group_of, F.col("control_condition_id") == F.col("condition_id")).select("match_key", "group_key").join(sums, "group_key")
+    strata = strata.groupBy("match_key", "dataset_id", "feature_id").agg(F.sum("count_sum").alias("count_sum"))
+    pooled = links.select("contrast_id", "match_key").distinct().join(strata, "match_key")
+    role = lambda df, t, c: df.select(*key, "feature_id", t.alias("treated_sum"), c.alias("control_sum"))
+    none, count = F.lit(None).cast("double"), F.col("count_sum")
+    sides = role(treated, count, none).unionByName(role(pooled, none, count)).groupBy(*key, "feature_id").agg(
+        F.sum("treated_sum").alias("treated_sum"), F.sum("control_sum").alias("control_sum")
+    )
+    libs = sides.groupBy(*key).agg(
         F.coalesce(F.sum("treated_sum"), F.lit(0.0)).alias("treated_lib"), F.coalesce(F.sum("control_sum"), F.lit(0.0)).alias("control_lib")
     )
     return _delta(
-        pooled.join(libs, key).join(used, "contrast_id"),
+        sides.join(libs, key).join(used, "contrast_id"),
         [*key, "status", "perturbation_id"],
         F.col("treated_lib"),
         F.col("control_lib"),

@@ -7,10 +7,9 @@ but stays in the denominators; equal ranks are ordered by gene; an empty table g
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaylake.functions.numbering import number_rows
 from assaylake.functions.text import to_double
 
 RANKING = ["dataset_count", "dataset_sign_consistency", "sign_consistency", "hit_count", "mean_abs_effect"]
@@ -54,10 +53,9 @@ def gene_consistency(hits: DataFrame) -> DataFrame:
 
 def meta_summary(genes: DataFrame, top_n: int = 100) -> DataFrame:
     """The first genes by five descending keys, ranked. The score is reported, not ranked by."""
-    first = genes.orderBy(*[F.col(c).desc() for c in RANKING], "gene_id").limit(top_n)
-    order = {f"__{c}": -F.col(c) for c in RANKING}
-    ranked = number_rows(first.withColumns(order), [*order, "gene_id"], "rank")
-    return ranked.drop(*order)
+    order = [*[F.col(c).desc() for c in RANKING], F.col("gene_id")]
+    # the window sees the first rows only
+    return genes.orderBy(*order).limit(top_n).withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def dataset_accounting(hits: DataFrame, contrasts: DataFrame, include: tuple[str, ...] = ("pass", "warn")) -> DataFrame:

@@ -10,7 +10,7 @@ dropped; null values count as 0; zero sums are not stored; empty tables give no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.numbering import number_within
@@ -18,27 +18,41 @@ from assaylake.functions.text import blank
 from assaylake.operators.harmonize import GRAINS
 
 
+def group_key(keys: list[str]) -> Column:
+    """One short text for the values of all keys of a group, so that joins carry that and not the keys."""
+    return F.md5(F.to_json(F.array(*[blank(F.col(k).cast("string")) for k in keys])))
+
+
 def groups(cells: DataFrame, grain: str) -> DataFrame:
-    """Groups of a grain, numbered within each data set in the order they are first seen."""
+    """Groups of a grain, numbered within each data set in the order they are first seen, with their key."""
     keys = GRAINS[grain]
     each = cells.select(*[blank(F.col(k).cast("string")).alias(k) for k in keys], "cell_ord").groupBy(*keys).agg(
         F.count("*").alias("cell_count"), F.min("cell_ord").alias("first_ord")
     )
     label = F.format_string(f"%s_{grain.replace('-', '_')}_%07d", "dataset_id", "number")
-    return number_within(each, "dataset_id", ["first_ord"]).select(label.alias("group_id"), *keys, "cell_count", "first_ord")
+    return number_within(each, "dataset_id", ["first_ord"]).select(
+        label.alias("group_id"), *keys, "cell_count", "first_ord", group_key(keys).alias("group_key")
+    )
+
+
+def keyed_cells(cells: DataFrame, grain: str) -> DataFrame:
+    """(dataset_id, cell_ord, group_key) of every cell, without a join: the key is made from the cell itself."""
+    return cells.select("dataset_id", "cell_ord", group_key(GRAINS[grain]).alias("group_key"))
 
 
 def cell_groups(cells: DataFrame, grouped: DataFrame, grain: str) -> DataFrame:
     """(dataset_id, cell_ord, group_id) of every cell."""
-    keys = GRAINS[grain]
-    named = cells.select("cell_ord", *[blank(F.col(k).cast("string")).alias(k) for k in keys])
-    return named.join(grouped.select("group_id", *keys), keys).select("dataset_id", "cell_ord", "group_id")
+    return keyed_cells(cells, grain).join(grouped.select("group_id", "group_key"), "group_key").select("dataset_id", "cell_ord", "group_id")
+
 
+def pseudobulk(counts: DataFrame, membership: DataFrame, on: tuple[str, ...] = ("dataset_id", "cell_ord"), group: str = "group_id") -> DataFrame:
+    """(dataset_id, group, feature_id, count_sum) with zero sums left out.
 
-def pseudobulk(counts: DataFrame, membership: DataFrame) -> DataFrame:
-    """(dataset_id, group_id, feature_id, count_sum) with zero sums left out."""
-    joined = counts.join(membership, ["dataset_id", "cell_ord"])
-    return joined.groupBy("dataset_id", "group_id", "feature_id").agg(
+    on: what names a cell, ``cell_ord`` alone where that is unique over all data sets; then the
+    counts are joined once and need no data set of their own.
+    """
+    joined = counts.select(*on, "feature_id", "value").join(membership, list(on))
+    return joined.groupBy("dataset_id", group, "feature_id").agg(
         F.sum(F.coalesce(F.col("value"), F.lit(0)).cast("double")).alias("count_sum")
     ).where("count_sum <> 0")
 

@@ -49,6 +49,13 @@ def order_counts(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("dataset_id", "cell_ord", F.col("p_brand").alias("feature_id"), F.col("l_quantity").alias("value"))
 
 
+def order_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The same triplets without their data set, which the cells know."""
+    brands = read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("feature_id"))
+    lines = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("cell_ord"), "l_partkey", F.col("l_quantity").alias("value"))
+    return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).select("cell_ord", "feature_id", "value")
+
+
 def latest_cells(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """Each cell as it was loaded last, with the named columns (or all): only these are shuffled."""
     rows = read(spark, d, "obs_cells")
@@ -61,11 +68,15 @@ def latest_conditions(spark: SparkSession, d: str) -> DataFrame:
     return latest(read(spark, d, "conditions"), ["condition_id"], "loaded_at")
 
 
-def _grouped(spark: SparkSession, d: str, grain: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cells = order_cells(spark, d)
-    groups = cut(pseudobulk.groups(cells, grain))
-    # the sums are a stage's output and feed several branches: they are written once
-    return cells, groups, cut(pseudobulk.pseudobulk(order_counts(spark, d), pseudobulk.cell_groups(cells, groups, grain)))
+def _sums(spark: SparkSession, d: str, grain: str) -> DataFrame:
+    """Sums by group key: the counts are joined once, with the key that each cell makes itself."""
+    return pseudobulk.pseudobulk(order_lines(spark, d), pseudobulk.keyed_cells(order_cells(spark, d), grain), ("cell_ord",), "group_key")
+
+
+def _grouped(spark: SparkSession, d: str, grain: str) -> tuple[DataFrame, DataFrame]:
+    groups = pseudobulk.groups(order_cells(spark, d), grain)
+    named = _sums(spark, d, grain).join(groups.select("group_key", "group_id"), "group_key")
+    return groups, named.select("dataset_id", "group_id", "feature_id", "count_sum")
 
 
 def obs_harmonize(spark: SparkSession, d: str) -> DataFrame:
@@ -104,25 +115,26 @@ def groups_bio_condition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pseudobulk_intervention(spark: SparkSession, d: str) -> DataFrame:
-    return _grouped(spark, d, "intervention")[2]
+    return _grouped(spark, d, "intervention")[1]
 
 
 def pseudobulk_condition(spark: SparkSession, d: str) -> DataFrame:
-    return _grouped(spark, d, "condition")[2]
+    return _grouped(spark, d, "condition")[1]
 
 
 def library_size(spark: SparkSession, d: str) -> DataFrame:
-    return pseudobulk.library_sizes(_grouped(spark, d, "condition")[2], ["dataset_id", "group_id"])
+    return pseudobulk.library_sizes(_grouped(spark, d, "condition")[1], ["dataset_id", "group_id"])
 
 
 def cpm_log1p(spark: SparkSession, d: str) -> DataFrame:
-    sums = pseudobulk.normalize_sums(_grouped(spark, d, "bio-condition")[2], ["dataset_id", "group_id"], SCALE)
+    sums = pseudobulk.normalize_sums(cut(_grouped(spark, d, "bio-condition")[1]), ["dataset_id", "group_id"], SCALE)
     return sums.select("dataset_id", "group_id", "feature_id", F.round("log1p_cpm", 6).alias("log1p_cpm"))
 
 
 def _bio_effects(spark: SparkSession, d: str) -> DataFrame:
-    _, groups, sums = _grouped(spark, d, "bio-condition")
-    return effects.intervention_effects(sums, groups, MIN_CELLS, SCALE)
+    groups, sums = _grouped(spark, d, "bio-condition")
+    # the sums are a stage's output and feed several branches: they are written once
+    return effects.intervention_effects(cut(sums), groups, MIN_CELLS, SCALE)
 
 
 def effects_intervention(spark: SparkSession, d: str) -> DataFrame:
@@ -165,8 +177,8 @@ def gene_ranking(spark: SparkSession, d: str) -> DataFrame:
     From cells and counts to the ranking: sums per intervention, controls of each data set,
     log1p(CPM) differences, the largest of them, and their agreement within and across data sets.
     """
-    _, groups, sums = _grouped(spark, d, "intervention")
-    hits = cut(top_hits(effects.intervention_effects(sums, groups, MIN_CELLS, SCALE)))
+    groups, sums = _grouped(spark, d, "intervention")
+    hits = cut(top_hits(effects.intervention_effects(cut(sums), groups, MIN_CELLS, SCALE)))
     rated = hits.select("dataset_id", "contrast_id", "gene_id", F.col("effect_size").alias("effect"), F.lit("pass").alias("status"))
     return meta.meta_summary(meta.gene_consistency(rated).withColumns({c: F.round(c, 6) for c in ROUNDED}), 100)
 
@@ -176,14 +188,15 @@ def contrast_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 
 def contrast_controls(spark: SparkSession, d: str) -> DataFrame:
-    """How many control conditions each contrast uses, counted from the member table."""
+    """How many control conditions each contrast uses: controls are counted by key, then looked up."""
     rows = latest_conditions(spark, d)
-    made = contrast.condition_contrasts(rows)
-    return contrast.contrast_controls(made, rows).groupBy("contrast_id").agg(
+    counted = contrast.control_keys(rows).groupBy("match_rule", "match_key").agg(
         F.count("*").alias("members"),
         F.min("control_condition_id").alias("first_control"),
         F.max("control_condition_id").alias("last_control")
     )
+    links = contrast.contrast_links(contrast.condition_contrasts(rows))
+    return links.join(counted, ["match_rule", "match_key"]).select("contrast_id", "members", "first_control", "last_control")
 
 
 def contrast_pooled(spark: SparkSession, d: str) -> DataFrame:
@@ -204,13 +217,12 @@ def contrast_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def _pooled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Effects and contrasts of pooled conditions of the orders."""
-    cells, groups, sums = _grouped(spark, d, "condition")
-    named = harmonize.conditions(cells)
+    named = harmonize.conditions(order_cells(spark, d))
     made = contrast.pooled_contrasts(named, **POOLED)
-    group_of = named.select("condition_id", *CONDITION).join(groups.select("group_id", *CONDITION), CONDITION).select(
-        "condition_id", "dataset_id", "group_id"
-    )
-    return effects.pooled_effects(sums, group_of, contrast.pooled_bridge(named, made), made, SCALE), made
+    group_of = named.select("condition_id", pseudobulk.group_key(CONDITION).alias("group_key"))
+    controls = contrast.control_keys(named).where("match_rule = 'strict_context_batch_replicate'")
+    sums = cut(_sums(spark, d, "condition"))
+    return effects.pooled_effects(sums, group_of, contrast.pooled_links(named, made), controls, made, SCALE), made
 
 
 def effects_pooled(spark: SparkSession, d: str) -> DataFrame:
