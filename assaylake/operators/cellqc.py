@@ -84,7 +84,10 @@ def perturbation_qc(vectors: DataFrame, has_batch: bool, min_cells: int = 50, mi
 def dataset_qc(vectors: DataFrame, profiles: DataFrame, has_batch: bool, min_control: int = 50) -> DataFrame:
     """Counts and checks of each data set.
 
-    profiles: dataset_id, n_obs, integer_like, count_layers (how many raw objects or layers).
+    profiles: dataset_id, n_obs, integer_like, count_layers (how many raw objects or layers), and
+    where they are known input_present, admission_status and profile_warnings (an array that is
+    carried on after the data set's own warnings, each text once); a check whose column the table
+    lacks is not made.
     """
     per_label = vectors.groupBy("dataset_id", "perturbation_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("control"), 1)).alias("c"))
     missing = F.col("perturbation_id") == "<missing>"
@@ -96,16 +99,26 @@ def dataset_qc(vectors: DataFrame, profiles: DataFrame, has_batch: bool, min_con
     )
     rows = sums.join(profiles, "dataset_id", "left")
     m, c = F.col("missing_perturbation_cells"), F.col("control_cells")
+    known = []
+    if "input_present" in profiles.columns:
+        known.append((~F.coalesce("input_present", F.lit(False)), "analysis input file is missing", []))
+    if "admission_status" in profiles.columns:
+        status = F.col("admission_status")
+        known.append((~F.coalesce(status.startswith("pass"), F.lit(False)), "release admission is not pass-like: %s", [F.coalesce(status, F.lit("None"))]))
     failures = messages(
+        *known,
         (~F.coalesce("integer_like", F.lit(False)), "sampled matrix values are not integer-like", []),
         (~F.col("n_obs").eqNullSafe(F.col("cells")), "profile n_obs does not match observed perturbation vector", []),
         (m > 0, "missing perturbation labels: %d", [m]),
         (c < min_control, "control cells below threshold: %d < %d", [c, F.lit(min_control)]),
     )
-    warnings = messages(
-        (F.coalesce("count_layers", F.lit(0)) == 0, "no raw object or count layer; X is treated as counts", []),
-        (F.lit(not has_batch), "no explicit batch/replicate column found", [])
+    own = F.array(
+        F.when(F.coalesce("count_layers", F.lit(0)) == 0, "no raw object or count layer; X is treated as counts"),
+        F.when(F.lit(not has_batch), "no explicit batch/replicate column found")
     )
+    if "profile_warnings" in profiles.columns:
+        own = F.concat(own, F.coalesce("profile_warnings", F.array().cast("array<string>")))
+    warnings = F.array_join(F.array_distinct(F.filter(own, lambda w: w.isNotNull())), "; ")
     out = rows.withColumns({"failures": failures, "warnings": warnings})
     return out.select(
         "dataset_id",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from assaylake.functions.numbering import number_rows
 from assaylake.functions.text import blank, to_count
+from assaylake.operators.harmonize import only_datasets
 
 # The fields that treated and control conditions must share under each rule.
 STRICT = ["dataset_id", "cell_line", "cell_type", "disease", "time", "time_unit", "batch_id", "replicate_id"]
@@ -37,9 +38,9 @@ def messages(*parts: tuple[Column, str, list]) -> Column:
     return F.concat_ws("; ", *[F.when(cond, F.format_string(text, *args) if args else F.lit(text)) for cond, text, args in parts])
 
 
-def condition_contrasts(conditions: DataFrame, min_treated: int = 50, min_control: int = 50) -> DataFrame:
-    """Every treated condition with the controls of the first rule that finds any."""
-    rows = prepare(conditions)
+def condition_contrasts(conditions: DataFrame, min_treated: int = 50, min_control: int = 50, datasets: list[str] | None = None) -> DataFrame:
+    """Every treated condition (of the named data sets) with the controls of the first rule that finds any."""
+    rows = prepare(only_datasets(conditions, datasets))
     treated, controls = rows.where("is_control <> 'true'"), rows.where("is_control = 'true'")
     out = number_rows(treated, ["condition_id"])
     for i, keys in enumerate(RULES.values()):
@@ -106,12 +107,14 @@ def pooled_members(conditions: DataFrame) -> DataFrame:
     return treated.join(pool, STRICT, "left").withColumn("matched", F.col("stratum_controls").isNotNull())
 
 
-def pooled_contrasts(conditions: DataFrame, min_treated: int = 50, min_control: int = 50, min_strata: int = 2) -> DataFrame:
-    """One contrast per context, over its batch and replicate strata that have controls.
+def pooled_contrasts(
+    conditions: DataFrame, min_treated: int = 50, min_control: int = 50, min_strata: int = 2, datasets: list[str] | None = None
+) -> DataFrame:
+    """One contrast per context (of the named data sets), over its batch and replicate strata that have controls.
 
     Strata are disjoint sets of controls, so each is counted once per context.
     """
-    members = pooled_members(conditions)
+    members = pooled_members(only_datasets(conditions, datasets))
     strata = members.groupBy(*CONTEXT, *STRATUM).agg(
         F.sum(F.when(F.col("matched"), F.col("cells")).otherwise(0)).alias("t_cells"),
         F.count(F.when(F.col("matched"), 1)).alias("t_n"),

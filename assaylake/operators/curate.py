@@ -91,6 +91,16 @@ def compare(left: DataFrame, right: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when((F.col("only_left") == 0) & (F.col("only_right") == 0), "pass").otherwise("fail"))
 
 
+def digest(rows: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """(by, n_rows, digest) of each group's rows, whatever their order: 60 bits of each row's checksum, joined by xor.
+
+    Rows have to be distinct, as a row given twice would cancel itself; nulls are left out of a row's text.
+    """
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return rows.groupBy(by).agg(F.count("*").alias("n_rows"), F.bit_xor(bits).alias("digest"))
+
+
 def islands(ordinals: DataFrame, key: str, ordinal: str) -> DataFrame:
     """Contiguous runs of ordinals of each key: (key, first, last, n).
 

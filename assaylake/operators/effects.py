@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.functions.numbering import number_within
+from assaylake.operators.harmonize import only_datasets
 from assaylake.operators.pseudobulk import log1p_cpm
 
 
@@ -25,11 +26,14 @@ def _delta(sides: DataFrame, key: list[str], treated_lib: Column, control_lib: C
     )
 
 
-def intervention_effects(sums: DataFrame, groups: DataFrame, min_cells: int = 50, scale: float = 1e6) -> DataFrame:
-    """Each treated group against all control groups of its data set, summed once.
+def intervention_effects(
+    sums: DataFrame, groups: DataFrame, min_cells: int = 50, scale: float = 1e6, datasets: list[str] | None = None
+) -> DataFrame:
+    """Each treated group (of the named data sets) against all control groups of its data set, summed once.
 
     A data set without controls, or without a treated group of ``min_cells``, gives no rows.
     """
+    sums, groups = only_datasets(sums, datasets), only_datasets(groups, datasets)
     roles = groups.select("group_id", "dataset_id", (F.col("is_control") == "true").alias("control"), "cell_count", "perturbation_id", "first_ord")
     treated = roles.where(~F.col("control") & (F.col("cell_count") >= min_cells))
     treated = number_within(treated, "dataset_id", ["first_ord"]).withColumn(

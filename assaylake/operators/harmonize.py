@@ -156,6 +156,11 @@ def count_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
     return _keys(cells, keys).groupBy(*keys).agg(F.count("*").alias("cell_count"))
 
 
+def only_datasets(df: DataFrame, datasets: list[str] | None) -> DataFrame:
+    """The rows of the named data sets; all rows where none is named. The filter reaches the scan."""
+    return df.where(F.col("dataset_id").isin(*datasets)) if datasets else df
+
+
 def conditions(cells: DataFrame) -> DataFrame:
     """Numbered conditions: ``condition_0000001`` and so on in the order of their 13 keys."""
     out = number_rows(count_cells(cells, CONDITION), CONDITION)

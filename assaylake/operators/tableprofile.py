@@ -65,6 +65,34 @@ def value_counts(df: DataFrame, columns: list[str], limit: int = 20) -> DataFram
     return each.withColumn("place", at).where(F.col("place") <= limit)
 
 
+def category_sample(df: DataFrame, columns: list[str], limit: int = 20) -> DataFrame:
+    """(column_name, n_sampled, categories): the first values of each column in code point order.
+
+    Values are made distinct and cut to ``limit`` of a column before they are brought together.
+    """
+    cells = df.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+        ).alias("x")
+    ).select("x.*")
+    each = cells.where("value is not null").distinct()
+    first = each.withColumn("at", F.row_number().over(Window.partitionBy("column_name").orderBy("value"))).where(F.col("at") <= limit)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"])
+    return first.groupBy("column_name").agg(F.count("*").alias("n_sampled"), F.array_join(ordered, ";").alias("categories"))
+
+
+def counts_locations(locations: DataFrame) -> DataFrame:
+    """(dataset_id, x_present, raw_present, layers) from rows of dataset_id and location.
+
+    A location is ``X``, ``raw/...`` or ``layers/name``; layers are the sorted names in one text.
+    """
+    at = F.col("location")
+    layers = F.array_sort(F.collect_set(F.when(at.startswith("layers/"), F.substring(at, 8, 1 << 20))))
+    return locations.where(at.isNotNull()).groupBy("dataset_id").agg(
+        F.bool_or(at == "X").alias("x_present"), F.bool_or(at.startswith("raw")).alias("raw_present"), F.array_join(layers, ";").alias("layers")
+    )
+
+
 def integer_like(value: Column) -> Column:
     """Finite and equal to a whole number within the usual tolerance."""
     r = F.rint(value)

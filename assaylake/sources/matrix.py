@@ -33,6 +33,17 @@ def dense_triplets(rows: DataFrame) -> DataFrame:
     return rows.select("dataset_id", "cell_ord", F.posexplode("values").alias("feature_ord", "value")).where("value is not null and value <> 0")
 
 
+def triplets(encoding: str, **tables: DataFrame) -> DataFrame:
+    """Triplets of a matrix of the named encoding; any other one raises ``ValueError``.
+
+    ``csr_matrix`` and ``csc_matrix`` take pointers and entries, ``array`` takes rows.
+    """
+    readers = {"csr_matrix": csr_triplets, "csc_matrix": csc_triplets, "array": dense_triplets}
+    if encoding not in readers:
+        raise ValueError(f"unsupported matrix encoding: {encoding}")
+    return readers[encoding](**tables)
+
+
 def decode_categories(cells: DataFrame, codes: str, categories: DataFrame, name: str) -> DataFrame:
     """Category names in place of codes; categories has dataset_id, code and category."""
     named = categories.select("dataset_id", F.col("code").alias(codes), F.col("category").alias(name))

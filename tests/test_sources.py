@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +113,39 @@ def test_repeated_deliveries_are_dropped_in_a_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("firsts").count() == 2
+
+
+def test_encodings_are_told_apart(spark):
+    rows = spark.createDataFrame([("d", 0, [0.0, 2.0])], "dataset_id string, cell_ord int, values array<double>")
+    assert [tuple(r) for r in matrix.triplets("array", rows=rows).collect()] == [("d", 0, 1, 2.0)]
+    with pytest.raises(ValueError, match="unsupported"):
+        matrix.triplets("coo_matrix", rows=rows)
+
+
+def test_artifacts_are_validated_and_chosen(spark):
+    good = ("a.h5", "https://x/a.h5", 5, "md5", "0" * 32)
+    rows = [good, ("b/c", "https://x", 1, "md5", None), ("d", "http://x", 1, None, None), ("e", "https://x", -1, None, None), ("f", "https://x", None, "sha256", "0" * 32), (None,) * 5]
+    df = spark.createDataFrame(rows, "name string, url string, size_bytes long, algorithm string, checksum string")
+    assert {tuple(r) for r in files.invalid_artifacts(df).collect()} == {("b/c", "name"), ("d", "url"), ("e", "size"), ("f", "checksum"), (None, "name")}
+    names = spark.createDataFrame([("a.h5",), ("d",)], "name string")
+    assert [r.name for r in files.chosen_artifacts(df, names).collect()] == ["a.h5", "d"]
+    with pytest.raises(ValueError, match="zz"):
+        files.chosen_artifacts(df, spark.createDataFrame([("zz",)], "name string"))
+
+
+def test_stage_manifest_and_paths(spark, tmp_path):
+    rows = spark.createDataFrame([("pass", "b", 1), ("warn", "a", 2), ("pass", "a", 3)], "status string, dataset_id string, n int")
+    found = files.stage_manifest("meta", rows, {"min_cells": np.int64(15)}, ["y", "x"], rows, rows.orderBy("n"), 2)
+    assert found["counts"] == {"pass": 2, "warn": 1} and found["total"] == 3 and found["datasets"] == ["a", "b"] and [r["n"] for r in found["head"]] == [1, 2]
+    path = str(tmp_path / "m.json")
+    files.write_manifest(found | {"datasets": {"b", "a"}}, path)
+    assert files.read_optional_json(path)["thresholds"] == {"min_cells": 15} and files.read_manifest(path)["datasets"] == ["a", "b"]
+    assert files.read_optional_json(None) is None and files.read_optional_json(path + "x") is None
+    assert files.resolve_path("/a/b") == "/a/b" and files.resolve_path("m.json", "/nowhere", str(tmp_path)) == path
+    assert files.resolve_path("q", "/nowhere", "/other") == "/other/q"
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n"x\ny",1\nz,2\n')
+    rows = files.read_text_table(spark, str(tmp_path / "t.csv"), ["a", "b"], line_breaks=True).collect()
+    assert [tuple(r) for r in rows] == [("x\ny", "1"), ("z", "2")]
