@@ -1,20 +1,23 @@
 """Garbled text from wrong character encodings: find it and restore it where nothing was lost.
 
-A noisy-channel decoder. The channel model is a list of (read as, written in) encodings; a
-token of text is turned back into the bytes it was read from and decoded as it was written,
-which gives the lattice of what the token may have been; U+FFFD are wildcards for lost bytes.
+A noisy-channel decoder. The channel model is a list of (read as, written in) encodings. A token
+of text is turned back into a lattice of the bytes it was read from, with a wildcard for every
+byte that was lost to U+FFFD, and the lattice is decoded as it was written: one without
+wildcards gives one text at most, one with wildcards every word of the corpus whose bytes fit.
 The source model are the frequencies of words and characters over the whole corpus. A Viterbi
 search through the tokens of a text picks the likeliest run of channels, the clean one being
 free and every change into another one costing ``enter``.
 
 Everything that depends on the corpus is counted and joined by Spark: distinct tokens, word
-frequencies, candidate scores. Only candidates that could be on a best path reach the texts.
+frequencies, candidate scores, and the words that fit a lattice with wildcards, which are joined
+by their shape and one of the bytes that are known. Only candidates that could be on a best path
+reach the texts.
 
 Defined results: null and empty texts are never garbled; a text with characters lost to
 U+FFFD inside words has an empty ``restored_md5`` (a guess fills ``guess`` where the corpus
-knows a fitting word); tokens that are right stay untouched, whatever stands beside them; a
-U+FFFD that stands alone is text like any other; a row without a key gives no row, as its
-text could not be named; an empty table gives no rows.
+knows a fitting word, the commonest, then the last in code point order); tokens that are right
+stay untouched, whatever stands beside them; a U+FFFD that stands alone is text like any other;
+a row without a key gives no row, as its text could not be named; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +70,18 @@ CHANNELS = [
     ("cp1252", "euc_jp"),
     ("cp1252", "euc_kr"),
 ]
+# Other encodings that UTF-8 is taken for, and other pairs of one script.
+_SEEN = {("utf-8", "utf-8"), *CHANNELS}
+_MULTIBYTE = ["gbk", "big5", "shift_jis", "euc_jp", "euc_kr"]
+_WESTERN, _CYRILLIC = ["cp1252", "mac_roman", "cp437", "cp850"], ["cp1251", "koi8-r", "cp866"]
+_OTHERS = ["cp1250", "iso8859-2", "cp1253", "cp1254", "cp1257", *_CYRILLIC]
+CHANNELS += [
+    c for c in [
+        *((r, "utf-8") for r in ["iso8859-2", "cp1253", "cp1255", "cp1256", "cp1257", *_MULTIBYTE]),
+        *((r, w) for group in (_WESTERN, _CYRILLIC) for r in group for w in group if r != w),
+        *((r, w) for r in ("cp1252", "cp437") for w in _OTHERS)
+    ] if c not in _SEEN
+]
 CLEAN, WILDCARD = -1, -2
 LOST = "�"
 TOKEN = re.compile(r"[^ \t\r\n]+")
@@ -92,25 +106,42 @@ def table(encoding: str) -> dict[str, int]:
     return _TABLES[encoding]
 
 
-def reread(text: str, read_as: str, written_in: str) -> str | None:
-    """What ``text`` was before, or None if it can't have come this way."""
+def lattice(text: str, read_as: str) -> list[int] | None:
+    """The bytes that a text was read from, -1 for a lost one; None if it can't have been read so."""
+    out: list[int] = []
+    if read_as in _MULTIBYTE or read_as == "utf-8":
+        for i, part in enumerate(text.split(LOST)):
+            try:
+                out += ([-1] if i else []) + list(part.encode(read_as))
+            except UnicodeEncodeError:
+                return None
+        return out
     known = table(read_as)
+    for c in text:
+        b = -1 if c == LOST else known.get(c)
+        if b is None:
+            return None
+        out.append(b)
+    return out
+
+
+def decode(bytes_of: list[int] | None, written_in: str) -> str | None:
+    """The text of a lattice without wildcards; None if there is none."""
     try:
-        back = bytes([known[c] for c in text]).decode(written_in)
-    except (KeyError, UnicodeDecodeError):
+        return bytes(bytes_of).decode(written_in) if bytes_of is not None and -1 not in bytes_of else None
+    except UnicodeDecodeError:
         return None
+
+
+def reread(text: str, read_as: str, written_in: str) -> str | None:
+    """What ``text`` was before, or None if it can't have come this way."""
+    back = decode(lattice(text, read_as), written_in)
     return back if back != text else None
 
 
 def unchanged(text: str, channel: int) -> bool:
     """Whether the text comes through the channel as it is."""
-    if not 0 <= channel < len(CHANNELS):
-        return False
-    known = table(CHANNELS[channel][0])
-    try:
-        return bytes([known[c] for c in text]).decode(CHANNELS[channel][1]) == text
-    except (KeyError, UnicodeDecodeError):
-        return False
+    return 0 <= channel < len(CHANNELS) and decode(lattice(text, CHANNELS[channel][0]), CHANNELS[channel][1]) == text
 
 
 def plausible(text: str) -> bool:
@@ -148,6 +179,11 @@ def units(text: str) -> list[str]:
     return [*kinds, "t" + text]
 
 
+def shape(bytes_of: list[int]) -> str:
+    """The ASCII bytes of a lattice as they are, every other byte, known or lost, as one U+FFFD."""
+    return "".join(chr(b) if 0 <= b < 128 else LOST for b in bytes_of)
+
+
 def skeleton(token: str) -> str:
     """The token with each character beyond ASCII as so many lost bytes."""
     return re.sub(r"[^\x00-\x7f]", lambda m: LOST if m[0] == LOST else LOST * len(m[0].encode("utf-8", "surrogatepass")), token)
@@ -159,21 +195,10 @@ def lost(token: str) -> bool:
 
 
 def fits(token: str, word: str) -> bool:
-    """Whether the word can be the token before bytes were lost."""
-    at, i = 0, 0
-    while i < len(token):
-        if token[i] != LOST:
-            if at >= len(word) or word[at] != token[i]:
-                return False
-            at, i = at + 1, i + 1
-            continue
-        if at >= len(word) or word[at].isascii():
-            return False
-        size = len(word[at].encode())
-        if token[i : i + size] != LOST * size:
-            return False
-        at, i = at + 1, i + size
-    return at == len(word)
+    """Whether the word can be the token before bytes of its UTF-8 were lost."""
+    own, held = lattice(token, "utf-8"), list(word.encode("utf-8", "surrogatepass"))
+    # a character is lost as a whole or not at all
+    return len(own) == len(held) and all(x in (-1, y) for x, y in zip(own, held)) and skeleton(token) == skeleton(word)
 
 
 def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,17 +245,56 @@ def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lattices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lattices with wildcards of damaged tokens, for UTF-8 that lost bytes itself or was misread besides."""
+    ways = ["utf-8", *dict.fromkeys(r for r, w in CHANNELS if w == "utf-8")]
     for b in batches:
-        t = b.column(0).to_pylist()
+        rows = []
+        for t in b.column(0).to_pylist():
+            for way in ways:
+                own = lattice(t, way)
+                if own is None or -1 not in own or (way != "utf-8" and all(x < 128 for x in own)):
+                    continue  # nothing beyond ASCII but the gaps: the way makes no difference
+                at = next((i for i, x in enumerate(own) if x > 127), -1)
+                rows.append((t, own, shape(own), at, own[at] if at >= 0 else -1))
+        cols = list(zip(*rows)) or [[]] * 5
+        kinds = [pa.string(), pa.list_(pa.int32()), pa.string(), pa.int32(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["token", "lattice", "shape", "at", "byte"])
+
+
+def _lost_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield b.filter(pa.array([lost(t) for t in b.column(0).to_pylist()], pa.bool_())).select(["token"])
+
+
+def _word_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        raw = [t.encode("utf-8", "surrogatepass") for t in b.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*b.columns, pa.array([skeleton(x) for x in t], pa.string()), pa.array([lost(x) for x in t])],
-            names=["token", "n", "skeleton", "lost"]
+            [*b.columns, pa.array([shape(r) for r in raw], pa.string()), pa.array([list(r) for r in raw], pa.list_(pa.int32()))],
+            names=[*b.schema.names, "shape", "bytes"]
         )
 
 
-def _fitting(token: pd.Series, word: pd.Series) -> pd.Series:
-    return pd.Series([w is not None and fits(t, w) for t, w in zip(token, word)], dtype=bool)
+def fill_wildcards(tokens: DataFrame) -> DataFrame:
+    """(token, word, n): the commonest word of the corpus that fits a lattice of each damaged token.
+
+    tokens: token and n. Lattices and words are joined by their shape and the first byte beyond
+    ASCII that is known; where none is, the commonest word of the shape fits.
+    """
+    damaged = tokens.where(F.col("token").contains(LOST)).select("token")
+    lattices = cut(damaged.mapInArrow(_lattices, "token string, lattice array<int>, shape string, at int, byte int"))
+    words = tokens.where(~F.col("token").contains(LOST)).mapInArrow(_word_bytes, "token string, n bigint, shape string, bytes array<int>")
+    words = cut(words.withColumnRenamed("token", "word").join(lattices.select("shape").distinct(), "shape", "left_semi"))
+    each = words.select("*", F.posexplode("bytes").alias("at", "byte")).where("byte > 127")
+    fit = lattices.where("at >= 0").join(each, ["shape", "at", "byte"]).where(
+        F.forall(F.zip_with("lattice", "bytes", lambda x, y: (x == -1) | (x == y)), lambda ok: ok)
+    )
+    best = lambda: F.max_by(F.struct("word", "n"), F.struct("n", "word")).alias("w")
+    common = words.groupBy("shape").agg(best())
+    bare = lattices.where("at < 0").join(common, "shape").select("token", "w.word", "w.n")
+    found = fit.select("token", "word", "n").unionByName(bare)
+    return found.groupBy("token").agg(best()).select("token", "w.word", "w.n")
 
 
 def decode_path(tokens: list[str], known: dict[str, list[tuple[list[int], str, float]]], enter: float) -> list[tuple[int, str]]:
@@ -348,18 +412,12 @@ def restore_garbled(df: DataFrame, key: str, text: str, enter: float = 4.0, east
         lambda a: a["gain"] > -enter
     )
     suspects = suspects.select("token", gained.alias("cands")).where(F.size("cands") > 0)
-    # lost bytes: the commonest clean token that has as many bytes in the same places
-    marked = tokens.mapInArrow(_skeletons, "token string, n bigint, skeleton string, lost boolean")
-    full = marked.where(~F.col("token").contains(LOST)).groupBy("skeleton").agg(F.max_by("token", "n").alias("word"))
-    fitting = F.pandas_udf(_fitting, "boolean")
-    holes = marked.where("lost").join(full, "skeleton", "left").select(
+    # lost bytes: what fits the lattice, or the token as it is, so that its text is named
+    whole = tokens.where(F.col("token").contains(LOST)).mapInArrow(_lost_tokens, "token string")
+    holes = whole.join(fill_wildcards(tokens), "token", "left").select(
         "token",
         F.array(
-            F.struct(
-                F.array(F.lit(WILDCARD)).alias("channels"),
-                F.when(fitting("token", "word"), F.col("word")).otherwise(F.col("token")).alias("text"),
-                F.lit(2 * enter).alias("gain")
-            )
+            F.struct(F.array(F.lit(WILDCARD)).alias("channels"), F.coalesce("word", "token").alias("text"), F.lit(2 * enter).alias("gain"))
         ).alias("cands")
     )
     known = cut(suspects.unionByName(holes))

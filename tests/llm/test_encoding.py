@@ -107,4 +107,46 @@ def test_weak_evidence_adds_up_over_the_places_of_a_word(spark):
 
 def test_wildcards():
     assert E.skeleton("funció") == "funci��" and E.fits("funci��n", "función") and not E.fits("funci�n", "función")
+    assert E.lattice("caf\u00c3\ufffd", "cp1252") == [99, 97, 102, 0xC3, -1] and E.lattice("\u4e2d", "cp1252") is None
     assert E.lost("a�") and E.lost("��") and not E.lost("'�'")
+
+
+OUTSIDE = [
+    (0, "utf-8", "gbk"), (2, "utf-8", "cp1253"), (3, "utf-8", "iso8859-2"), (4, "cp866", "cp437"), (9, "utf-8", "cp1257"), (0, "cp850", "mac_roman"),
+    (4, "utf-8", "gbk"), (5, "cp866", "koi8-r"), (3, "iso8859-2", "cp1252"), (9, "cp850", "cp437"),
+]
+
+
+def strictly(line, written, read):
+    """The words of a line that can be read in the wrong encoding without loss."""
+    kept = []
+    for w in line.split():
+        try:
+            bad = w.encode(written).decode(read)
+        except UnicodeError:
+            continue
+        if bad.encode(read) == w.encode(written) and not any(c.isspace() or c < " " or "\x7f" <= c < "\xa0" for c in bad):
+            kept.append((bad, w))
+    return kept
+
+
+def test_channels_beyond_the_usual_ones(spark):
+    """Other readings of UTF-8, also in encodings of several bytes, and other pairs of one script."""
+    docs, want = [(i, "\n".join(f"// {LINES[(i + k) % len(LINES)]}" for k in range(4))) for i in range(300)], {}
+    for key, (line, written, read) in enumerate(OUTSIDE, 1000):
+        pairs = strictly(LINES[line], written, read)
+        assert any(a != b for a, b in pairs), (line, written, read)
+        docs.append((key, "# " + " ".join(a for a, _ in pairs)))
+        want[key] = "# " + " ".join(b for _, b in pairs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.restored for r in E.restore_garbled(df, "doc_id", "text").collect()}
+    assert got == want
+
+
+def test_wildcards_in_misread_text_are_filled(spark):
+    """UTF-8 read as another encoding and then damaged: the lattice keeps the bytes that are known."""
+    docs = [(i, f"// café {LINES[2]} {LINES[0]}") for i in range(20)] + [(50, "x cafÃ\ufffd y"), (51, "z GrÃ\ufffdÃ\u0178e"), (52, "w gr\ufffd\ufffd")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in E.restore_garbled(df, "doc_id", "text").collect()}
+    assert got[50].guess == "x café y" and got[51].guess == "z Größe" and got[52].guess == "w gr\ufffd\ufffd"
+    assert all(got[k].restored is None and got[k].restored_md5 == "" for k in (50, 51, 52))
