@@ -2,11 +2,18 @@
 
 The encoder is a streaming transducer. Reading bytes from left to right it keeps, for each
 position, the last token of the encoding of everything up to there: the longest token ending
-there that is compatible with the last token at its own start. Only positions within the
-vocabulary's sufficient lookahead, its longest token, can still matter, so a token is given
-out as soon as the paths of all those positions run through it. Memory stays constant however
-long the text is. Short pieces of text are looked up in a bounded cache of what the transducer
-gave for them.
+there that is compatible with the last token at its own start. The part of an encoding before
+any of its token boundaries is the encoding of that part of the text, so these last tokens
+chain up to the encodings of all prefixes.
+
+The sufficient lookahead is computed from the merge list. Whatever bytes follow the end of what
+was read, the encoding of the longer text either has a boundary there, or a token across it; and
+that token starts where the bytes up to the end are a proper prefix of some token. So the
+encoding runs through one of these live positions, at most ``lookahead`` of them, the length of
+the longest token less one, and through the chain of last tokens before it. A token is given out
+as soon as the chains of all live positions share it: no later byte can change it then. Memory
+stays constant however long the text is. Short pieces of text are looked up in a bounded cache
+of what the transducer gave for them.
 
 Defined results: an empty or null text has an empty list of ids; strings of special tokens
 inside a text are ordinary text; a null document id is kept; decoding puts U+FFFD for bytes
@@ -47,7 +54,9 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.lookahead = max(map(len, ranks))
+        self.longest = max(map(len, ranks))
+        self.lookahead = self.longest - 1
+        self.prefixes: set[bytes] | None = None
         self.lengths: dict[bytes, list[int]] = {}
         for t in ranks:  # lengths of the tokens that end with these two bytes, longest first
             self.lengths.setdefault(t[-2:], []).append(len(t))
@@ -64,6 +73,13 @@ class Transducer:
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return parts
 
+    def live(self, last: list, window: bytes) -> set[int]:
+        """Positions that the encoding of any longer text may run through: its end, and where a
+        token across the end can start."""
+        if self.prefixes is None:
+            self.prefixes = {t[:n] for t in self.ranks for n in range(len(t))}
+        return {i for i in range(max(0, len(window) - self.lookahead), len(window) + 1) if last[i] is not None and window[i:] in self.prefixes}
+
     def compatible(self, a: bytes, b: bytes) -> bool:
         """Whether tokens a and b can stand side by side in an encoding."""
         known = self.fits.get((a, b))
@@ -83,7 +99,7 @@ class Transducer:
         for chunk in chunks:
             window += chunk
             for i in range(len(last), len(window) + 1):
-                end = window[max(0, i - self.lookahead) : i]
+                end = window[max(0, i - self.longest) : i]
                 found = None
                 for n in [*lengths.get(end[-2:], ()), *([] if len(end) == 1 else [1])] if i else ():
                     if n > i:
@@ -98,8 +114,8 @@ class Transducer:
                         found = t
                         break
                 last.append(found)
-            if len(window) > 8 * self.lookahead:
-                live = {i for i in range(len(last) - self.lookahead, len(last)) if last[i]}
+            if len(window) > 8 * self.longest:
+                live = self.live(last, window)
                 while len(live) > 1:
                     far = max(live)
                     live.discard(far)
