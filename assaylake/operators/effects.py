@@ -57,7 +57,7 @@ def intervention_effects(
 
 def pooled_effects(
     sums: DataFrame,
-    group_of: DataFrame,
+    group_of: DataFrame | None,
     links: DataFrame,
     controls: DataFrame,
     contrasts: DataFrame,
@@ -67,14 +67,17 @@ def pooled_effects(
     """Effects of the pooled contrasts with an included status.
 
     links: (contrast_id, condition_id, match_key) of treated conditions; controls: (match_key,
-    control_condition_id); group_of: (condition_id, group_key); sums by group_key. Controls are
-    summed once for each stratum, whatever the number of contrasts that use it.
+    control_condition_id); group_of: (condition_id, group_key), or None where conditions are named by
+    their group key; sums by group_key. Controls are summed once for each stratum, whatever the
+    number of contrasts that use it.
     """
     used = contrasts.where(F.col("status").isin(*include)).select("contrast_id", "status", "perturbation_id")
     links = links.join(used.select("contrast_id"), "contrast_id", "left_semi")
     key = ["dataset_id", "contrast_id"]
-    treated = links.join(group_of, "condition_id").select("contrast_id", "group_key").join(sums, "group_key")
-    strata = controls.join(group_of, F.col("control_condition_id") == F.col("condition_id")).select("match_key", "group_key").join(sums, "group_key")
+    controls = controls.withColumnRenamed("control_condition_id", "condition_id")
+    keyed = lambda df: df.withColumnRenamed("condition_id", "group_key") if group_of is None else df.join(group_of, "condition_id")
+    treated = keyed(links).select("contrast_id", "group_key").join(sums, "group_key")
+    strata = keyed(controls).select("match_key", "group_key").join(sums, "group_key")
     strata = strata.groupBy("match_key", "dataset_id", "feature_id").agg(F.sum("count_sum").alias("count_sum"))
     pooled = links.select("contrast_id", "match_key").distinct().join(strata, "match_key")
     role = lambda df, t, c: df.select(*key, "feature_id", t.alias("treated_sum"), c.alias("control_sum"))

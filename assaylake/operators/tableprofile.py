@@ -65,6 +65,18 @@ def value_counts(df: DataFrame, columns: list[str], limit: int = 20) -> DataFram
     return each.withColumn("place", at).where(F.col("place") <= limit)
 
 
+def table_profile(df: DataFrame, watched: list[str], limit: int = 20) -> DataFrame:
+    """(column_name, place, watched, n_rows, missing_count, unique_count, commonest) of each column in order.
+
+    commonest: the commonest values of the watched columns with their numbers of rows, as text.
+    """
+    places = df.sparkSession.createDataFrame([(c, i, c in watched) for i, c in enumerate(df.columns, 1)], "column_name string, place int, watched boolean")
+    top = value_counts(df, [c for c in df.columns if c in watched], limit)
+    each = F.array_sort(F.collect_list(F.struct("place", F.concat_ws("=", "value", F.col("n_rows").cast("string")).alias("t"))))
+    top = top.groupBy("column_name").agg(F.array_join(F.transform(each, lambda x: x["t"]), "; ").alias("commonest"))
+    return places.join(column_profile(df), "column_name", "left").fillna(0, ["n_rows", "missing_count", "unique_count"]).join(top, "column_name", "left")
+
+
 def category_sample(df: DataFrame, columns: list[str], limit: int = 20) -> DataFrame:
     """(column_name, n_sampled, categories): the first values of each column in code point order.
 

@@ -91,10 +91,15 @@ def overview(spark: SparkSession, d: str) -> DataFrame:
     return _contrast_counts(spark, d).agg(F.count("*").alias("datasets"), *sums)
 
 
+def cell_table_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Inventory of the cell table: every column in order, with the commonest values of the watched ones."""
+    return tableprofile.table_profile(read(spark, d, "obs_cells"), stages.SUMMARISED)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        effects_included, profile_categories, counts_locations, qc_dataset_rules, matrix_digest, receipt_join, release_contrasts, overview
+        effects_included, profile_categories, counts_locations, qc_dataset_rules, matrix_digest, receipt_join, release_contrasts, overview, cell_table_profile
     )
 }
 
@@ -120,6 +125,7 @@ _CELL_COLUMNS = [
     "dataset_id", "cell_id", "cell_line", "cell_type", "disease", "organism", "perturbation_id", "perturbation_type", "perturbation_target", "guide_id", "drug_id", "dose",
     "dose_unit", "time", "time_unit", "control_status", "is_control", "batch_id", "replicate_id", "n_counts", "n_genes", "percent_mito", "percent_ribo", "source_cell_barcode",
 ]
+_PLACES = ", ".join(f"('{c}', {i}, {str(c in stages.SUMMARISED).lower()})" for i, c in enumerate([*_CELL_COLUMNS, "collected_at", "loaded_at"], 1))
 _GONE = " OR lower({c}) IN ('nan', 'none', 'null', 'na')"
 
 SQL = {
@@ -130,6 +136,7 @@ SQL = {
     "profile_value_counts_all": "WITH long AS ("
     + " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS v FROM obs_cells" for c in stages.SUMMARISED)
     + "), k AS (SELECT column_name, CASE WHEN v IS NULL OR lower(v) IN ('', 'nan', 'none', 'null', 'na') THEN '<missing>' ELSE v END AS value, count(*) AS n_rows FROM long GROUP BY 1, 2) SELECT *, CAST(row_number() OVER w AS INTEGER) AS place FROM k WINDOW w AS (PARTITION BY column_name ORDER BY n_rows DESC, value) QUALIFY row_number() OVER w <= 20",
+    "repair_labels_all": stages.SQL["repair_labels"].replace("WHERE perturbation_id IS NOT NULL AND source_cell_barcode", "WHERE source_cell_barcode"),
     "var_harmonize_files": f"""WITH v AS (SELECT dataset_id, file_id, CAST(payload AS JSON) AS j, json_keys(payload) AS ks FROM raw_records WHERE kind = 'var' AND json_valid(payload) AND json_type(payload) = 'OBJECT'),
 f AS (SELECT file_id, {", ".join(f"bool_or(list_contains(ks, '{n}')) AS has_{n}" for n in _VAR)} FROM v GROUP BY 1),
 n AS (SELECT dataset_id, coalesce(j->>'$.feature_id', '') AS feature_id, {", ".join(map(_first_name, VAR_ALIASES))} FROM v JOIN f USING (file_id))
@@ -170,3 +177,6 @@ SELECT dataset_id, coalesce(contrasts, 0) AS contrasts, coalesce(treated_cells,
     "overview": f"""{_COUNTED} SELECT count(*) AS datasets, CAST(sum(contrasts) AS BIGINT) AS total_contrasts, max(contrasts) AS most_contrasts,
 CAST(sum(treated_cells) AS BIGINT) AS total_treated_cells, max(treated_cells) AS most_treated_cells FROM counted""",
 }
+SQL["cell_table_profile"] = f"""WITH c AS (SELECT * FROM (VALUES {_PLACES}) t(column_name, place, watched)), n AS ({SQL["profile_columns_all"]}), v AS ({SQL["profile_value_counts_all"]})
+SELECT c.column_name, c.place, c.watched, n_rows, missing_count, unique_count, (SELECT string_agg(value || '=' || v.n_rows, '; ' ORDER BY v.place) FROM v WHERE v.column_name = c.column_name) AS commonest
+FROM c JOIN n ON n.column_name = c.column_name"""

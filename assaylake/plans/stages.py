@@ -217,12 +217,12 @@ def contrast_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def _pooled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Effects and contrasts of pooled conditions of the orders."""
-    named = harmonize.conditions(order_cells(spark, d))
+    # conditions are named by their group key here: numbers are for people, and would have to be looked up
+    named = cut(harmonize.count_cells(order_cells(spark, d), CONDITION).withColumn("condition_id", pseudobulk.group_key(CONDITION)))
     made = contrast.pooled_contrasts(named, **POOLED)
-    group_of = named.select("condition_id", pseudobulk.group_key(CONDITION).alias("group_key"))
     controls = contrast.control_keys(named).where("match_rule = 'strict_context_batch_replicate'")
     sums = cut(_sums(spark, d, "condition"))
-    return effects.pooled_effects(sums, group_of, contrast.pooled_links(named, made), controls, made, SCALE), made
+    return effects.pooled_effects(sums, None, contrast.pooled_links(named, made), controls, made, SCALE), made
 
 
 def effects_pooled(spark: SparkSession, d: str) -> DataFrame:
@@ -380,8 +380,16 @@ def kept_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def repair_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Guides joined to cells by barcode, the last delivery of a barcode winning."""
-    seen = read(spark, d, "obs_cells").where("perturbation_id is not null")
+    """Guides joined to cells by barcode, the last delivery of a barcode that names a perturbation winning."""
+    return _repaired(spark, d, read(spark, d, "obs_cells").where("perturbation_id is not null"))
+
+
+def repair_labels_all(spark: SparkSession, d: str) -> DataFrame:
+    """The same with every delivery of a barcode, whether it names a perturbation or not."""
+    return _repaired(spark, d, read(spark, d, "obs_cells"))
+
+
+def _repaired(spark: SparkSession, d: str, seen: DataFrame) -> DataFrame:
     at = F.struct("loaded_at", "dataset_id", "cell_id")
     ids = seen.select(
         F.col("source_cell_barcode").alias("barcode"),
@@ -469,7 +477,7 @@ QUERIES = {
         profile_value_counts,
         profile_columns_all,
         profile_value_counts_all,
-        matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, var_harmonize, var_harmonize_files, verify_equal, release_join, artifact_anti_join,
+        matrix_profile, curate_filter, curate_counts, kept_runs, repair_labels, repair_labels_all, var_harmonize, var_harmonize_files, verify_equal, release_join, artifact_anti_join,
     )
 }
 

@@ -40,6 +40,17 @@ def write_text_table(df: DataFrame, path: str, columns: list[str] | None = None,
     ).write.mode("overwrite").option("compression", compression).option("emptyValue", "").option("escape", '"').csv(path, header=True)
 
 
+# The header of the list of top genes.
+TOP_GENES = ["dataset_id", "contrast_id", "perturbation_id", "gene_id", "effect_size", "rank_abs_effect"]
+
+
+def write_top_genes(hits: DataFrame, path: str) -> None:
+    """Top genes as gzip CSV under a fixed header, in the order of data set, contrast and rank within files."""
+    rows = hits.withColumnRenamed("feature_id", "gene_id") if "gene_id" not in hits.columns else hits
+    ordered = rows.repartitionByRange("dataset_id", "contrast_id").sortWithinPartitions("dataset_id", "contrast_id", "rank_abs_effect")
+    write_text_table(ordered, path, TOP_GENES, "gzip")
+
+
 def write_partitioned(df: DataFrame, path: str, by: str = "dataset_id") -> None:
     """Parquet by data set; rows of one are spread over tasks and files of bounded size."""
     df.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy(by).parquet(path)
@@ -61,6 +72,14 @@ def read_optional_json(path: str | None):
         return json.load(f)
 
 
+def read_selection(spark: SparkSession, path: str) -> DataFrame:
+    """(name): the names of a selection file, one JSON array of texts; anything else raises ``ValueError``."""
+    found = read_optional_json(path)
+    if not isinstance(found, list) or not all(isinstance(n, str) for n in found):
+        raise ValueError(f"{path} must be a JSON array of names")
+    return spark.createDataFrame([(n,) for n in found], "name string").distinct()
+
+
 def resolve_path(path: str, *folders: str) -> str:
     """An absolute path as it is; else the first folder that has it, or the last one's place for it."""
     if os.path.isabs(path):

@@ -50,6 +50,17 @@ def decode_categories(cells: DataFrame, codes: str, categories: DataFrame, name:
     return cells.join(named, ["dataset_id", codes], "left").drop(codes)
 
 
+def index_column(columns: list[str], named: str | None = None) -> str:
+    """The column that names the rows: the one that the table's attributes name, else ``_index``, else ``index``.
+
+    ``ValueError`` if the table has none of them.
+    """
+    for c in (named, "_index", "index"):
+        if c and c in columns:
+            return c
+    raise ValueError("no index column among: " + ", ".join(columns))
+
+
 def feature_names(var: DataFrame) -> DataFrame:
     """Adds the name of each feature: its id, else its gene, else its symbol, else empty."""
     given = [F.nullif(F.col(c), F.lit("")) for c in ("feature_id", "gene_id", "gene_symbol") if c in var.columns]

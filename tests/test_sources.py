@@ -149,3 +149,19 @@ def test_quoted_line_breaks(spark, tmp_path):
     (tmp_path / "t.csv").write_text('a,b\n"x\ny",1\nz,2\n')
     rows = files.read_text_table(spark, str(tmp_path / "t.csv"), ["a", "b"], line_breaks=True).collect()
     assert [tuple(r) for r in rows] == [("x\ny", "1"), ("z", "2")]
+
+
+def test_selection_index_and_top_genes(spark, tmp_path):
+    (tmp_path / "s.json").write_text('["b", "a", "b"]')
+    assert sorted(r.name for r in files.read_selection(spark, str(tmp_path / "s.json")).collect()) == ["a", "b"]
+    (tmp_path / "t.json").write_text('{"a": 1}')
+    with pytest.raises(ValueError, match="array"):
+        files.read_selection(spark, str(tmp_path / "t.json"))
+    assert matrix.index_column(["x", "_index", "cell"], "cell") == "cell" and matrix.index_column(["index", "_index"]) == "_index"
+    with pytest.raises(ValueError, match="index"):
+        matrix.index_column(["x"])
+    hits = spark.createDataFrame([("d", "c", "p", "g2", 0.5, 2), ("d", "c", "p", "g1", -1.0, 1)], "dataset_id string, contrast_id string, perturbation_id string, feature_id string, effect_size double, rank_abs_effect int")
+    files.write_top_genes(hits, str(tmp_path / "top"))
+    back = files.read_text_table(spark, str(tmp_path / "top"), files.TOP_GENES).collect()
+    assert [(r.gene_id, r.rank_abs_effect) for r in back] == [("g1", "1"), ("g2", "2")]
+    assert any(p.name.endswith(".csv.gz") for p in (tmp_path / "top").iterdir())
