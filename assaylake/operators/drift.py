@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaylake.session import cut
+from assaylake.session import cut, spread, store
 
 # The key field of each kind of record.
 KEYS = {"obs": "cell_id", "var": "feature_id"}
@@ -82,7 +82,8 @@ def explode_fields(records: DataFrame) -> DataFrame:
     order = [F.col(c) for c in ORDER if c in records.columns]
     keyed = reduce(lambda c, k: c.when(F.col("kind") == k, F.expr(f"try_variant_get(v, '$.{KEYS[k]}', 'string')")), KEYS, F.when(F.lit(False), None))
     name = reduce(lambda c, k: c.when(F.col("kind") == k, KEYS[k]), KEYS, F.when(F.lit(False), None))
-    parsed = records.select(
+    wanted = ["series_id", "file_id", "file_seq", "kind", *[c for c in ORDER if c in records.columns], "payload"]
+    parsed = spread(records.select(*wanted)).select(
         "series_id",
         "file_id",
         "file_seq",
@@ -97,10 +98,10 @@ def explode_fields(records: DataFrame) -> DataFrame:
     rows = spark.sql(
         f"select {cols}, if(x.key = t.key_field, null, x.key) as field, x.value as value from {{t}} t, lateral variant_explode_outer(t.v) x", t=parsed
     )
-    levels = [cut(_values(rows))]
+    levels = [store(_values(rows))]
     while not (nested := levels[-1].where("inner is not null")).isEmpty():
         rows = spark.sql(f"select {cols}, concat(t.field, '.', x.key) as field, x.value from {{t}} t, lateral variant_explode(t.inner) x", t=nested)
-        levels.append(cut(_values(rows)))
+        levels.append(store(_values(rows)))
     return reduce(DataFrame.unionByName, [level.where("inner is null").drop("inner") for level in levels])
 
 
@@ -117,7 +118,7 @@ def catalogue(fields: DataFrame) -> DataFrame:
         .when(F.array_contains("types", "list"), "list")
         .otherwise("decimal")
     )
-    each = cut(
+    each = store(
         fields.groupBy("series_id", "file_id", "field").agg(
             F.min("file_seq").alias("file_seq"), F.collect_set("type").alias("types"), F.count("value").alias("filled")
         ).withColumn("type", wide)
@@ -156,7 +157,7 @@ def schema_changes(fields: DataFrame, cat: DataFrame | None = None) -> DataFrame
 
     fields: as ``explode_fields`` gives them; cat: their catalogue, if it is there already.
     """
-    cat = cut(catalogue(fields)) if cat is None else cat
+    cat = store(catalogue(fields)) if cat is None else cat
     ended = cat.where(F.col("last") & F.col("next_file").isNotNull()).select(
         "series_id", F.col("next_file").alias("file_id"), F.col("field").alias("old_name"), F.col("type").alias("old_type")
     )
