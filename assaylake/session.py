@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,18 +31,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and return what reads it.
-
-    For wide or repetitive rows that several branches read in part: a column store is a fraction
-    of a checkpoint's size, each branch reads its own columns, and joins know how large it is.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_width(spark: SparkSession, least: int = 4) -> int:
     """Number of partitions for an explicit repartition."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
